@@ -31,9 +31,9 @@ def parse_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
         return c.cast("timestamp")
     text = _blank_to_null(c.cast("string"))
     has_date = text.rlike(r"\d{1,4}[-/]\d{1,2}[-/]\d{1,4}")
-    options = [F.try_to_timestamp(text)] + [F.try_to_timestamp(text, F.lit(f)) for f in S.TIMESTAMP_FORMATS]
-    options += [F.try_to_timestamp(text, F.lit(f)) for f in S.DATE_FORMATS]
-    return F.when(has_date, F.coalesce(*options))
+    options = [F.when(has_date, F.try_to_timestamp(text))]
+    options += [F.try_to_timestamp(text, F.lit(f)) for f in S.TIMESTAMP_FORMATS + S.DATE_FORMATS]
+    return F.coalesce(*options)
 
 
 def parse_date(c: Column, dtype: T.DataType | None = None) -> Column:

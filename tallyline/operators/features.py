@@ -58,7 +58,9 @@ def task1_score_features(inputs: DataFrame, tasks: DataFrame | None = None) -> D
     base = inputs
     if tasks is not None:
         base = joins.lookup_features(base, tasks, "task_id")
-    ts = timefns.combine_date_time(F.col("date"), F.col("time"))
+    # parse once into a column; the calendar blocks then read the column
+    base = base.withColumn("_ts", timefns.combine_date_time(F.col("date"), F.col("time")))
+    ts = F.col("_ts")
     out = [F.col("row_id"), F.col("task_id")]
     out += timefns.calendar_block(ts, "appt_") + timefns.calendar_block(ts, "checkin_")
     for c in ("section_id", "task_name", "has_task_name", "section_name", "has_section_name"):
@@ -106,8 +108,10 @@ def task2_features(staffing: DataFrame, keep: tuple[str, ...] = ("staffing_targe
 
 def task2_score_features(inputs: DataFrame) -> DataFrame:
     """Task 2 scoring features: calendar of the date plus fixed defaults."""
-    d = timefns.parse_date(F.col("date"), dict((f.name, f.dataType) for f in inputs.schema.fields)["date"])
-    return inputs.select(
+    dt = dict((f.name, f.dataType) for f in inputs.schema.fields)["date"]
+    parsed = inputs.withColumn("_d", timefns.parse_date(F.col("date"), dt))
+    d = F.col("_d")
+    return parsed.select(
         F.col("row_id"),
         F.col("section_id"),
         *timefns.date_block(d),

@@ -98,8 +98,12 @@ class HierarchicalMedianModel:
     def _from_table(cls, table: DataFrame, levels: list[list[str]], target: str, path: str | None):
         key_types = {f.name: f.dataType for f in table.schema.fields if f.name not in ("level", "median", "n")}
         fitted = [[k for k in lv if k in key_types] for lv in levels]
-        counts = {r["level"]: r["cnt"] for r in table.groupBy("level").agg(F.count(F.lit(1)).alias("cnt")).collect()}
-        g = table.where(F.col("level") == GLOBAL_LEVEL).select("median", "n").collect()
+        # one small row per level: its size and, for the global level, the median
+        info = table.groupBy("level").agg(
+            F.count(F.lit(1)).alias("cnt"), F.max("median").alias("median"), F.max("n").alias("n")
+        ).collect()
+        counts = {r["level"]: r["cnt"] for r in info}
+        g = [r for r in info if r["level"] == GLOBAL_LEVEL]
         global_median = float(g[0]["median"]) if g else 0.0
         n_train = int(g[0]["n"]) if g else 0
         return cls(fitted, key_types, table, counts, global_median, n_train, target, path)
@@ -108,10 +112,13 @@ class HierarchicalMedianModel:
 class HierarchicalMedian:
     """Estimator: medians of ``target`` for each level of key columns."""
 
-    def __init__(self, levels: list[list[str]], target: str = "target", chunks: int | None = None):
+    def __init__(
+        self, levels: list[list[str]], target: str = "target", chunks: int | None = None, max_chunk_values: int | None = None
+    ):
         self.levels = [list(lv) for lv in levels]
         self.target = target
         self.chunks = chunks
+        self.max_chunk_values = max_chunk_values
 
     def fit_table(self, df: DataFrame) -> tuple[DataFrame, list[list[str]]]:
         """Lazy model table ``(level, keys..., median, n)`` and the fitted levels."""
@@ -161,31 +168,24 @@ class HierarchicalMedian:
             slots.append(F.when(used, F.col(k)).otherwise(_filler(types[k])).alias(k))
         hist = hist.select("_set", *slots, self.target, COUNT)
 
-        kwargs = {"chunks": self.chunks} if self.chunks else {}
+        kwargs = {}
+        if self.chunks:
+            kwargs["chunks"] = self.chunks
+        if self.max_chunk_values is not None:
+            kwargs["max_chunk_values"] = self.max_chunk_values
         med = median_from_histogram(hist, ["_set", *keys], self.target, COUNT, **kwargs)
 
-        # Expand key sets back to levels and restore NULL in unused slots.
-        parts = []
-        for i, lv in enumerate(fitted):
-            if not lv:
-                continue
-            sid = sets.index(lv)
-            parts.append(
-                med.where(F.col("_set") == sid).select(
-                    F.lit(i).alias("level"),
-                    *[(F.col(k) if k in lv else F.lit(None).cast(types[k])).alias(k) for k in keys],
-                    "median",
-                    "n",
-                )
-            )
-        parts.append(
-            med.where(F.col("_set") == GLOBAL_LEVEL).select(
-                F.lit(GLOBAL_LEVEL).alias("level"), *[F.lit(None).cast(types[k]).alias(k) for k in keys], "median", "n"
-            )
-        )
-        table = parts[0]
-        for p in parts[1:]:
-            table = table.unionByName(p)
+        # Key sets back to levels (duplicate levels share a set) and NULL in unused slots.
+        level_ids = F.array(F.lit(GLOBAL_LEVEL))
+        for sid, s in enumerate(sets):
+            ids = [i for i, lv in enumerate(fitted) if lv == s]
+            level_ids = F.when(F.col("_set") == sid, F.array(*[F.lit(i) for i in ids])).otherwise(level_ids)
+        restored = []
+        for k in keys:
+            users = [sid for sid, s in enumerate(sets) if k in s]
+            used = F.col("_set").isin(users) if users else F.lit(False)
+            restored.append(F.when(used, F.col(k)).alias(k))
+        table = med.select(F.explode(level_ids).alias("level"), *restored, "median", "n")
         return table, fitted
 
     def fit(self, df: DataFrame, path: str | None = None) -> HierarchicalMedianModel:

@@ -1,25 +1,30 @@
-"""Exact grouped medians that never send a whole group to one task.
+"""Exact grouped medians that never send a whole hot group to one task.
 
 A median needs the two middle values of each group. Collecting a group's
-values (or even its full value-count map, as the built-in exact ``median``
+values (or its full value-count map, as the built-in exact ``median``
 aggregate does in its final merge) puts one hot group on one task. Instead:
 
-1. **Histogram** – ``(group, value) -> count``, with map-side partial
-   aggregation, so repeated values are combined before the shuffle.
-2. **Chunk bounds** – per group, ~``chunks`` quantile bounds over the
-   group's *distinct* values from the mergeable ``percentile_approx`` sketch
-   (bounded memory) plus the exact row total ``n``.
-3. **Exact ranks** – every histogram row gets a chunk index; a window over
-   ``(group, chunk)`` gives running counts inside a chunk, and a window over
-   the small ``(group, chunk)`` totals table gives each chunk's offset. A hot
-   group's histogram is therefore spread over ``chunks`` tasks.
-4. **Pick** – the rows whose rank interval covers ``(n-1) div 2`` and
+1. **Histogram** – ``(group, value) -> count`` with map-side partial
+   aggregation, so repeated values are combined before the shuffle. A group
+   holding a third of all rows is spread over its distinct values.
+2. **Group sizes** – per group: rows ``n`` and distinct values ``d``.
+3. **Chunks** – a group with more than ``max_chunk_values`` distinct values
+   is cut into ``chunks`` value ranges at bounds from the mergeable,
+   bounded-memory ``percentile_approx`` sketch over its distinct values;
+   every other group is one chunk. So no task ever ranks more than about
+   ``max(max_chunk_values, d / chunks)`` histogram rows of one group.
+4. **Exact ranks** – a window over ``(group, chunk)`` gives running counts
+   inside a chunk; a window over the small ``(group, chunk)`` totals table
+   gives each chunk's offset.
+5. **Pick** – the rows whose rank interval covers ``(n-1) div 2`` and
    ``n div 2``; their mean is the median (middle value, or mean of the two
    middle values, as in pandas).
 
-The approximate sketch only decides where chunks are cut; ranks and the
-result are exact. All group columns must be non-NULL (callers encode
-"unused" key slots with a constant).
+The histogram is written once to the shared checkpoint folder, since the
+steps above read it several times. The sketch only decides where chunks are
+cut; ranks and results are exact.
+All group columns must be non-NULL (callers encode unused key slots with a
+constant).
 """
 
 from __future__ import annotations
@@ -27,8 +32,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.session import materialize
+
 COUNT = "_cnt"
 DEFAULT_CHUNKS = 128
+DEFAULT_MAX_CHUNK_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -43,8 +51,8 @@ def value_histogram(df: DataFrame, group_cols: list[str], value_col: str) -> Dat
 
 
 def _chunk_index(bounds: Column, value: Column) -> Column:
-    """Number of chunk bounds at or below ``value`` (bounds are sorted)."""
-    return F.size(F.filter(bounds, lambda b: b <= value))
+    """Number of chunk bounds at or below ``value`` (0 when not chunked)."""
+    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda b: b <= value)))
 
 
 def median_from_histogram(
@@ -55,6 +63,7 @@ def median_from_histogram(
     chunks: int = DEFAULT_CHUNKS,
     median_col: str = "median",
     n_col: str = "n",
+    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
 ) -> DataFrame:
     """Exact median per group from a ``(group, value, count)`` histogram.
 
@@ -65,18 +74,26 @@ def median_from_histogram(
         hist = hist.withColumn("_all", F.lit(0))
         g = ["_all"]
     v = F.col(value_col)
-    probs = [i / chunks for i in range(1, chunks)]
+    hist = materialize(hist, "median-histogram")  # read by several branches below
 
-    stats = hist.groupBy(*g).agg(
-        F.sum(count_col).alias("_n"),
-        F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_bounds"),
+    sizes = hist.groupBy(*g).agg(F.sum(count_col).alias("_n"), F.count(F.lit(1)).alias("_d"))
+    big = sizes.where(F.col("_d") > max_chunk_values).select(*g)
+    probs = [i / chunks for i in range(1, chunks)]
+    bounds = (
+        hist.join(big, on=g, how="left_semi")
+        .groupBy(*g)
+        .agg(F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_bounds"))
+    )
+    h = (
+        hist.join(sizes.drop("_d"), on=g, how="inner")
+        .join(bounds, on=g, how="left")
+        .withColumn("_chunk", _chunk_index(F.col("_bounds"), v))
+        .drop("_bounds")
     )
-    h = hist.join(stats, on=g, how="inner").withColumn("_chunk", _chunk_index(F.col("_bounds"), v)).drop("_bounds")
 
+    per_chunk = h.groupBy(*g, "_chunk").agg(F.sum(count_col).alias("_chunk_n"))
     in_chunk = Window.partitionBy(*g, "_chunk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
     h = h.withColumn("_cum", F.sum(count_col).over(in_chunk))
-
-    per_chunk = h.groupBy(*g, "_chunk").agg(F.sum(count_col).alias("_chunk_n"))
     before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = per_chunk.select(*g, "_chunk", F.coalesce(F.sum("_chunk_n").over(before), F.lit(0)).alias("_off"))
 
@@ -95,9 +112,7 @@ def median_from_histogram(
         F.max("_n").alias(n_col),
     )
     out = out.select(*g, ((F.col("_v_lo") + F.col("_v_hi")) / 2.0).alias(median_col), F.col(n_col))
-    if group_cols:
-        return out
-    return out.drop("_all")
+    return out if group_cols else out.drop("_all")
 
 
 def grouped_median(
@@ -107,6 +122,7 @@ def grouped_median(
     chunks: int = DEFAULT_CHUNKS,
     median_col: str = "median",
     n_col: str = "n",
+    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
 ) -> DataFrame:
     """Exact median of ``value_col`` per group (NULL/NaN values skipped).
 
@@ -116,4 +132,4 @@ def grouped_median(
     for c in group_cols:
         keyed = keyed.where(F.col(c).isNotNull())
     hist = value_histogram(keyed, group_cols, value_col)
-    return median_from_histogram(hist, group_cols, value_col, COUNT, chunks, median_col, n_col)
+    return median_from_histogram(hist, group_cols, value_col, COUNT, chunks, median_col, n_col, max_chunk_values)

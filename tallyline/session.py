@@ -56,3 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a re-run after an executor loss starts from the written
+    files) and lets every later branch read the result instead of
+    recomputing it. One job; no second pass as with an unpersisted
+    ``checkpoint()``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
