@@ -197,6 +197,12 @@ class HierarchicalMedian:
         return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path)
 
 
+def constant_model(spark: SparkSession, levels: list[list[str]], target: str, value: float) -> HierarchicalMedianModel:
+    """Model with only the global row (used when no training row has a target)."""
+    table = spark.createDataFrame([(GLOBAL_LEVEL, float(value), 0)], "level int, median double, n bigint")
+    return HierarchicalMedianModel([[] for _ in levels], {}, table, {GLOBAL_LEVEL: 1}, float(value), 0, target, None)
+
+
 def level_usage(predicted: DataFrame, level_col: str = "level") -> DataFrame:
     """Rows and percent of rows answered by each level (``-1`` = global)."""
     total = F.sum("rows").over(Window.partitionBy())  # over the few per-level rows only

@@ -105,11 +105,12 @@ def lookup_features(fact: DataFrame, dim: DataFrame, key: str = "task_id") -> Da
 
 
 def lookup_with_default(fact: DataFrame, dim: DataFrame, key: str, defaults: dict[str, object]) -> DataFrame:
-    """Point lookup as a batch: attributes from the dimension or a literal default."""
+    """Point lookup as a batch: the dimension's values for the key, or the
+    literal defaults when the key has no dimension row (a matched NULL stays NULL)."""
     one = one_row_per_key(dim, key)
     cols = [c for c in defaults if c in one.columns and c != key]
-    right = one.select(key, *[F.col(c).alias(f"_d_{c}") for c in cols])
+    right = one.select(key, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_d_{c}") for c in cols])
     joined = fact.join(maybe_broadcast(right), on=key, how="left")
     for c in cols:
-        joined = joined.withColumn(c, F.coalesce(F.col(f"_d_{c}"), F.lit(defaults[c]))).drop(f"_d_{c}")
-    return joined
+        joined = joined.withColumn(c, F.when(F.col("_matched"), F.col(f"_d_{c}")).otherwise(F.lit(defaults[c]))).drop(f"_d_{c}")
+    return joined.drop("_matched")

@@ -55,26 +55,10 @@ def _chunk_index(bounds: Column, value: Column) -> Column:
     return F.when(bounds.isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda b: b <= value)))
 
 
-def median_from_histogram(
-    hist: DataFrame,
-    group_cols: list[str],
-    value_col: str,
-    count_col: str = COUNT,
-    chunks: int = DEFAULT_CHUNKS,
-    median_col: str = "median",
-    n_col: str = "n",
-    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
-) -> DataFrame:
-    """Exact median per group from a ``(group, value, count)`` histogram.
-
-    Returns one row per group: ``group_cols + [median_col, n_col]``.
-    """
-    g = list(group_cols)
-    if not g:
-        hist = hist.withColumn("_all", F.lit(0))
-        g = ["_all"]
+def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col: str, chunks: int, max_chunk_values: int) -> DataFrame:
+    """Histogram rows with ``_start``/``_end`` (exclusive) 0-based ranks and group size ``_n``."""
     v = F.col(value_col)
-    hist = materialize(hist, "median-histogram")  # read by several branches below
+    hist = materialize(hist, "rank-histogram")  # read by several branches below
 
     sizes = hist.groupBy(*g).agg(F.sum(count_col).alias("_n"), F.count(F.lit(1)).alias("_d"))
     big = sizes.where(F.col("_d") > max_chunk_values).select(*g)
@@ -90,31 +74,107 @@ def median_from_histogram(
         .withColumn("_chunk", _chunk_index(F.col("_bounds"), v))
         .drop("_bounds")
     )
-
     per_chunk = h.groupBy(*g, "_chunk").agg(F.sum(count_col).alias("_chunk_n"))
-    in_chunk = Window.partitionBy(*g, "_chunk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("_cum", F.sum(count_col).over(in_chunk))
     before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = per_chunk.select(*g, "_chunk", F.coalesce(F.sum("_chunk_n").over(before), F.lit(0)).alias("_off"))
 
+    in_chunk = Window.partitionBy(*g, "_chunk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("_cum", F.sum(count_col).over(in_chunk))
     ranked = h.join(per_chunk, on=[*g, "_chunk"], how="inner")
-    end = F.col("_off") + F.col("_cum")  # exclusive end rank of this value
-    start = end - F.col(count_col)
+    end = F.col("_off") + F.col("_cum")
+    return ranked.select(*g, value_col, "_n", (end - F.col(count_col)).alias("_start"), end.alias("_end"))
+
+
+def quantiles_from_histogram(
+    hist: DataFrame,
+    group_cols: list[str],
+    value_col: str,
+    probs: list[float],
+    names: list[str],
+    count_col: str = COUNT,
+    n_col: str = "n",
+    chunks: int = DEFAULT_CHUNKS,
+    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
+    midpoint_median: bool = True,
+    method: str = "linear",
+) -> DataFrame:
+    """Exact quantiles per group with linear interpolation between order statistics.
+
+    For probability ``p`` the position is ``p * (n - 1)``; the result is
+    ``a + (b - a) * frac`` over the two neighbouring values ``a``, ``b``. With
+    ``midpoint_median`` the 0.5 quantile is ``(a + b) / 2`` (pandas ``median``).
+    ``method="lower"`` returns ``a``, the order statistic at ``floor(p * (n - 1))``.
+    """
+    g = list(group_cols)
+    if not g:
+        hist = hist.withColumn("_all", F.lit(0))
+        g = ["_all"]
+    v = F.col(value_col)
+    ranked = _ranked_histogram(hist, g, value_col, count_col, chunks, max_chunk_values)
     n = F.col("_n")
-    lo = F.floor((n - 1) / 2)
-    hi = F.floor(n / 2)
-    covers_lo = (start <= lo) & (lo < end)
-    covers_hi = (start <= hi) & (hi < end)
-    picked = ranked.where(covers_lo | covers_hi)
-    out = picked.groupBy(*g).agg(
-        F.max(F.when(covers_lo, v)).alias("_v_lo"),
-        F.max(F.when(covers_hi, v)).alias("_v_hi"),
-        F.max("_n").alias(n_col),
-    )
-    out = out.select(*g, ((F.col("_v_lo") + F.col("_v_hi")) / 2.0).alias(median_col), F.col(n_col))
+    start, end = F.col("_start"), F.col("_end")
+
+    def covers(rank):
+        return (start <= rank) & (rank < end)
+
+    wanted = F.lit(False)
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (n - 1) * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        wanted = wanted | covers(lo) | covers(hi)
+        aggs += [F.max(F.when(covers(lo), v)).alias(f"_a{i}"), F.max(F.when(covers(hi), v)).alias(f"_b{i}")]
+    picked = ranked.where(wanted).groupBy(*g).agg(*aggs, F.max("_n").alias(n_col))
+    cols = []
+    for i, (p, name) in enumerate(zip(probs, names)):
+        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        if method == "lower":
+            cols.append(a.alias(name))
+        elif midpoint_median and p == 0.5:
+            cols.append(((a + b) / 2.0).alias(name))
+        else:
+            frac = (F.col(n_col) - 1) * F.lit(float(p)) - F.floor((F.col(n_col) - 1) * F.lit(float(p)))
+            cols.append(F.when(frac == 0, a).otherwise(a + (b - a) * frac).alias(name))
+    out = picked.select(*g, *cols, F.col(n_col))
     return out if group_cols else out.drop("_all")
 
 
+def median_from_histogram(
+    hist: DataFrame,
+    group_cols: list[str],
+    value_col: str,
+    count_col: str = COUNT,
+    chunks: int = DEFAULT_CHUNKS,
+    median_col: str = "median",
+    n_col: str = "n",
+    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
+) -> DataFrame:
+    """Exact median per group from a ``(group, value, count)`` histogram.
+
+    Returns one row per group: ``group_cols + [median_col, n_col]``.
+    """
+    return quantiles_from_histogram(
+        hist, group_cols, value_col, [0.5], [median_col], count_col, n_col, chunks, max_chunk_values
+    )
+
+
+def grouped_quantiles(
+    df: DataFrame,
+    group_cols: list[str],
+    value_col: str,
+    probs: list[float],
+    names: list[str],
+    n_col: str = "n",
+    method: str = "linear",
+) -> DataFrame:
+    """Exact quantiles of ``value_col`` per group (NULL/NaN skipped)."""
+    keyed = df
+    for c in group_cols:
+        keyed = keyed.where(F.col(c).isNotNull())
+    hist = value_histogram(keyed, group_cols, value_col)
+    return quantiles_from_histogram(hist, group_cols, value_col, probs, names, COUNT, n_col, method=method)
+
+
 def grouped_median(
     df: DataFrame,
     group_cols: list[str],

@@ -104,3 +104,7 @@ def fallback_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _t1_model(spark, sf_dir)
     scored = jobs.score_task1(model, fx.task1_test_v(spark, sf_dir), with_level=True)
     return level_usage(scored)
+
+
+# Register the remaining catalog parts (they import ``register`` from here).
+from tallyline.plans import catalog_ops  # noqa: E402,F401

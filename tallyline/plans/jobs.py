@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyline import schemas as S
 from tallyline.functions import scalar
 from tallyline.operators import cleaning, features
-from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel
+from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel, constant_model
 
 TASK1_KEYS = ("task_id", "appt_hour", "appt_weekday")
 
@@ -42,7 +42,10 @@ def train_task1(
 ) -> HierarchicalMedianModel:
     rows = task1_training_rows(bookings, tasks)
     lv = _levels(levels, S.TASK1_LEVELS)
-    return HierarchicalMedian(lv, cleaning.TASK1_TARGET).fit(rows, path)
+    model = HierarchicalMedian(lv, cleaning.TASK1_TARGET).fit(rows, path)
+    if model.n_train == 0:  # no valid target: constant fallback model
+        return constant_model(bookings.sparkSession, lv, cleaning.TASK1_TARGET, S.TASK1_FALLBACK_MEDIAN)
+    return model
 
 
 def predict_task1_rows(model: HierarchicalMedianModel, feats: DataFrame) -> DataFrame:
@@ -78,7 +81,10 @@ def task2_training_rows(staffing: DataFrame) -> DataFrame:
 def train_task2(staffing: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
     rows = task2_training_rows(staffing)
     lv = _levels(levels, S.TASK2_LEVELS)
-    return HierarchicalMedian(lv, TASK2_TARGET).fit(rows, path)
+    model = HierarchicalMedian(lv, TASK2_TARGET).fit(rows, path)
+    if model.n_train == 0:  # no valid target: constant fallback model
+        return constant_model(staffing.sparkSession, lv, TASK2_TARGET, S.TASK2_FALLBACK_MEDIAN)
+    return model
 
 
 def predict_task2_rows(model: HierarchicalMedianModel, feats: DataFrame) -> DataFrame:

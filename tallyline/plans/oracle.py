@@ -138,3 +138,83 @@ def hier_lookup_sql(train: str, test: str, levels: list[list[str]], out_value: s
     level = "CASE " + " ".join(levels_sql) + " ELSE -1 END"
     body = f"SELECT t.row_id, {value} AS {out_value}, {level} AS level, {pred} AS raw_prediction FROM {test} t CROSS JOIN mg " + " ".join(joins)
     return ctes, body
+
+
+def calendar_sql(ts: str, prefix: str) -> str:
+    """DuckDB calendar block matching ``timefns.calendar_block`` (ints as INTEGER)."""
+    h = f"hour({ts})"
+    wd = f"(isodow({ts}) - 1)"
+    p = prefix
+    return ", ".join(
+        [
+            f"CAST({h} AS INTEGER) AS {p}hour",
+            f"CAST({wd} AS INTEGER) AS {p}weekday",
+            f"CAST(month({ts}) AS INTEGER) AS {p}month",
+            f"CAST(day({ts}) AS INTEGER) AS {p}day",
+            f"CAST(year({ts}) AS INTEGER) AS {p}year",
+            f"CASE WHEN {h} >= 0 AND {h} <= 6 THEN 'night' WHEN {h} > 6 AND {h} <= 12 THEN 'morning' "
+            f"WHEN {h} > 12 AND {h} <= 18 THEN 'afternoon' WHEN {h} > 18 AND {h} <= 24 THEN 'evening' END AS {p}time_of_day",
+            f"coalesce({wd} >= 5, false) AS {p}is_weekend",
+            f"coalesce({wd} < 5 AND {h} >= 9 AND {h} < 17, false) AS {p}is_business_hour",
+        ]
+    )
+
+
+def date_block_sql(d: str) -> str:
+    wd = f"(isodow({d}) - 1)"
+    return ", ".join(
+        [
+            f"CAST({wd} AS INTEGER) AS weekday",
+            f"CAST(month({d}) AS INTEGER) AS month",
+            f"CAST(day({d}) AS INTEGER) AS day",
+            f"CAST(year({d}) AS INTEGER) AS year",
+            f"coalesce({wd} >= 5, false) AS is_weekend",
+            f"CAST(quarter({d}) AS INTEGER) AS quarter",
+            f"coalesce(last_day({d}) = {d}, false) AS is_month_end",
+            f"coalesce(day({d}) = 1, false) AS is_month_start",
+        ]
+    )
+
+
+TASK_TIME_CATEGORY_SQL = (
+    "CASE WHEN coalesce({t}, 0) >= 0 AND coalesce({t}, 0) <= 120 THEN 'very_low' "
+    "WHEN coalesce({t}, 0) > 120 AND coalesce({t}, 0) <= 240 THEN 'low' "
+    "WHEN coalesce({t}, 0) > 240 AND coalesce({t}, 0) <= 480 THEN 'medium' "
+    "WHEN coalesce({t}, 0) > 480 AND coalesce({t}, 0) <= 960 THEN 'high' "
+    "WHEN coalesce({t}, 0) > 960 THEN 'very_high' END"
+)
+
+BOOL_MAP_SQL = (
+    "CASE WHEN {c} IN ('1', 'true', 'True', 'yes', 'Yes', 'Y', '1.0') THEN true "
+    "WHEN {c} IN ('0', 'false', 'False', 'no', 'No', 'N', '0.0') THEN false END"
+)
+
+VIEWS.update(
+    {
+        "tasks_one": """
+  SELECT task_id, min(struct_pack(section_id := section_id, task_name := task_name, section_name := section_name)) AS b
+  FROM tasks_v WHERE task_id IS NOT NULL GROUP BY task_id""",
+        "t1_feat": f"""
+  SELECT b.booking_id, b.task_id, t.b.section_id AS section_id, t.b.task_name AS task_name,
+         t.b.task_name IS NOT NULL AS has_task_name, t.b.section_name AS section_name,
+         t.b.section_name IS NOT NULL AS has_section_name,
+         {calendar_sql('b.appointment_time', 'appt_')},
+         {calendar_sql('b.check_in_time', 'checkin_')},
+         (epoch_us(b.appointment_time) - epoch_us(b.booking_created_time)) / 3600000000.0 AS booking_advance_hours,
+         try_cast(trim(b.queue_number) AS DOUBLE) AS queue_number,
+         try_cast(trim(b.queue_number) AS DOUBLE) IS NOT NULL AS has_queue_number,
+         CAST(coalesce({BOOL_MAP_SQL.format(c='b.document_uploaded')}, false) AS INTEGER) AS document_uploaded,
+         try_cast(trim(b.satisfaction_rating) AS DOUBLE) AS satisfaction_rating,
+         try_cast(trim(b.satisfaction_rating) AS DOUBLE) IS NOT NULL AS has_satisfaction_rating,
+         b.processing_time_minutes
+  FROM bookings_clean b LEFT JOIN tasks_one t ON b.task_id = t.task_id""",
+        "t2_feat": f"""
+  SELECT strftime(date, '%Y-%m-%d') AS date, section_id, {date_block_sql('date')},
+         total_task_time_minutes, total_task_time_minutes IS NOT NULL AS has_task_time,
+         {TASK_TIME_CATEGORY_SQL.format(t='total_task_time_minutes')} AS task_time_category,
+         employees_on_duty AS historical_employees,
+         CASE WHEN isfinite(employees_on_duty) AND employees_on_duty >= 0 THEN employees_on_duty END AS staffing_target
+  FROM staffing_clean""",
+    }
+)
+_DEPS.update({"tasks_one": ["tasks_v"], "t1_feat": ["bookings_clean", "tasks_one"], "t2_feat": ["staffing_clean"]})

@@ -160,9 +160,11 @@ TASK2_FEATURE_DEFAULTS = {
     "historical_employees": None,
 }
 
-# Ensemble weight of the median model; the linear model gets the rest.
+# Ensemble weights of the median model and the linear model (literals, not 1 - w).
 ENSEMBLE_MEDIAN_WEIGHT = 0.7
-# Staffing pattern blend: section weight; the weekday median gets the rest.
+ENSEMBLE_LINEAR_WEIGHT = 0.3
+# Staffing pattern blend weights of the section value and the weekday median.
 PATTERN_SECTION_WEIGHT = 0.7
+PATTERN_WEEKDAY_WEIGHT = 0.3
 PATTERN_MIN_COUNT_FOR_MEDIAN = 3
 MIN_ROWS_FOR_LINEAR = 10
