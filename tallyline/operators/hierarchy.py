@@ -208,3 +208,50 @@ def level_usage(predicted: DataFrame, level_col: str = "level") -> DataFrame:
     total = F.sum("rows").over(Window.partitionBy())  # over the few per-level rows only
     counts = predicted.groupBy(level_col).agg(F.count(F.lit(1)).alias("rows"))
     return counts.select(level_col, "rows", F.round(F.col("rows") * 100.0 / total, 6).alias("percent"))
+
+
+@dataclass
+class SimpleStatsModel:
+    """One key set with a mean or median per key and a global value."""
+
+    keys: list[str]
+    stats: DataFrame  # keys..., stat
+    rows: int
+    global_stat: float
+
+    def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
+        """Stat of the row's key, else the global value (also when a key column is
+        missing or a key is NULL)."""
+        if not self.keys or any(k not in df.columns for k in self.keys):
+            return df.withColumn(out_col, F.lit(float(self.global_stat)))
+        right = joins.maybe_broadcast(self.stats.select(*[F.col(k).alias(f"_s_{k}") for k in self.keys], F.col("stat").alias("_s_stat")), self.rows)
+        cond = None
+        for k in self.keys:
+            c = df[k] == right[f"_s_{k}"]
+            cond = c if cond is None else cond & c
+        out = df.join(right, on=cond, how="left")
+        out = out.withColumn(out_col, F.coalesce(F.col("_s_stat"), F.lit(float(self.global_stat))))
+        return out.drop("_s_stat", *[f"_s_{k}" for k in self.keys])
+
+
+def fit_simple_stats(df: DataFrame, keys: list[str], target: str, stat: str = "median") -> SimpleStatsModel:
+    """Mean or median of ``target`` per key tuple (NULL keys dropped) plus the global value."""
+    from tallyline.operators.median import grouped_median
+    from tallyline.session import materialize
+
+    valid = df.where(F.col(target).isNotNull())
+    present = [k for k in keys if k in valid.columns]
+    if stat == "median":
+        g = grouped_median(valid, [], target, median_col="stat").collect()
+        table = grouped_median(valid, present, target, median_col="stat").drop("n") if present else None
+    else:
+        g = valid.agg(F.avg(target).alias("stat")).collect()
+        keyed = valid
+        for k in present:
+            keyed = keyed.where(F.col(k).isNotNull())
+        table = keyed.groupBy(*present).agg(F.avg(target).alias("stat")) if present else None
+    global_stat = float(g[0]["stat"]) if g and g[0]["stat"] is not None else 0.0
+    if table is None:
+        return SimpleStatsModel([], df.sparkSession.createDataFrame([], "stat double"), 0, global_stat)
+    table = materialize(table, "simple-stats")
+    return SimpleStatsModel(keys if present == keys else [], table, table.count(), global_stat)

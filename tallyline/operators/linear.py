@@ -57,7 +57,7 @@ class LinearModel:
                 x = x.withColumn(c, F.lit(0.0))  # absent features default to 0
         x = apply_impute(_finite_features(x, self.feature_cols), self.fills)
         x = x.fillna(0.0, subset=self.feature_cols)  # columns with no training value
-        out = self.pipeline.transform(x).withColumnRenamed("prediction", self.prediction_col)
+        out = self.pipeline.transform(x).withColumnRenamed("_linear_out", self.prediction_col)
         return out.drop("_features", "_scaled")
 
 
@@ -73,7 +73,9 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
         stages=[
             VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
             StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
-            LinearRegression(featuresCol="_scaled", labelCol=target, regParam=0.0, solver="normal", standardization=False),
+            LinearRegression(
+                featuresCol="_scaled", labelCol=target, predictionCol="_linear_out", regParam=0.0, solver="normal", standardization=False
+            ),
         ]
     )
     return LinearModel(pipe.fit(x.withColumn(target, F.col(target).cast("double"))), feature_cols, fills, prediction_col)

@@ -108,3 +108,4 @@ def fallback_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Register the remaining catalog parts (they import ``register`` from here).
 from tallyline.plans import catalog_ops  # noqa: E402,F401
+from tallyline.plans import catalog_models  # noqa: E402,F401

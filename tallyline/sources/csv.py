@@ -39,7 +39,11 @@ def _scan(spark: SparkSession, path: str, columns: list[str], encoding: str) ->
     unquoted = F.regexp_replace(F.col(CORRUPT), _QUOTED, "")
     separators = F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", ""))
     keep = F.col(CORRUPT).isNull() | (separators <= len(columns) - 1)
-    return df.where(keep).drop(CORRUPT)
+    # The filter also reads a data column (always true) so that a later count
+    # never prunes the scan down to the corrupt-record column alone, which the
+    # CSV reader refuses.
+    anchor = F.greatest(F.length(F.col(columns[0])), F.lit(-1)) >= -1
+    return df.where(keep & anchor).drop(CORRUPT)
 
 
 def _has_replacement_char(df: DataFrame) -> bool:

@@ -34,7 +34,7 @@ def _norm(v):
             return "∅"
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
-        if v == int(v) and abs(v) < 1e15:
+        if v == int(v) and abs(v) < 2**53:
             return str(int(v))
         return repr(round(v, 9))
     if hasattr(v, "item"):
