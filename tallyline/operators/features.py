@@ -16,6 +16,7 @@ from tallyline.functions import timefns
 from tallyline.operators import joins
 from tallyline.operators.cleaning import TASK1_TARGET
 from tallyline.operators.median import grouped_median
+from tallyline.session import materialize
 
 ID_COLUMNS = ("row_id", "booking_id")
 
@@ -196,7 +197,7 @@ def fit_impute_medians(df: DataFrame, cols: list[str], zero_fill: tuple[str, ...
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return materialize(out, "impute-fills")  # one small row per column, read at fit and at scoring
 
 
 def apply_impute(df: DataFrame, fills: DataFrame) -> DataFrame:

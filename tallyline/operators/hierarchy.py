@@ -1,8 +1,8 @@
 """Hierarchical median models: medians per key set with a fallback chain.
 
 Fit
-    One scan with ``GROUPING SETS`` builds the value histogram of every level
-    at once (map-side combined), then ``median.median_from_histogram`` turns it
+    Raw rows are combined once into a ``(keys, value) -> count`` histogram;
+    ``GROUPING SETS`` over it builds the histogram of every level at once, then ``median.median_from_histogram`` turns it
     into exact medians without sending a hot group to one task. The result is
     a *model table* ``(level, <key columns>, median, n)``; level ``-1`` holds
     the global median. It is written to the shared checkpoint folder, which
@@ -147,8 +147,11 @@ class HierarchicalMedian:
                 bits = (bits << 1) | (0 if c in s or c == self.target else 1)
             return bits
 
-        hist = valid.groupingSets(grouping_sets, *order).agg(
-            F.count(F.lit(1)).alias(COUNT), F.grouping_id().alias("_gid")
+        # Raw rows are combined once into a base histogram over all keys; the
+        # per-level expansion then runs on that (much smaller) table.
+        base = valid.groupBy(*order).agg(F.count(F.lit(1)).alias("_base_cnt"))
+        hist = base.groupingSets(grouping_sets, *order).agg(
+            F.sum("_base_cnt").alias(COUNT), F.grouping_id().alias("_gid")
         )
         set_id = F.lit(GLOBAL_LEVEL)
         keep = F.col("_gid") == gid([])

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tallyline import schemas as S
 from tallyline.functions import scalar
 from tallyline.operators.features import apply_impute, fit_impute_medians
+from tallyline.session import materialize
 
 
 def numeric_feature_columns(df: DataFrame, exclude: tuple[str, ...], include_booleans: bool) -> list[str]:
@@ -69,6 +70,9 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
     if n < S.MIN_ROWS_FOR_LINEAR or not feature_cols:
         return LinearModel(None, feature_cols, fills, prediction_col)
     x = apply_impute(rows, fills).fillna(0.0, subset=feature_cols)
+    # The scaler and the solver each pass over the rows: read a written copy of
+    # the prepared columns instead of re-running the cleaning lineage twice.
+    x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
     pipe = Pipeline(
         stages=[
             VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
@@ -78,7 +82,7 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
             ),
         ]
     )
-    return LinearModel(pipe.fit(x.withColumn(target, F.col(target).cast("double"))), feature_cols, fills, prediction_col)
+    return LinearModel(pipe.fit(x), feature_cols, fills, prediction_col)
 
 
 def blend(median_pred, linear_pred) -> F.Column:

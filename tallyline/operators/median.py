@@ -12,7 +12,9 @@ aggregate does in its final merge) puts one hot group on one task. Instead:
    is cut into ``chunks`` value ranges at bounds from the mergeable,
    bounded-memory ``percentile_approx`` sketch over its distinct values;
    every other group is one chunk. So no task ever ranks more than about
-   ``max(max_chunk_values, d / chunks)`` histogram rows of one group.
+   ``max(max_chunk_values, d / chunks)`` histogram rows of one group. When
+   no group is that big (checked with a one-row job), the chunk machinery
+   is skipped and a single window per group does the ranking.
 4. **Exact ranks** – a window over ``(group, chunk)`` gives running counts
    inside a chunk; a window over the small ``(group, chunk)`` totals table
    gives each chunk's offset.
@@ -62,6 +64,13 @@ def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col:
 
     sizes = hist.groupBy(*g).agg(F.sum(count_col).alias("_n"), F.count(F.lit(1)).alias("_d"))
     big = sizes.where(F.col("_d") > max_chunk_values).select(*g)
+    if big.limit(1).count() == 0:
+        # No group is big: one window per group ranks its (bounded) histogram.
+        whole = Window.partitionBy(*g)
+        running = whole.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+        ranked = hist.select(*g, value_col, count_col, F.sum(count_col).over(running).alias("_end"), F.sum(count_col).over(whole).alias("_n"))
+        return ranked.select(*g, value_col, "_n", (F.col("_end") - F.col(count_col)).alias("_start"), "_end")
+
     probs = [i / chunks for i in range(1, chunks)]
     bounds = (
         hist.join(big, on=g, how="left_semi")
