@@ -1,0 +1,224 @@
+"""Full run: train both tasks, score both, write and validate the outputs.
+
+Model choice is an argument (``baseline``, ``ensemble``, ``linear`` for both
+tasks; ``patterns`` for Task 2). An unknown name means ``baseline``; a model
+that fails to train falls back to the baseline medians.
+"""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallyline import schemas as S
+from tallyline.functions import scalar
+from tallyline.operators import cleaning, features, linear, reports, staffing
+from tallyline.operators.hierarchy import GLOBAL_LEVEL, HierarchicalMedianModel
+from tallyline.plans import jobs
+from tallyline.sources import csv as csvio
+
+log = logging.getLogger(__name__)
+
+TASK1_NUMERIC = ["appt_hour", "appt_weekday", "appt_month", "appt_day", "checkin_hour", "checkin_weekday",
+                 "booking_advance_hours", "queue_number", "document_uploaded", "satisfaction_rating"]
+TASK2_NUMERIC = ["weekday", "month", "day", "is_weekend", "quarter", "is_month_end", "is_month_start",
+                 "total_task_time_minutes", "has_task_time"]
+
+Scorer = Callable[[DataFrame], DataFrame]  # scoring inputs -> (row_id, value)
+
+
+# ---------------------------------------------------------------------------
+# Task 1 scorers
+# ---------------------------------------------------------------------------
+
+
+def _task1_baseline(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
+    model = jobs.train_task1(bookings, tasks)
+    return lambda inputs: jobs.score_task1(model, inputs, tasks)
+
+
+def _task1_ensemble(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
+    model = jobs.train_task1(bookings, tasks)
+    ols = linear.fit_linear(jobs.task1_training_rows(bookings), cleaning.TASK1_TARGET, TASK1_NUMERIC)
+    lo, hi = S.TASK1_BOUNDS
+
+    def score(inputs: DataFrame) -> DataFrame:
+        pred = ols.predict(model.predict(features.task1_score_features(inputs, tasks)))
+        value = scalar.clamp_round(linear.blend(F.col("prediction"), F.col("linear_prediction")), lo, hi)
+        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK1_DEFAULT_PREDICTION)).alias("true_processing_time_minutes"))
+
+    return score
+
+
+def _task1_linear(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
+    ols = linear.fit_linear(jobs.task1_training_rows(bookings), cleaning.TASK1_TARGET, TASK1_NUMERIC)
+    if ols.pipeline is None:
+        raise ValueError("No valid training data")
+    lo, hi = S.TASK1_BOUNDS
+
+    def score(inputs: DataFrame) -> DataFrame:
+        pred = ols.predict(features.task1_score_features(inputs, tasks))
+        value = scalar.clamp_round(F.col("linear_prediction"), lo, hi)
+        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK1_DEFAULT_PREDICTION)).alias("true_processing_time_minutes"))
+
+    return score
+
+
+TASK1_MODELS = {"baseline": _task1_baseline, "ensemble": _task1_ensemble, "linear": _task1_linear}
+
+
+# ---------------------------------------------------------------------------
+# Task 2 scorers
+# ---------------------------------------------------------------------------
+
+
+def _task2_baseline(staffing_raw: DataFrame) -> Scorer:
+    model = jobs.train_task2(staffing_raw)
+    return lambda inputs: jobs.score_task2(model, inputs)
+
+
+def _task2_rows_int(staffing_raw: DataFrame) -> DataFrame:
+    return features.booleans_to_int(jobs.task2_training_rows(staffing_raw))
+
+
+def _task2_ensemble(staffing_raw: DataFrame) -> Scorer:
+    model = jobs.train_task2(staffing_raw)
+    ols = linear.fit_linear(_task2_rows_int(staffing_raw), jobs.TASK2_TARGET, TASK2_NUMERIC)
+    lo, hi = S.TASK2_BOUNDS
+
+    def score(inputs: DataFrame) -> DataFrame:
+        feats = features.booleans_to_int(features.task2_score_features(inputs))
+        pred = ols.predict(model.predict(feats))
+        value = scalar.clamp_round(linear.blend(F.col("prediction"), F.col("linear_prediction")), lo, hi)
+        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK2_DEFAULT_PREDICTION)).alias("true_required_employees"))
+
+    return score
+
+
+def _task2_linear(staffing_raw: DataFrame) -> Scorer:
+    ols = linear.fit_linear(_task2_rows_int(staffing_raw), jobs.TASK2_TARGET, TASK2_NUMERIC)
+    if ols.pipeline is None:
+        raise ValueError("No valid training data")
+    lo, hi = S.TASK2_BOUNDS
+
+    def score(inputs: DataFrame) -> DataFrame:
+        pred = ols.predict(features.booleans_to_int(features.task2_score_features(inputs)))
+        value = scalar.clamp_round(F.col("linear_prediction"), lo, hi)
+        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK2_DEFAULT_PREDICTION)).alias("true_required_employees"))
+
+    return score
+
+
+def _task2_patterns(staffing_raw: DataFrame) -> Scorer:
+    model = staffing.fit_staffing_patterns(jobs.task2_training_rows(staffing_raw), jobs.TASK2_TARGET)
+    lo, hi = S.TASK2_BOUNDS
+
+    def score(inputs: DataFrame) -> DataFrame:
+        pred = model.predict(features.task2_score_features(inputs))
+        return pred.select("row_id", scalar.sanitize(F.col("pattern_prediction"), lo, hi).alias("true_required_employees"))
+
+    return score
+
+
+TASK2_MODELS = {"baseline": _task2_baseline, "ensemble": _task2_ensemble, "linear": _task2_linear, "patterns": _task2_patterns}
+
+
+def task1_scorer(name: str, bookings: DataFrame, tasks: DataFrame | None = None) -> Scorer:
+    """Scorer for a model name; unknown names and training failures give the baseline."""
+    maker = TASK1_MODELS.get(name, _task1_baseline)
+    try:
+        return maker(bookings, tasks)
+    except Exception:  # noqa: BLE001 - any failure degrades to the baseline medians
+        if maker is _task1_baseline:
+            raise
+        log.warning("Task 1 model %r failed to train; using the baseline medians", name, exc_info=True)
+        return _task1_baseline(bookings, tasks)
+
+
+def task2_scorer(name: str, staffing_raw: DataFrame) -> Scorer:
+    maker = TASK2_MODELS.get(name, _task2_baseline)
+    try:
+        return maker(staffing_raw)
+    except Exception:  # noqa: BLE001
+        if maker is _task2_baseline:
+            raise
+        log.warning("Task 2 model %r failed to train; using the baseline medians", name, exc_info=True)
+        return _task2_baseline(staffing_raw)
+
+
+# ---------------------------------------------------------------------------
+# Saved-model check and the full run
+# ---------------------------------------------------------------------------
+
+
+def validate_model_table(spark: SparkSession, path: str, levels: list[list[str]], target: str) -> bool:
+    """A saved model table has the required columns and a global row, and scores a row."""
+    model = HierarchicalMedianModel.load(spark, path, levels, target)
+    needed = {"level", "median", "n"}
+    if not needed.issubset(set(model.table.columns)):
+        return False
+    if model.level_rows.get(GLOBAL_LEVEL, 0) != 1:
+        return False
+    probe = spark.createDataFrame([(1,)], "row_id int")
+    return model.predict(probe).where(F.col("prediction").isNotNull()).count() == 1
+
+
+@dataclass
+class RunResult:
+    task1: DataFrame  # validation report of the Task 1 file
+    task2: DataFrame
+    submission1: DataFrame
+    submission2: DataFrame
+
+
+def full_run(
+    spark: SparkSession,
+    bookings_path: str,
+    tasks_path: str,
+    staffing_path: str,
+    task1_inputs_path: str,
+    task2_inputs_path: str,
+    out_dir: str,
+    task1_model: str = "baseline",
+    task2_model: str = "baseline",
+) -> RunResult:
+    """Train both tasks from CSV, score both input files, write the outputs as
+    CSV folders under ``out_dir`` and validate them."""
+    bookings = csvio.read_or_empty(spark, bookings_path, S.BOOKINGS_COLUMNS)
+    tasks = csvio.read_or_empty(spark, tasks_path, S.TASKS_COLUMNS)
+    staffing_raw = csvio.read_or_empty(spark, staffing_path, S.STAFFING_COLUMNS)
+
+    in1 = csvio.read_csv_tolerant(spark, task1_inputs_path)
+    csvio.validate_columns(in1, S.TASK1_TEST_COLUMNS, "task1_test_inputs")
+    in2 = csvio.read_csv_tolerant(spark, task2_inputs_path)
+    csvio.validate_columns(in2, S.TASK2_TEST_COLUMNS, "task2_test_inputs")
+
+    out1 = f"{out_dir}/task1_predictions"
+    out2 = f"{out_dir}/task2_predictions"
+    try:
+        scored1 = task1_scorer(task1_model, bookings, tasks)(in1)
+        csvio.write_csv(scored1, out1)
+    except Exception:
+        csvio.write_csv(staffing.default_predictions_task1(in1), out1)
+        raise
+    try:
+        scored2 = task2_scorer(task2_model, staffing_raw)(in2)
+        csvio.write_csv(scored2, out2)
+    except Exception:
+        csvio.write_csv(staffing.default_predictions_task2(in2), out2)
+        raise
+
+    back1 = csvio.read_csv_tolerant(spark, out1)
+    back2 = csvio.read_csv_tolerant(spark, out2)
+    typed1 = back1.select(F.col("row_id"), F.col("true_processing_time_minutes").try_cast("int").alias("true_processing_time_minutes"))
+    typed2 = back2.select(F.col("row_id"), F.col("true_required_employees").try_cast("int").alias("true_required_employees"))
+    return RunResult(
+        reports.validate_output(typed1, S.TASK1_OUTPUT_COLUMNS, "true_processing_time_minutes", 0, 480),
+        reports.validate_output(typed2, S.TASK2_OUTPUT_COLUMNS, "true_required_employees", 1, 100),
+        reports.validate_submission(typed1, in1, S.TASK1_OUTPUT_COLUMNS, "true_processing_time_minutes"),
+        reports.validate_submission(typed2, in2, S.TASK2_OUTPUT_COLUMNS, "true_required_employees"),
+    )
