@@ -1,0 +1,50 @@
+"""End to end: CSV in, both tasks trained and scored, outputs validated; streaming = batch."""
+
+import time
+
+from conftest import SF_SMALL
+from tallyline.plans import jobs, pipeline
+from tallyline.sources import csv as csvio
+from tallyline.sources import fixtures as fx
+from tallyline.streaming import scoring as stream
+
+
+def _inputs(spark, tmp_path):
+    paths = {}
+    for name, maker in [("bookings", fx.bookings_v), ("tasks", fx.tasks_v), ("staffing", fx.staffing_v),
+                        ("t1", fx.task1_test_v), ("t2", fx.task2_test_v)]:
+        paths[name] = str(tmp_path / name)
+        csvio.write_csv(maker(spark, SF_SMALL), paths[name])
+    return paths
+
+
+def test_full_run_validates(spark, tmp_path):
+    p = _inputs(spark, tmp_path)
+    for m1, m2 in [("baseline", "baseline"), ("ensemble", "patterns"), ("nonsense", "linear")]:
+        res = pipeline.full_run(spark, p["bookings"], p["tasks"], p["staffing"], p["t1"], p["t2"], str(tmp_path / f"out-{m1}"), m1, m2)
+        for report in (res.task1, res.task2, res.submission1, res.submission2):
+            r = report.collect()[0]
+            assert r["valid"], (m1, m2, r)
+        n_in = fx.task1_test_v(spark, SF_SMALL).count()
+        assert res.submission1.collect()[0]["rows"] == n_in
+
+
+def test_saved_model_check(spark, tmp_path):
+    model = jobs.train_task2(fx.staffing_v(spark, SF_SMALL))
+    path = str(tmp_path / "m2")
+    model.save(path)
+    from tallyline import schemas as S
+
+    assert pipeline.validate_model_table(spark, path, S.TASK2_LEVELS["code"], jobs.TASK2_TARGET)
+
+
+def test_streaming_scoring_equals_batch(spark, tmp_path):
+    p = _inputs(spark, tmp_path)
+    model = jobs.train_task1(fx.bookings_v(spark, SF_SMALL))
+    out = str(tmp_path / "stream-out")
+    q = stream.score_task1_stream(spark, model, p["t1"], out, str(tmp_path / "ckpt"), available_now=True)
+    q.awaitTermination(300)
+    got = {(str(r[0]), r[1]) for r in spark.read.parquet(out).collect()}
+    batch = jobs.score_task1(model, csvio.read_csv_tolerant(spark, p["t1"]))
+    want = {(str(r[0]), r[1]) for r in batch.collect()}
+    assert got == want and len(got) == fx.task1_test_v(spark, SF_SMALL).count()
