@@ -397,8 +397,8 @@ def prediction_analysis_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _validate_sql(body: str, col: str, lo: int, warn: int) -> str:
     return (
-        f"SELECT count(*) AS rows, count_if(row_id IS NULL OR {col} IS NULL) AS rows_with_null, count_if({col} < {lo}) AS below_min, "
-        f"count_if({col} > {warn}) AS above_warn, true AS columns_ok, true AS integer_type, "
+        f"SELECT count(*) AS rows, CAST(count_if(row_id IS NULL OR {col} IS NULL) AS BIGINT) AS rows_with_null, CAST(count_if({col} < {lo}) AS BIGINT) AS below_min, "
+        f"CAST(count_if({col} > {warn}) AS BIGINT) AS above_warn, true AS columns_ok, true AS integer_type, "
         f"(count_if(row_id IS NULL OR {col} IS NULL) = 0 AND count_if({col} < {lo}) = 0) AS valid FROM ({body}) p"
     )
 
@@ -421,8 +421,8 @@ def validate_task2(spark: SparkSession, sf_dir: str) -> DataFrame:
     "validate_submission",
     with_views(
         ["t1_train", "t1_test", "task1_test_v"],
-        "SELECT count(*) AS rows, count_if(row_id IS NULL OR v IS NULL) AS nulls, count_if(v <> floor(v)) AS non_integer, "
-        "count_if(trunc(v) < 0) AS negative, (SELECT count(*) FROM task1_test_v) AS input_rows, "
+        "SELECT count(*) AS rows, CAST(count_if(row_id IS NULL OR v IS NULL) AS BIGINT) AS nulls, CAST(count_if(v <> floor(v)) AS BIGINT) AS non_integer, "
+        "CAST(count_if(trunc(v) < 0) AS BIGINT) AS negative, (SELECT count(*) FROM task1_test_v) AS input_rows, "
         "(count(*) = (SELECT count(*) FROM task1_test_v) AND count_if(row_id IS NULL OR v IS NULL) = 0 AND count_if(trunc(v) < 0) = 0) AS valid "
         "FROM (SELECT row_id, CAST(true_processing_time_minutes AS DOUBLE) AS v FROM (" + _t1_body + ") p) q",
         _t1_ctes,
@@ -469,7 +469,7 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = HierarchicalMedian(T1_LEVELS, cleaning.TASK1_TARGET).fit(train)
     m = jobs.train_metrics_task1(model, test)
     n_train = train.count()
-    return m.select(F.lit(n_train).alias("train_rows"), F.col("samples").alias("holdout_rows"), r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
+    return m.select(F.lit(n_train).cast("long").alias("train_rows"), F.col("samples").alias("holdout_rows"), r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
 
 
 @register(

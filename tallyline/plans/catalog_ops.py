@@ -210,10 +210,10 @@ def duration_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     "duration_quality",
     with_views(
         ["bookings_clean"],
-        """SELECT count(*) AS rows, count(raw_minutes) AS valid, count_if(raw_minutes < 0) AS negative,
-       count_if(raw_minutes > 480) AS too_long,
-       count_if(raw_minutes IS NOT NULL AND NOT (raw_minutes BETWEEN 0 AND 480)) AS removed,
-       count_if(raw_minutes BETWEEN 0 AND 480) AS kept,
+        """SELECT count(*) AS rows, count(raw_minutes) AS valid, CAST(count_if(raw_minutes < 0) AS BIGINT) AS negative,
+       CAST(count_if(raw_minutes > 480) AS BIGINT) AS too_long,
+       CAST(count_if(raw_minutes IS NOT NULL AND NOT (raw_minutes BETWEEN 0 AND 480)) AS BIGINT) AS removed,
+       CAST(count_if(raw_minutes BETWEEN 0 AND 480) AS BIGINT) AS kept,
        round(min(raw_minutes), 6) AS min_minutes, round(max(raw_minutes), 6) AS max_minutes,
        round(avg(raw_minutes), 6) AS mean_minutes, round(median(raw_minutes), 6) AS median_minutes
 FROM bookings_clean""",
