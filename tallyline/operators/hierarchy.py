@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,14 @@ from tallyline.session import scratch_path
 GLOBAL_LEVEL = -1
 
 
+def _level_info(n_levels: int) -> list[Column]:
+    """One-row summary of a model table: rows per level, global median and count."""
+    lvl = F.col("level")
+    out = [F.count_if(lvl == i).alias(f"rows_{i}") for i in [GLOBAL_LEVEL, *range(n_levels)]]
+    out += [F.max(F.when(lvl == GLOBAL_LEVEL, F.col("median"))).alias("global_median"), F.max(F.when(lvl == GLOBAL_LEVEL, F.col("n"))).alias("global_n")]
+    return out
+
+
 def _filler(dt: T.DataType) -> Column:
     """Constant for an unused key slot (level is part of the group key)."""
     if isinstance(dt, T.StringType):
@@ -95,17 +103,14 @@ class HierarchicalMedianModel:
         return cls._from_table(table, levels, target, path)
 
     @classmethod
-    def _from_table(cls, table: DataFrame, levels: list[list[str]], target: str, path: str | None):
+    def _from_table(cls, table: DataFrame, levels: list[list[str]], target: str, path: str | None, info: dict | None = None):
         key_types = {f.name: f.dataType for f in table.schema.fields if f.name not in ("level", "median", "n")}
         fitted = [[k for k in lv if k in key_types] for lv in levels]
-        # one small row per level: its size and, for the global level, the median
-        info = table.groupBy("level").agg(
-            F.count(F.lit(1)).alias("cnt"), F.max("median").alias("median"), F.max("n").alias("n")
-        ).collect()
-        counts = {r["level"]: r["cnt"] for r in info}
-        g = [r for r in info if r["level"] == GLOBAL_LEVEL]
-        global_median = float(g[0]["median"]) if g else 0.0
-        n_train = int(g[0]["n"]) if g else 0
+        if info is None:
+            info = table.agg(*_level_info(len(levels))).collect()[0].asDict()
+        counts = {i: int(info[f"rows_{i}"] or 0) for i in [GLOBAL_LEVEL, *range(len(levels))]}
+        global_median = float(info["global_median"]) if info["global_median"] is not None else 0.0
+        n_train = int(info["global_n"] or 0)
         return cls(fitted, key_types, table, counts, global_median, n_train, target, path)
 
 
@@ -196,8 +201,9 @@ class HierarchicalMedian:
         table, _ = self.fit_table(df)
         spark = df.sparkSession
         path = path or scratch_path(spark, "median-model")
-        table.write.mode("overwrite").parquet(path)
-        return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path)
+        obs = Observation(f"median-model-{path[-8:]}")  # per-level sizes, computed during the write
+        table.observe(obs, *_level_info(len(self.levels))).write.mode("overwrite").parquet(path)
+        return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path, obs.get)
 
 
 def constant_model(spark: SparkSession, levels: list[list[str]], target: str, value: float) -> HierarchicalMedianModel:

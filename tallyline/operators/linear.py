@@ -1,7 +1,9 @@
 """Linear models with MLlib and the median/linear ensemble.
 
 OLS on standardised numeric columns (``VectorAssembler -> StandardScaler ->
-LinearRegression(regParam=0)``, distributed normal equations). NULLs are
+LinearRegression(regParam=0)``, distributed normal equations). Scoring
+applies the fitted coefficients as one arithmetic column (code-generated, no
+per-row vector transforms). NULLs are
 filled with medians fitted on the training rows and stored; ±inf becomes 0.
 Fewer than 10 training rows -> no linear model (callers fall back to the
 medians alone).
@@ -48,6 +50,22 @@ class LinearModel:
     feature_cols: list[str]
     fills: DataFrame
     prediction_col: str = "linear_prediction"
+    coefficients: list[float] | None = None  # per standardised feature
+    means: list[float] | None = None
+    stds: list[float] | None = None
+    intercept: float = 0.0
+
+    def expression(self) -> F.Column:
+        """The fitted model as one arithmetic column: intercept + sum(coef * (x - mean) / std).
+
+        A feature with zero spread contributes 0, as the scaler maps it to 0.
+        """
+        out = F.lit(float(self.intercept))
+        for c, w, m, sd in zip(self.feature_cols, self.coefficients, self.means, self.stds):
+            if sd == 0.0 or w == 0.0:
+                continue
+            out = out + F.lit(float(w)) * ((F.col(c) - F.lit(float(m))) / F.lit(float(sd)))
+        return out
 
     def predict(self, df: DataFrame) -> DataFrame:
         if self.pipeline is None:
@@ -58,21 +76,20 @@ class LinearModel:
                 x = x.withColumn(c, F.lit(0.0))  # absent features default to 0
         x = apply_impute(_finite_features(x, self.feature_cols), self.fills)
         x = x.fillna(0.0, subset=self.feature_cols)  # columns with no training value
-        out = self.pipeline.transform(x).withColumnRenamed("_linear_out", self.prediction_col)
-        return out.drop("_features", "_scaled")
+        return x.withColumn(self.prediction_col, self.expression())
 
 
 def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_col: str = "linear_prediction") -> LinearModel:
+    """MLlib OLS on standardised features; scoring uses the fitted coefficients as a column expression."""
     rows = df.where(F.col(target).isNotNull())
     rows = _finite_features(rows, feature_cols)
     fills = fit_impute_medians(rows, feature_cols)
-    n = rows.limit(S.MIN_ROWS_FOR_LINEAR).count()
-    if n < S.MIN_ROWS_FOR_LINEAR or not feature_cols:
-        return LinearModel(None, feature_cols, fills, prediction_col)
     x = apply_impute(rows, fills).fillna(0.0, subset=feature_cols)
     # The scaler and the solver each pass over the rows: read a written copy of
     # the prepared columns instead of re-running the cleaning lineage twice.
     x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
+    if not feature_cols or x.count() < S.MIN_ROWS_FOR_LINEAR:  # count from the written files
+        return LinearModel(None, feature_cols, fills, prediction_col)
     pipe = Pipeline(
         stages=[
             VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
@@ -82,7 +99,18 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
             ),
         ]
     )
-    return LinearModel(pipe.fit(x), feature_cols, fills, prediction_col)
+    fitted = pipe.fit(x)
+    scaler, lr = fitted.stages[1], fitted.stages[2]
+    return LinearModel(
+        fitted,
+        feature_cols,
+        fills,
+        prediction_col,
+        [float(v) for v in lr.coefficients.toArray()],
+        [float(v) for v in scaler.mean.toArray()],
+        [float(v) for v in scaler.std.toArray()],
+        float(lr.intercept),
+    )
 
 
 def blend(median_pred, linear_pred) -> F.Column:

@@ -60,11 +60,13 @@ def _chunk_index(bounds: Column, value: Column) -> Column:
 def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col: str, chunks: int, max_chunk_values: int) -> DataFrame:
     """Histogram rows with ``_start``/``_end`` (exclusive) 0-based ranks and group size ``_n``."""
     v = F.col(value_col)
-    hist = materialize(hist, "rank-histogram")  # read by several branches below
+    # Written once (read by several branches); the write also counts the rows,
+    # an upper bound on any group's distinct values.
+    hist, seen = materialize(hist, "rank-histogram", [F.count(F.lit(1)).alias("rows")])
 
     sizes = hist.groupBy(*g).agg(F.sum(count_col).alias("_n"), F.count(F.lit(1)).alias("_d"))
     big = sizes.where(F.col("_d") > max_chunk_values).select(*g)
-    if big.limit(1).count() == 0:
+    if seen["rows"] <= max_chunk_values or big.limit(1).count() == 0:
         # No group is big: one window per group ranks its (bounded) histogram.
         whole = Window.partitionBy(*g)
         running = whole.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)

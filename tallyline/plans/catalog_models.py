@@ -514,8 +514,8 @@ _T1_NUMERIC = ["appt_hour", "appt_weekday", "appt_month", "appt_day", "checkin_h
 @register("ensemble_blend")
 def ensemble_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0.7 x hierarchical median + 0.3 x OLS on numeric features, clamped to [0, 480] and rounded."""
-    rows = jobs.task1_training_rows(fx.bookings_v(spark, sf_dir))
-    model = _t1_model(spark, sf_dir)
+    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), _T1_NUMERIC)
+    model = jobs.fit_task1(rows)
     ols = linear.fit_linear(rows, cleaning.TASK1_TARGET, _T1_NUMERIC)
     feats = features.task1_score_features(fx.task1_test_v(spark, sf_dir))
     pred = ols.predict(model.predict(feats))

@@ -18,6 +18,7 @@ from tallyline import schemas as S
 from tallyline.functions import scalar
 from tallyline.operators import cleaning, features
 from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel, constant_model
+from tallyline.session import materialize
 
 TASK1_KEYS = ("task_id", "appt_hour", "appt_weekday")
 
@@ -37,17 +38,29 @@ def task1_training_rows(bookings: DataFrame, tasks: DataFrame | None = None) ->
     return features.task1_features(cleaned, tasks)
 
 
-def train_task1(
-    bookings: DataFrame, tasks: DataFrame | None = None, levels: str | list[list[str]] = "code", path: str | None = None
-) -> HierarchicalMedianModel:
-    rows = task1_training_rows(bookings, tasks)
+def fit_task1(rows: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
+    """Task 1 medians from feature rows; the constant model when no row has a target."""
     lv = _levels(levels, S.TASK1_LEVELS)
     model = HierarchicalMedian(lv, cleaning.TASK1_TARGET).fit(rows, path)
-    if model.n_train == 0:  # no valid target: constant fallback model
-        return constant_model(bookings.sparkSession, lv, cleaning.TASK1_TARGET, S.TASK1_FALLBACK_MEDIAN)
+    if model.n_train == 0:
+        return constant_model(rows.sparkSession, lv, cleaning.TASK1_TARGET, S.TASK1_FALLBACK_MEDIAN)
     return model
 
 
+def train_task1(
+    bookings: DataFrame, tasks: DataFrame | None = None, levels: str | list[list[str]] = "code", path: str | None = None
+) -> HierarchicalMedianModel:
+    return fit_task1(task1_training_rows(bookings, tasks), levels, path)
+
+
+def task1_training_table(bookings: DataFrame, columns: list[str]) -> DataFrame:
+    """Cleaned Task 1 rows with a target, limited to ``columns``, written once to the
+    shared checkpoint folder so that several fits read them without re-cleaning."""
+    rows = task1_training_rows(bookings).where(F.col(cleaning.TASK1_TARGET).isNotNull())
+    keep = [c for c in dict.fromkeys([*TASK1_KEYS, *columns, cleaning.TASK1_TARGET]) if c in rows.columns]
+    return materialize(rows.select(*keep), "task1-training-rows")
+
+
 def predict_task1_rows(model: HierarchicalMedianModel, feats: DataFrame) -> DataFrame:
     """Adds ``prediction`` (raw), ``level`` and the sanitised integer output."""
     pred = model.predict(feats)

@@ -42,8 +42,9 @@ def _task1_baseline(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
 
 
 def _task1_ensemble(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
-    model = jobs.train_task1(bookings, tasks)
-    ols = linear.fit_linear(jobs.task1_training_rows(bookings), cleaning.TASK1_TARGET, TASK1_NUMERIC)
+    rows = jobs.task1_training_table(bookings, TASK1_NUMERIC)  # cleaned once, read by both fits
+    model = jobs.fit_task1(rows)
+    ols = linear.fit_linear(rows, cleaning.TASK1_TARGET, TASK1_NUMERIC)
     lo, hi = S.TASK1_BOUNDS
 
     def score(inputs: DataFrame) -> DataFrame:

@@ -58,15 +58,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, observe: list | None = None):
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage (a re-run after an executor loss starts from the written
     files) and lets every later branch read the result instead of
     recomputing it. One job; no second pass as with an unpersisted
-    ``checkpoint()``.
+    ``checkpoint()``. With ``observe`` (aggregate columns) the metrics are
+    computed during the same write and returned as a dict:
+    ``(frame, metrics)``.
     """
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    obs = None
+    if observe:
+        obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    back = spark.read.parquet(path)
+    if observe:
+        return back, obs.get
+    return back
