@@ -54,8 +54,9 @@ def task1_features(bookings: DataFrame, tasks: DataFrame | None = None, keep: tu
     return base.select(*out)
 
 
-def task1_score_features(inputs: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
-    """Task 1 scoring features: appointment and check-in blocks both from date + time."""
+def task1_score_features(inputs: DataFrame, tasks: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Task 1 scoring features: appointment and check-in blocks both from date + time
+    (``keep`` carries extra input columns through)."""
     base = inputs
     if tasks is not None:
         base = joins.lookup_features(base, tasks, "task_id")
@@ -75,6 +76,7 @@ def task1_score_features(inputs: DataFrame, tasks: DataFrame | None = None) -> D
         F.lit(None).cast("double").alias("satisfaction_rating"),
         F.lit(False).alias("has_satisfaction_rating"),
     ]
+    out += [F.col(c) for c in keep]
     return base.select(*out)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
-from tallyline.functions import scalar
+from tallyline.functions import scalar, timefns
 from tallyline.operators import cleaning, features, linear, reports, staffing
 from tallyline.operators.hierarchy import HierarchicalMedianModel, fit_simple_stats
 from tallyline.operators.median import grouped_median, grouped_quantiles
@@ -580,3 +580,72 @@ def load_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _write_csv_inputs(spark, sf_dir, ["bookings", "tasks", "staffing"])
     merged, _, _ = csvio.load_training_tables(spark, paths["bookings"], paths["tasks"], paths["staffing"])
     return merged.select("booking_id", "task_id", "section_id", "task_name", r6(F.col(cleaning.TASK1_TARGET)).alias("processing_time_minutes"))
+
+
+# ---------------------------------------------------------------------------
+# Level presets: the notebook variant of both tasks (range filter + dropna +
+# its own level lists), scored end to end.
+# ---------------------------------------------------------------------------
+
+T1_NOTEBOOK = S.TASK1_LEVELS["notebook"]
+T2_NOTEBOOK = S.TASK2_LEVELS["notebook"]
+
+VIEWS.update(
+    {
+        "t1nb_train": """
+  SELECT f.task_id, f.appt_hour, f.appt_weekday, f.section_id, f.processing_time_minutes AS y
+  FROM t1_feat f
+  WHERE f.processing_time_minutes BETWEEN 1 AND 480
+    AND f.task_id IS NOT NULL AND f.appt_hour IS NOT NULL AND f.appt_weekday IS NOT NULL AND f.section_id IS NOT NULL""",
+        "t1nb_test": """
+  SELECT row_id, task_id, CAST(hour(try_strptime(date || ' ' || time, '%Y-%m-%d %H:%M')) AS INTEGER) AS appt_hour,
+         CAST(isodow(try_strptime(date, '%Y-%m-%d')) - 1 AS INTEGER) AS appt_weekday
+  FROM task1_test_v""",
+        "t2nb_train": """
+  SELECT section_id, isodow(date) - 1 AS weekday, coalesce(isodow(date) - 1 >= 5, false) AS is_weekend, employees_on_duty AS y
+  FROM staffing_typed
+  WHERE employees_on_duty BETWEEN 1 AND 50 AND section_id IS NOT NULL AND date IS NOT NULL""",
+    }
+)
+_DEPS.update({"t1nb_train": ["t1_feat"], "t1nb_test": ["task1_test_v"], "t2nb_train": ["staffing_typed"]})
+
+_t1nb_ctes, _t1nb_body = hier_lookup_sql("t1nb_train", "t1nb_test", T1_NOTEBOOK, "true_processing_time_minutes", 0.0, 480.0, 30)
+_t2nb_ctes, _t2nb_body = hier_lookup_sql("t2nb_train", "t2_test", T2_NOTEBOOK, "true_required_employees", 1.0, 50.0, 3)
+
+
+@register(
+    "score_task1_notebook",
+    with_views(["t1nb_train", "t1nb_test"], f"SELECT row_id, true_processing_time_minutes, level FROM ({_t1nb_body}) p", _t1nb_ctes),
+)
+def score_task1_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notebook variant of Task 1: durations kept only in [1, 480], rows with a NULL
+    feature dropped, its 6-level preset; the input weekday comes from the date alone."""
+    tasks = fx.tasks_v(spark, sf_dir)
+    rows = features.task1_features(cleaning.clean_bookings(fx.bookings_v(spark, sf_dir)), tasks)
+    rows = cleaning.range_filter(rows, cleaning.TASK1_TARGET, 1.0, 480.0)
+    rows = cleaning.dropna_subset(rows, [cleaning.TASK1_TARGET, "task_id", "appt_hour", "appt_weekday", "section_id"])
+    model = jobs.fit_task1(rows, "notebook")
+    inputs = fx.task1_test_v(spark, sf_dir)
+    inputs = inputs.withColumn("date_weekday", F.weekday(timefns.parse_date(F.col("date"))))
+    feats = features.task1_score_features(inputs, keep=("date_weekday",))
+    feats = feats.drop("appt_weekday").withColumnRenamed("date_weekday", "appt_weekday")
+    pred = jobs.predict_task1_rows(model, feats)
+    return pred.select("row_id", "true_processing_time_minutes", "level")
+
+
+@register(
+    "score_task2_notebook",
+    with_views(["t2nb_train", "t2_test"], f"SELECT row_id, true_required_employees, level FROM ({_t2nb_body}) p", _t2nb_ctes),
+)
+def score_task2_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notebook variant of Task 2: staffing rows kept only with 1..50 employees (no
+    fill), rows with a NULL feature dropped, its 4-level preset."""
+    typed = cleaning.clean_staffing(fx.staffing_v(spark, sf_dir), fill_missing=False)
+    typed = cleaning.range_filter(typed, "employees_on_duty", 1.0, 50.0)
+    rows = features.task2_features(cleaning.staffing_target(typed), keep=(jobs.TASK2_TARGET,))
+    rows = cleaning.dropna_subset(rows, [jobs.TASK2_TARGET, "section_id", "weekday", "month", "is_weekend"])
+    from tallyline.operators.hierarchy import HierarchicalMedian
+
+    model = HierarchicalMedian(T2_NOTEBOOK, jobs.TASK2_TARGET).fit(rows)
+    pred = jobs.predict_task2_rows(model, features.task2_score_features(fx.task2_test_v(spark, sf_dir)))
+    return pred.select("row_id", "true_required_employees", "level")
