@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tallyline.operators import joins
 from tallyline.operators.median import COUNT, median_from_histogram
-from tallyline.session import scratch_path
+from tallyline.session import scratch_path, scratch_scope
 
 GLOBAL_LEVEL = -1
 
@@ -198,12 +198,14 @@ class HierarchicalMedian:
 
     def fit(self, df: DataFrame, path: str | None = None) -> HierarchicalMedianModel:
         """Fit and write the model table (shared checkpoint folder unless ``path``)."""
-        table, _ = self.fit_table(df)
         spark = df.sparkSession
         path = path or scratch_path(spark, "median-model")
-        obs = Observation(f"median-model-{path[-8:]}")  # per-level sizes, computed during the write
-        table.observe(obs, *_level_info(len(self.levels))).write.mode("overwrite").parquet(path)
-        return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path, obs.get)
+        with scratch_scope(spark):  # the rank histogram is removed once the model is written
+            table, _ = self.fit_table(df)
+            obs = Observation(f"median-model-{path[-8:]}")  # per-level sizes, computed during the write
+            table.observe(obs, *_level_info(len(self.levels))).write.mode("overwrite").parquet(path)
+            info = obs.get
+        return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path, info)
 
 
 def constant_model(spark: SparkSession, levels: list[list[str]], target: str, value: float) -> HierarchicalMedianModel:

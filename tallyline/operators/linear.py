@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tallyline import schemas as S
 from tallyline.functions import scalar
 from tallyline.operators.features import apply_impute, fit_impute_medians
-from tallyline.session import materialize
+from tallyline.session import materialize, scratch_scope
 
 
 def numeric_feature_columns(df: DataFrame, exclude: tuple[str, ...], include_booleans: bool) -> list[str]:
@@ -87,19 +87,12 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
     x = apply_impute(rows, fills).fillna(0.0, subset=feature_cols)
     # The scaler and the solver each pass over the rows: read a written copy of
     # the prepared columns instead of re-running the cleaning lineage twice.
-    x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
-    if not feature_cols or x.count() < S.MIN_ROWS_FOR_LINEAR:  # count from the written files
-        return LinearModel(None, feature_cols, fills, prediction_col)
-    pipe = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
-            StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
-            LinearRegression(
-                featuresCol="_scaled", labelCol=target, predictionCol="_linear_out", regParam=0.0, solver="normal", standardization=False
-            ),
-        ]
-    )
-    fitted = pipe.fit(x)
+    spark = df.sparkSession
+    with scratch_scope(spark):  # the design copy is removed once the fit is done
+        x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
+        if not feature_cols or x.count() < S.MIN_ROWS_FOR_LINEAR:  # count from the written files
+            return LinearModel(None, feature_cols, fills, prediction_col)
+        fitted = _pipeline(feature_cols, target).fit(x)
     scaler, lr = fitted.stages[1], fitted.stages[2]
     return LinearModel(
         fitted,
@@ -113,6 +106,18 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
     )
 
 
+def _pipeline(feature_cols: list[str], target: str) -> Pipeline:
+    return Pipeline(
+        stages=[
+            VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
+            StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
+            LinearRegression(
+                featuresCol="_scaled", labelCol=target, predictionCol="_linear_out", regParam=0.0, solver="normal", standardization=False
+            ),
+        ]
+    )
+
+
 def blend(median_pred, linear_pred) -> F.Column:
     """``0.7 * median + 0.3 * linear``; the medians alone when there is no linear value."""
     mixed = F.lit(S.ENSEMBLE_MEDIAN_WEIGHT) * median_pred + F.lit(S.ENSEMBLE_LINEAR_WEIGHT) * linear_pred

@@ -7,6 +7,7 @@ checkpoint folder from the session.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -58,6 +59,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediate tables written by ``materialize`` inside the block
+    once it ends (used around a fit whose result is written elsewhere)."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
+
+
 def materialize(df, name: str, observe: list | None = None):
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -77,6 +98,8 @@ def materialize(df, name: str, observe: list | None = None):
         obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     back = spark.read.parquet(path)
     if observe:
         return back, obs.get
