@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tallyline import schemas as S
 from tallyline.functions import scalar, timefns
 from tallyline.operators.median import grouped_median
+from tallyline.session import materialize
 
 TIMESTAMP_COLUMNS = ["booking_created_time", "appointment_time", "check_in_time", "check_out_time"]
 BOOKING_NUMERIC = ["queue_number", "satisfaction_rating"]
@@ -121,6 +122,8 @@ def clean_staffing(df: DataFrame, fill_missing: bool = True) -> DataFrame:
     out = df.select(*cols)
     if not fill_missing or "employees_on_duty" not in types or "total_task_time_minutes" not in types:
         return out
+    # The typed rows feed both the ratio median and the fill: read the source once.
+    out = materialize(out, "staffing-typed", keep=True)
     row = minutes_per_employee(out).collect()
     if not row or row[0]["minutes_per_employee"] is None:
         return out

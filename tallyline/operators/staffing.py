@@ -11,7 +11,7 @@ from tallyline import schemas as S
 from tallyline.functions import scalar
 from tallyline.operators import joins
 from tallyline.operators.median import grouped_median
-from tallyline.session import materialize
+from tallyline.session import materialize, scratch_scope
 
 
 def section_aggregates(staffing: DataFrame) -> DataFrame:
@@ -86,31 +86,35 @@ class StaffingPatternModel:
 def fit_staffing_patterns(df: DataFrame, target: str) -> StaffingPatternModel:
     """Section stats (median, mean, count) and weekday stats (median, mean), each
     truncated to int with a floor of 1; global truncated mean with a floor of 1."""
-    valid = df.where(F.col(target).isNotNull())
     spark = df.sparkSession
-    g = valid.agg(F.avg(target).alias("m")).collect()[0]["m"]
-    global_average = max(1, int(g)) if g is not None else 1
-    if "section_id" in valid.columns:
-        s = valid.where(F.col("section_id").isNotNull())
-        s_mean = s.groupBy("section_id").agg(F.avg(target).alias("_mean"), F.count(F.lit(1)).alias("count"))
-        s_med = grouped_median(s, ["section_id"], target, median_col="_median").drop("n")
-        sections = s_mean.join(s_med, "section_id").select(
-            "section_id", _trunc_floor1(F.col("_median")).alias("median_i"), _trunc_floor1(F.col("_mean")).alias("mean_i"), "count"
+    cols = [c for c in ("section_id", "weekday") if c in df.columns]
+    with scratch_scope(spark):  # the rows are read by five passes, then removed
+        valid, seen = materialize(
+            df.where(F.col(target).isNotNull()).select(*cols, target), "pattern-rows", [F.avg(target).alias("m")]
         )
-    else:
-        sections = spark.createDataFrame([], "section_id string, median_i int, mean_i int, count bigint")
-    if "weekday" in valid.columns:
-        w = valid.where(F.col("weekday").isNotNull())
-        w_mean = w.groupBy("weekday").agg(F.avg(target).alias("_mean"))
-        w_med = grouped_median(w, ["weekday"], target, median_col="_median").drop("n")
-        weekdays = w_mean.join(w_med, "weekday").select(
-            F.col("weekday").cast("int").alias("weekday"), _trunc_floor1(F.col("_median")).alias("median_i"), _trunc_floor1(F.col("_mean")).alias("mean_i")
-        )
-    else:
-        weekdays = spark.createDataFrame([], "weekday int, median_i int, mean_i int")
-    sections = materialize(sections, "pattern-sections")
-    weekdays = materialize(weekdays, "pattern-weekdays")
-    return StaffingPatternModel(sections, weekdays, global_average, sections.count(), weekdays.count())
+        g = seen["m"]
+        global_average = max(1, int(g)) if g is not None else 1
+        if "section_id" in cols:
+            s = valid.where(F.col("section_id").isNotNull())
+            s_mean = s.groupBy("section_id").agg(F.avg(target).alias("_mean"), F.count(F.lit(1)).alias("count"))
+            s_med = grouped_median(s, ["section_id"], target, median_col="_median").drop("n")
+            sections = s_mean.join(s_med, "section_id").select(
+                "section_id", _trunc_floor1(F.col("_median")).alias("median_i"), _trunc_floor1(F.col("_mean")).alias("mean_i"), "count"
+            )
+        else:
+            sections = spark.createDataFrame([], "section_id string, median_i int, mean_i int, count bigint")
+        if "weekday" in cols:
+            w = valid.where(F.col("weekday").isNotNull())
+            w_mean = w.groupBy("weekday").agg(F.avg(target).alias("_mean"))
+            w_med = grouped_median(w, ["weekday"], target, median_col="_median").drop("n")
+            weekdays = w_mean.join(w_med, "weekday").select(
+                F.col("weekday").cast("int").alias("weekday"), _trunc_floor1(F.col("_median")).alias("median_i"), _trunc_floor1(F.col("_mean")).alias("mean_i")
+            )
+        else:
+            weekdays = spark.createDataFrame([], "weekday int, median_i int, mean_i int")
+        sections, n_sec = materialize(sections, "pattern-sections", [F.count(F.lit(1)).alias("rows")], keep=True)
+        weekdays, n_wd = materialize(weekdays, "pattern-weekdays", [F.count(F.lit(1)).alias("rows")], keep=True)
+    return StaffingPatternModel(sections, weekdays, global_average, int(n_sec["rows"]), int(n_wd["rows"]))
 
 
 def default_predictions_task1(inputs: DataFrame) -> DataFrame:

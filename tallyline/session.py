@@ -79,7 +79,7 @@ def scratch_scope(spark: SparkSession):
             hp.getFileSystem(conf).delete(hp, True)
 
 
-def materialize(df, name: str, observe: list | None = None):
+def materialize(df, name: str, observe: list | None = None, keep: bool = False):
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage (a re-run after an executor loss starts from the written
@@ -87,7 +87,8 @@ def materialize(df, name: str, observe: list | None = None):
     recomputing it. One job; no second pass as with an unpersisted
     ``checkpoint()``. With ``observe`` (aggregate columns) the metrics are
     computed during the same write and returned as a dict:
-    ``(frame, metrics)``.
+    ``(frame, metrics)``. Inside a ``scratch_scope`` the table is deleted when
+    the scope ends, unless ``keep``.
     """
     from pyspark.sql import Observation
 
@@ -98,7 +99,7 @@ def materialize(df, name: str, observe: list | None = None):
         obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES:
+    if _SCOPES and not keep:
         _SCOPES[-1].append(path)
     back = spark.read.parquet(path)
     if observe:
