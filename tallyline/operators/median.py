@@ -177,9 +177,18 @@ def grouped_quantiles(
     names: list[str],
     n_col: str = "n",
     method: str = "linear",
+    observation: tuple | None = None,
 ) -> DataFrame:
-    """Exact quantiles of ``value_col`` per group (NULL/NaN skipped)."""
+    """Exact quantiles of ``value_col`` per group (NULL/NaN skipped).
+
+    ``observation`` (an ``Observation`` and its aggregate columns) is attached
+    to the input rows, so whole-input statistics come out of the same pass
+    that builds the histogram.
+    """
     keyed = df
+    if observation is not None:
+        obs, exprs = observation
+        keyed = keyed.observe(obs, *exprs)
     for c in group_cols:
         keyed = keyed.where(F.col(c).isNotNull())
     hist = value_histogram(keyed, group_cols, value_col)

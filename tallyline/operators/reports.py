@@ -7,7 +7,9 @@ task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,13 +24,29 @@ def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, sample std, min, exact 25/50/75 % (linear interpolation), max."""
+    """count, mean, sample std, min, exact 25/50/75 % (linear interpolation), max.
+
+    One pass over ``df``: the plain statistics are observed while the quantile
+    histogram is written.
+    """
     c = F.col(col)
-    basic = df.agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")
+    obs = Observation(f"describe-{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")]
+    q = grouped_quantiles(
+        df.select(c, c.cast("double").alias("_v")), [], "_v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"], observation=(obs, exprs)
+    ).drop("n")
+    stats = obs.get
+    dt = dict((f.name, f.dataType) for f in df.schema.fields)[col]
+    return q.select(
+        F.lit(stats["count"]).cast("long").alias("count"),
+        F.lit(stats["mean"]).cast("double").alias("mean"),
+        F.lit(stats["std"]).cast("double").alias("std"),
+        F.lit(stats["min"]).cast(dt).alias("min"),
+        "p25",
+        "p50",
+        "p75",
+        F.lit(stats["max"]).cast(dt).alias("max"),
     )
-    q = grouped_quantiles(df.select(c.cast("double").alias("_v")), [], "_v", [0.25, 0.5, 0.75], ["p25", "p50", "p75"]).drop("n")
-    return _one_row_join(basic, q)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

@@ -468,8 +468,7 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = HierarchicalMedian(T1_LEVELS, cleaning.TASK1_TARGET).fit(train)
     m = jobs.train_metrics_task1(model, test)
-    n_train = train.count()
-    return m.select(F.lit(n_train).cast("long").alias("train_rows"), F.col("samples").alias("holdout_rows"), r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
+    return m.select(F.lit(model.n_train).cast("long").alias("train_rows"), F.col("samples").alias("holdout_rows"), r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
 
 
 @register(

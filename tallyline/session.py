@@ -40,15 +40,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     directory). Only a local-mode session without either setting (tests) gets a
     private folder; a cluster session must name a shared one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM handle: configuration only
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="tallyline-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -72,8 +79,11 @@ def scratch_scope(spark: SparkSession):
         yield paths
     finally:
         _SCOPES.pop()
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        try:
+            jvm = spark.sparkContext._jvm
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+        except Exception:  # noqa: BLE001 - no JVM handle: leave the files to the folder's retention
+            paths = []
         for p in paths:
             hp = jvm.org.apache.hadoop.fs.Path(p)
             hp.getFileSystem(conf).delete(hp, True)
