@@ -38,7 +38,10 @@ def to_boolean(c: Column, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, T.NumericType):
         return F.when(c == 1, F.lit(True)).when(c == 0, F.lit(False))
     text = c.cast("string")
-    return F.when(text.isin(S.TRUE_TOKENS), F.lit(True)).when(text.isin(S.FALSE_TOKENS), F.lit(False))
+    mapping = {**S.BOOLEAN_MAP, **S.BOOLEAN_NUMERIC_TEXT}
+    true_tokens = [k for k, v in mapping.items() if v]
+    false_tokens = [k for k, v in mapping.items() if not v]
+    return F.when(text.isin(true_tokens), F.lit(True)).when(text.isin(false_tokens), F.lit(False))
 
 
 def null_outside(c: Column, lo: float, hi: float) -> Column:

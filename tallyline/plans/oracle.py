@@ -184,10 +184,16 @@ TASK_TIME_CATEGORY_SQL = (
     "WHEN coalesce({t}, 0) > 960 THEN 'very_high' END"
 )
 
-BOOL_MAP_SQL = (
-    "CASE WHEN {c} IN ('1', 'true', 'True', 'yes', 'Yes', 'Y', '1.0') THEN true "
-    "WHEN {c} IN ('0', 'false', 'False', 'no', 'No', 'N', '0.0') THEN false END"
-)
+def _bool_map_sql() -> str:
+    from tallyline import schemas as S
+
+    mapping = {**S.BOOLEAN_MAP, **S.BOOLEAN_NUMERIC_TEXT}
+    t = ", ".join(f"'{k}'" for k, v in mapping.items() if v)
+    f = ", ".join(f"'{k}'" for k, v in mapping.items() if not v)
+    return "CASE WHEN {c} IN (" + t + ") THEN true WHEN {c} IN (" + f + ") THEN false END"
+
+
+BOOL_MAP_SQL = _bool_map_sql()
 
 VIEWS.update(
     {

@@ -93,9 +93,23 @@ TASK2_LEVELS = {
     ],
 }
 
-# Boolean text map (case-sensitive); numeric 1/0 and 1.0/0.0 also map.
-TRUE_TOKENS = ["1", "true", "True", "yes", "Yes", "Y", "1.0"]
-FALSE_TOKENS = ["0", "false", "False", "no", "No", "N", "0.0"]
+# Boolean text map (case-sensitive); every other value becomes NULL. Numbers
+# 1 / 0 also map, so their text forms "1.0" / "0.0" are listed after it.
+BOOLEAN_MAP = {
+    "1": True,
+    "0": False,
+    "true": True,
+    "false": False,
+    "True": True,
+    "False": False,
+    "yes": True,
+    "no": False,
+    "Yes": True,
+    "No": False,
+    "Y": True,
+    "N": False,
+}
+BOOLEAN_NUMERIC_TEXT = {"1.0": True, "0.0": False}
 
 # Date formats tried in order (month-first wins when ambiguous).
 DATE_FORMATS = ["yyyy-M-d", "M/d/yyyy", "d/M/yyyy", "yyyy/M/d"]

@@ -3,7 +3,7 @@
 import time
 
 from conftest import SF_SMALL
-from tallyline.plans import jobs, pipeline
+from tallyline.plans import fullrun, jobs
 from tallyline.sources import csv as csvio
 from tallyline.sources import fixtures as fx
 from tallyline.streaming import scoring as stream
@@ -21,7 +21,7 @@ def _inputs(spark, tmp_path):
 def test_full_run_validates(spark, tmp_path):
     p = _inputs(spark, tmp_path)
     for m1, m2 in [("baseline", "baseline"), ("ensemble", "patterns"), ("nonsense", "linear")]:
-        res = pipeline.full_run(spark, p["bookings"], p["tasks"], p["staffing"], p["t1"], p["t2"], str(tmp_path / f"out-{m1}"), m1, m2)
+        res = fullrun.full_run(spark, p["bookings"], p["tasks"], p["staffing"], p["t1"], p["t2"], str(tmp_path / f"out-{m1}"), m1, m2)
         for report in (res.task1, res.task2, res.submission1, res.submission2):
             r = report.collect()[0]
             assert r["valid"], (m1, m2, r)
@@ -35,7 +35,7 @@ def test_saved_model_check(spark, tmp_path):
     model.save(path)
     from tallyline import schemas as S
 
-    assert pipeline.validate_model_table(spark, path, S.TASK2_LEVELS["code"], jobs.TASK2_TARGET)
+    assert fullrun.validate_model_table(spark, path, S.TASK2_LEVELS["code"], jobs.TASK2_TARGET)
 
 
 def test_streaming_scoring_equals_batch(spark, tmp_path):
