@@ -648,3 +648,30 @@ def score_task2_notebook(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = HierarchicalMedian(T2_NOTEBOOK, jobs.TASK2_TARGET).fit(rows)
     pred = jobs.predict_task2_rows(model, features.task2_score_features(fx.task2_test_v(spark, sf_dir)))
     return pred.select("row_id", "true_required_employees", "level")
+
+
+# ---------------------------------------------------------------------------
+# Streaming: the Task 1 inputs scored by a Structured Streaming job
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "stream_score_task1",
+    with_views(["t1_train", "t1_test"], f"SELECT row_id, true_processing_time_minutes FROM ({_t1_body}) p", _t1_ctes),
+)
+def stream_score_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task 1 inputs landed as Parquet files and scored by a streaming query
+    (file source, stream-static joins with the model, Parquet sink with a checkpoint)."""
+    from tallyline.streaming import scoring as streaming
+
+    model = _t1_model(spark, sf_dir)
+    landing = scratch_path(spark, "stream-landing")
+    inputs = fx.task1_test_v(spark, sf_dir)
+    inputs.select(*[F.col(c).cast("string").alias(c) for c in inputs.columns]).write.mode("overwrite").parquet(landing)
+    out = scratch_path(spark, "stream-out")
+    q = streaming.score_task1_stream(spark, model, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet", available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    scored = spark.read.parquet(out)
+    return scored.select(F.col("row_id").cast("long").alias("row_id"), "true_processing_time_minutes")
