@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -66,7 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()  # scratch scopes are per thread
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 @contextlib.contextmanager
@@ -74,11 +81,11 @@ def scratch_scope(spark: SparkSession):
     """Delete the intermediate tables written by ``materialize`` inside the block
     once it ends (used around a fit whose result is written elsewhere)."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    _scopes().append(paths)
     try:
         yield paths
     finally:
-        _SCOPES.pop()
+        _scopes().pop()
         try:
             jvm = spark.sparkContext._jvm
             conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -109,8 +116,8 @@ def materialize(df, name: str, observe: list | None = None, keep: bool = False):
         obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, *observe)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES and not keep:
-        _SCOPES[-1].append(path)
+    if _scopes() and not keep:
+        _scopes()[-1].append(path)
     back = spark.read.parquet(path)
     if observe:
         return back, obs.get
