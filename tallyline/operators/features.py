@@ -16,7 +16,7 @@ from tallyline.functions import timefns
 from tallyline.operators import joins
 from tallyline.operators.cleaning import TASK1_TARGET
 from tallyline.operators.median import grouped_median
-from tallyline.session import materialize
+from tallyline.session import materialize, scratch_scope
 
 ID_COLUMNS = ("row_id", "booking_id")
 
@@ -140,19 +140,40 @@ def categorical_columns(df: DataFrame, skip: tuple[str, ...] = ID_COLUMNS) -> li
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
 
 
+def dense_codes(labels: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``(column, value, code)``: 0-based rank of each distinct label within its column.
+
+    Labels are range-partitioned on ``(column, value)`` so one column's labels
+    can spread over many ordered partitions; the partition index is fixed by
+    writing the table once. Ranks are a row number inside
+    ``(column, partition)`` plus the labels of the column in earlier
+    partitions (a small per-partition totals table).
+    """
+    spark = labels.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    ordered = labels.repartitionByRange(n, "column", "value").withColumn("_part", F.spark_partition_id())
+    with scratch_scope(spark):
+        ordered = materialize(ordered, "code-labels")
+        inside = Window.partitionBy("column", "_part").orderBy("value")
+        ranked = ordered.withColumn("_r", F.row_number().over(inside) - 1)
+        totals = ordered.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_k"))
+        before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select("column", "_part", F.coalesce(F.sum("_k").over(before), F.lit(0)).alias("_off"))
+        codes = ranked.join(offsets, ["column", "_part"]).select("column", "value", (F.col("_off") + F.col("_r")).cast("int").alias("code"))
+        return materialize(codes, "category-codes", keep=True)
+
+
 def fit_category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Code table ``(column, value, code)``: sorted distinct values -> 0..n-1.
 
-    Binned columns keep their fixed bin order instead. The window runs over
-    distinct labels per column (dimension-sized), not over rows.
+    Binned columns keep their fixed bin order instead.
     """
     free = [c for c in cols if c not in BINNED_ORDINALS]
     parts = []
     if free:
         stacked = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in free])).alias("kv"))
         distinct = stacked.select("kv.column", "kv.value").where(F.col("value").isNotNull()).distinct()
-        w = Window.partitionBy("column").orderBy("value")
-        parts.append(distinct.select("column", "value", (F.dense_rank().over(w) - 1).cast("int").alias("code")))
+        parts.append(dense_codes(distinct))
     spark = df.sparkSession
     fixed = [(c, label, code) for c in cols if c in BINNED_ORDINALS for label, code in BINNED_ORDINALS[c].items()]
     if fixed:

@@ -91,3 +91,14 @@ def test_weekday_monday_is_zero(spark):
 def test_section_default_is_reproducible(spark):
     got = _col(spark, ["SEC-001", None], "string", scalar.section_default)
     assert got[0] == max(1, 3 + int("5d795987", 16) % 5) and got[1] == 3
+
+
+def test_dense_codes_span_partitions(spark):
+    from tallyline.operators.features import dense_codes
+
+    labels = [("a", f"v{i:04d}") for i in range(300)] + [("b", "x"), ("b", "a")]
+    df = spark.createDataFrame(labels, "column string, value string")
+    got = {(r["column"], r["value"]): r["code"] for r in dense_codes(df, partitions=7).collect()}
+    assert got[("a", "v0000")] == 0 and got[("a", "v0299")] == 299
+    assert [got[("a", f"v{i:04d}")] for i in range(300)] == list(range(300))
+    assert got[("b", "a")] == 0 and got[("b", "x")] == 1
