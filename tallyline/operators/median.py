@@ -31,7 +31,7 @@ constant).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.session import materialize
@@ -39,7 +39,7 @@ from tallyline.session import materialize
 COUNT = "_cnt"
 DEFAULT_CHUNKS = 128
 DEFAULT_MAX_CHUNK_VALUES = 1_000_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 1_000  # only places chunk cuts; ranks stay exact
 
 
 def value_histogram(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
@@ -52,9 +52,20 @@ def value_histogram(df: DataFrame, group_cols: list[str], value_col: str) -> Dat
     )
 
 
-def _chunk_index(bounds: Column, value: Column) -> Column:
-    """Number of chunk bounds at or below ``value`` (0 when not chunked)."""
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(F.size(F.filter(bounds, lambda b: b <= value)))
+def _with_chunk_index(df: DataFrame, bounds: str, value: str, n_bounds: int, out: str = "_chunk") -> DataFrame:
+    """Adds ``out`` = number of the sorted ``bounds`` at or below ``value`` (0 when
+    ``bounds`` is NULL), by a binary search of fixed depth: one code-generated
+    comparison per step instead of a scan of every bound."""
+    step = 1
+    while step * 2 <= n_bounds:
+        step *= 2
+    df = df.withColumn(out, F.lit(0))
+    while step >= 1:
+        nxt = F.col(out) + F.lit(step)
+        hit = (nxt <= F.lit(n_bounds)) & (F.element_at(F.col(bounds), nxt) <= F.col(value))
+        df = df.withColumn(out, F.when(F.col(bounds).isNotNull() & hit, nxt).otherwise(F.col(out)))
+        step //= 2
+    return df
 
 
 def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col: str, chunks: int, max_chunk_values: int) -> DataFrame:
@@ -79,12 +90,8 @@ def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col:
         .groupBy(*g)
         .agg(F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_bounds"))
     )
-    h = (
-        hist.join(sizes.drop("_d"), on=g, how="inner")
-        .join(bounds, on=g, how="left")
-        .withColumn("_chunk", _chunk_index(F.col("_bounds"), v))
-        .drop("_bounds")
-    )
+    h = hist.join(sizes.drop("_d"), on=g, how="inner").join(bounds, on=g, how="left")
+    h = _with_chunk_index(h, "_bounds", value_col, chunks - 1).drop("_bounds")
     per_chunk = h.groupBy(*g, "_chunk").agg(F.sum(count_col).alias("_chunk_n"))
     before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     per_chunk = per_chunk.select(*g, "_chunk", F.coalesce(F.sum("_chunk_n").over(before), F.lit(0)).alias("_off"))
