@@ -672,7 +672,10 @@ def stream_score_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs.select(*[F.col(c).cast("string").alias(c) for c in inputs.columns]).write.mode("overwrite").parquet(landing)
     out = scratch_path(spark, "stream-out")
     q = streaming.score_task1_stream(spark, model, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet", available_now=True)
-    q.awaitTermination()
+    finished = q.awaitTermination(1800)  # availableNow ends by itself; never wait forever
+    if not finished:
+        q.stop()
+        raise TimeoutError("streaming scoring did not finish")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     scored = spark.read.parquet(out)

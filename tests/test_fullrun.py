@@ -43,7 +43,7 @@ def test_streaming_scoring_equals_batch(spark, tmp_path):
     model = jobs.train_task1(fx.bookings_v(spark, SF_SMALL))
     out = str(tmp_path / "stream-out")
     q = stream.score_task1_stream(spark, model, p["t1"], out, str(tmp_path / "ckpt"), available_now=True)
-    q.awaitTermination(300)
+    assert q.awaitTermination(300)
     got = {(str(r[0]), r[1]) for r in spark.read.parquet(out).collect()}
     batch = jobs.score_task1(model, csvio.read_csv_tolerant(spark, p["t1"]))
     want = {(str(r[0]), r[1]) for r in batch.collect()}
