@@ -27,9 +27,16 @@ def section_aggregates(staffing: DataFrame) -> DataFrame:
         F.avg(t).alias("section_avg_task_time"),
         F.when(F.count(t) > 0, F.count(F.lit(1))).alias("section_total_observations"),
     )
-    med_e = grouped_median(s, ["section_id"], "employees_on_duty", median_col="section_median_employees").drop("n")
-    med_t = grouped_median(s, ["section_id"], "total_task_time_minutes", median_col="section_median_task_time").drop("n")
-    return base.join(med_e, "section_id", "left").join(med_t, "section_id", "left")
+    # Both medians from one histogram: the two measures are stacked as (measure, value).
+    stacked = s.select(
+        "section_id",
+        F.explode(F.array(F.struct(F.lit("e").alias("m"), emp.cast("double").alias("v")), F.struct(F.lit("t").alias("m"), t.cast("double").alias("v")))).alias("mv"),
+    ).select("section_id", "mv.m", "mv.v")
+    med = grouped_median(stacked, ["section_id", "m"], "v").groupBy("section_id").agg(
+        F.max(F.when(F.col("m") == "e", F.col("median"))).alias("section_median_employees"),
+        F.max(F.when(F.col("m") == "t", F.col("median"))).alias("section_median_task_time"),
+    )
+    return base.join(med, "section_id", "left")
 
 
 def _trunc_floor1(c) -> F.Column:
