@@ -43,3 +43,20 @@ def _formatted(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain(mode="formatted")
     return buf.getvalue()
+
+
+def test_fit_plans_never_use_a_single_partition(spark):
+    from pyspark.sql import functions as F
+
+    from tallyline import schemas as S
+    from tallyline.operators.hierarchy import HierarchicalMedian
+    from tallyline.operators.median import grouped_median
+
+    rows = jobs.task1_training_rows(fx.bookings_v(spark, SF_SMALL))
+    table, _ = HierarchicalMedian(S.TASK1_LEVELS["code"], "processing_time_minutes").fit_table(rows)
+    assert "SinglePartition" not in _plan(table)
+    # the chunked path (forced) ranks a hot group over many (group, chunk) partitions
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 37 % 4999).cast("double").alias("v"))
+    med = grouped_median(df, ["g"], "v", chunks=16, max_chunk_values=10)
+    plan = _plan(med)
+    assert "SinglePartition" not in plan and "percentile_approx" in plan
