@@ -156,6 +156,23 @@ def train_metrics_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"), "samples")
 
 
+@register(
+    "train_metrics_task1_unrounded",
+    with_views(
+        ["t1_rows"],
+        "SELECT round(avg(abs(raw_prediction - y)), 6) AS mae, round(sqrt(avg((raw_prediction - y) * (raw_prediction - y))), 6) AS rmse, "
+        f"count(*) AS samples FROM ({_t1_in_body}) q JOIN t1_rows r ON q.row_id = r.row_id",
+        _t1_in_ctes,
+    ),
+)
+def train_metrics_task1_unrounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In-sample MAE / RMSE of the raw Task 1 medians, before clipping and rounding."""
+    rows = jobs.task1_training_rows(fx.bookings_v(spark, sf_dir))
+    model = _t1_model(spark, sf_dir)
+    m = jobs.train_metrics_task1(model, rows.where(F.col(cleaning.TASK1_TARGET).isNotNull()), rounded=False)
+    return m.select(r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"), "samples")
+
+
 @register(
     "train_metrics_task2",
     with_views(["t2_rows"], f"SELECT {_METRICS} FROM ({_t2_in_body}) q JOIN t2_rows r ON q.row_id = r.row_id", _t2_in_ctes),

@@ -131,9 +131,11 @@ def metrics(pred: DataFrame, pred_col: str, target_col: str) -> DataFrame:
     )
 
 
-def train_metrics_task1(model: HierarchicalMedianModel, rows: DataFrame) -> DataFrame:
+def train_metrics_task1(model: HierarchicalMedianModel, rows: DataFrame, rounded: bool = True) -> DataFrame:
+    """In-sample metrics of the sanitised integer predictions, or (``rounded=False``)
+    of the raw medians before clipping and rounding."""
     pred = predict_task1_rows(model, rows)
-    return metrics(pred, "true_processing_time_minutes", cleaning.TASK1_TARGET)
+    return metrics(pred, "true_processing_time_minutes" if rounded else "prediction", cleaning.TASK1_TARGET)
 
 
 def train_metrics_task2(model: HierarchicalMedianModel, rows: DataFrame) -> DataFrame:
