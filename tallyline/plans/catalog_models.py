@@ -13,7 +13,7 @@ from tallyline.operators.median import grouped_median, grouped_quantiles
 from tallyline.plans import jobs
 from tallyline.plans.catalog import T1_LEVELS, T2_LEVELS, _t1_body, _t1_ctes, _t1_model, _t2_body, _t2_ctes, _t2_model, r6, register
 from tallyline.plans.oracle import VIEWS, _DEPS, hier_lookup_sql, with_views
-from tallyline.session import scratch_path
+from tallyline.session import materialize, scratch_path
 from tallyline.sources import csv as csvio
 from tallyline.sources import fixtures as fx
 
@@ -150,9 +150,9 @@ _METRICS = "round(avg(abs(p - y)), 6) AS mae, round(sqrt(avg((p - y) * (p - y)))
 )
 def train_metrics_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In-sample MAE / RMSE of the sanitised Task 1 predictions."""
-    rows = jobs.task1_training_rows(fx.bookings_v(spark, sf_dir))
-    model = _t1_model(spark, sf_dir)
-    m = jobs.train_metrics_task1(model, rows.where(F.col(cleaning.TASK1_TARGET).isNotNull()))
+    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), [])  # cleaned once: fit and metrics read it
+    model = jobs.fit_task1(rows)
+    m = jobs.train_metrics_task1(model, rows)
     return m.select(r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"), "samples")
 
 
@@ -167,9 +167,9 @@ def train_metrics_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def train_metrics_task1_unrounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In-sample MAE / RMSE of the raw Task 1 medians, before clipping and rounding."""
-    rows = jobs.task1_training_rows(fx.bookings_v(spark, sf_dir))
-    model = _t1_model(spark, sf_dir)
-    m = jobs.train_metrics_task1(model, rows.where(F.col(cleaning.TASK1_TARGET).isNotNull()), rounded=False)
+    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), [])
+    model = jobs.fit_task1(rows)
+    m = jobs.train_metrics_task1(model, rows, rounded=False)
     return m.select(r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"), "samples")
 
 
@@ -198,8 +198,8 @@ GROUP BY m.mae, m.rmse""",
 )
 def model_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target summary stored with the Task 1 model, with its in-sample metrics."""
-    rows = jobs.task1_training_rows(fx.bookings_v(spark, sf_dir)).where(F.col(cleaning.TASK1_TARGET).isNotNull())
-    model = _t1_model(spark, sf_dir)
+    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), [])
+    model = jobs.fit_task1(rows)
     m = jobs.train_metrics_task1(model, rows)
     meta = reports.model_metadata(rows, cleaning.TASK1_TARGET, "baseline_median", m)
     return meta.select(
@@ -478,6 +478,7 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-ordered split: the latest ~20 % of training rows held out and scored by a model fitted on the rest."""
     cleaned = cleaning.clean_bookings(fx.bookings_v(spark, sf_dir)).withColumn("appt_us", F.unix_micros("appointment_time"))
     rows = features.task1_features(cleaned, keep=(cleaning.TASK1_TARGET, "appt_us")).where(F.col(cleaning.TASK1_TARGET).isNotNull())
+    rows = materialize(rows.select(*jobs.TASK1_KEYS, cleaning.TASK1_TARGET, "appt_us"), "holdout-rows")  # cut, fit and test read it
     cut = grouped_quantiles(rows.select(F.col("appt_us").cast("double").alias("us")), [], "us", [0.8], ["cut"], method="lower").collect()[0]["cut"]
     train = rows.where(F.col("appt_us") <= F.lit(cut))
     test = rows.where(F.col("appt_us") > F.lit(cut))
