@@ -36,7 +36,7 @@ def _norm(v):
             return "inf" if v > 0 else "-inf"
         if v == int(v) and abs(v) < 2**53:
             return str(int(v))
-        return repr(round(v, 9))
+        return repr(v)  # exact: every oracle matches at full float precision
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, bool):
