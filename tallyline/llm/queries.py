@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import decontam, packing, pii, quality
 from .common import table
-from . import packing
 
 
 def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +18,38 @@ def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    out = pii.report(table(spark, sf_dir, "documents"))
+    first = ["doc_id", *(f"n_{k}" for k in pii.BASE), "base_sha256", "spans"]
+    return out.select(*first, *(c for c in out.columns if c not in first))
+
+
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdicts of every document."""
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    out = quality.judge(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "posterior",
+    )
+
+
+def op8_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    out = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.col("longest").alias("longest_match"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
+    "op5_anchor_expansion": op5_anchor_expansion,
+    "op6_weak_supervision": op6_weak_supervision,
+    "op8_suffix_automaton_decontamination": op8_suffix_automaton_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
