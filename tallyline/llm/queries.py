@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, license, packing, pii, quality
+from . import chat, decontam, license, packing, pii, quality, toxicity
 from .common import table
 
 
+def op2_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; the model learns from labels whose crc32 mod 5 is not 0."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    out = toxicity.score(docs, model)
+    return out.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *toxicity.FEATURES,
+    )
+
+
 def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 tokens."""
     import public_tokenizers
@@ -81,6 +92,7 @@ def op10_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
     "op5_anchor_expansion": op5_anchor_expansion,
     "op6_weak_supervision": op6_weak_supervision,
