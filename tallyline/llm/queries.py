@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, license, packing, pii, quality, toxicity
+from . import chat, decontam, jaccard, license, packing, pii, quality, toxicity
 from .common import table
 
 
@@ -22,6 +22,11 @@ def op2_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_count_vector_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of every document at 4-word shingles and similarity 0.85."""
+    return jaccard.join(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op4_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 4096 tokens."""
     import public_tokenizers
@@ -93,6 +98,7 @@ def op10_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
+    "op3_count_vector_rtree": op3_count_vector_rtree,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
     "op5_anchor_expansion": op5_anchor_expansion,
     "op6_weak_supervision": op6_weak_supervision,
