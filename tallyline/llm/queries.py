@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, license, packing, pii, quality, toxicity
+from . import chat, decontam, jaccard, license, lm, packing, pii, quality, substring, toxicity
 from .common import table
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of every document; rows whose crc32 mod 7 is 2 are held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    out = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_levenshtein_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; the model learns from labels whose crc32 mod 5 is not 0."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -83,6 +90,11 @@ def op8_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
     )
 
 
+def op9_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 35 words that also start elsewhere."""
+    return substring.repeated(table(spark, sf_dir, "documents"), size=35, texts=False).drop("kept")
+
+
 def op10_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in every document."""
     base = F.filter("found", lambda f: f["base"])
@@ -97,6 +109,7 @@ def op10_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
     "op3_count_vector_rtree": op3_count_vector_rtree,
     "op4_cost_balanced_packing": op4_cost_balanced_packing,
@@ -104,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_weak_supervision": op6_weak_supervision,
     "op7_typed_content_parts": op7_typed_content_parts,
     "op8_suffix_automaton_decontamination": op8_suffix_automaton_decontamination,
+    "op9_recompression_dedup": op9_recompression_dedup,
     "op10_rare_token_licenses": op10_rare_token_licenses,
 }
 
