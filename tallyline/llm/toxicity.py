@@ -19,7 +19,7 @@ rate of toxic labels; repeated rows are scored one by one; other columns are ign
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,6 +34,8 @@ from . import common
 SAMPLE_ROWS = 4000
 #: Entries of at least this length also match at distance 1.
 FUZZY_FROM = 5
+#: Weight of a misspelled hit against an exact one.
+MISSPELLED = 0.8
 #: Remembered words of a worker, and states of the automaton.
 CACHED = 1 << 18
 
@@ -50,6 +52,8 @@ class Lexicon:
 
     entries: dict[str, tuple[bool, float]] = field(default_factory=dict)
     clean: frozenset[str] = frozenset()
+    #: how far a misspelled hit of an entry is trusted; less, the more clean words are near it
+    trust: dict[str, float] = field(default_factory=dict)
 
 
 class Matcher:
@@ -171,28 +175,30 @@ def context(words: list[str], at: int, reach: int = 6) -> float:
     return max(-2.0, min(2.0, score))
 
 
-FEATURES = ("exact", "misspelled", "address", "quotation", "share")
+FEATURES = ("weight", "misspelled", "address", "quotation", "share")
 
 
 def features(known: Words, text: str | None) -> list[float]:
-    """A text's hits as numbers: summed weights of exact and misspelled hits, context, and share."""
+    """A text's hits as numbers: their summed weights, those of misspelled ones, context, and share."""
     words = text.split() if text else []
     hits = list(map(known.__getitem__, words))
-    exact = fuzzy = address = quotation = 0.0
+    total = fuzzy = address = quotation = 0.0
     n = 0
     if any(hits):
-        entries = known.matcher.lexicon.entries
+        entries, trust = known.matcher.lexicon.entries, known.matcher.lexicon.trust
         for i, hit in enumerate(hits):
             if hit is None:
                 continue
             n += 1
             around = context(words, i)
             weight = entries[hit[0]][1] * (0.5 if around < 0 else 1.0)
-            exact += weight * (hit[1] == 0)
-            fuzzy += weight * (hit[1] > 0)
+            if hit[1]:
+                weight *= MISSPELLED * trust.get(hit[0], 1.0)
+                fuzzy += weight
+            total += weight
             address += max(0.0, around)
             quotation += max(0.0, -around)
-    return [*map(math.log1p, (exact, fuzzy, address, quotation, 100 * n / max(1, len(words))))]
+    return [*map(math.log1p, (total, fuzzy, address, quotation, 100 * n / max(1, len(words))))]
 
 
 @dataclass
@@ -229,7 +235,7 @@ def choose(rows: list[tuple[str, int, int, int]], n_toxic: int, n_clean: int) ->
         longer[p[:-1]].append(p)
     out: dict[str, tuple[bool, float]] = {}
     for p in sorted(table):
-        if p[:-1] in table or p.endswith("$") and len(p) > 1 and p[:-1] in table:
+        if p[:-1] in table:
             continue  # reached from its beginning
         todo = [p]
         while todo:
@@ -288,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         known = materialize(known, "toxicity-labels")
         total = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         n1, n0 = total.get(1, 0), total.get(0, 0)
-        prior = math.log((n1 + 0.5) / (n0 + 0.5))
+        prior = math.log((n1 + 0.5) / (n0 + 1.5))
         nothing = Model(Lexicon(), [prior] + [0.0] * len(FEATURES))
         order = F.xxhash64("doc_id")
         part = lambda v, n: known.where(F.col("toxic") == v).orderBy(order, "doc_id").limit(n)
@@ -331,14 +337,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
             words = Words(Matcher(lexicon))
 
             def step(batch):
-                seen = {w for t in batch.column(1).to_pylist() for w in (t or "").split() if (h := words[w]) and h[1]}
-                return {"word": sorted({normal(w) for w in seen})}
+                seen = {(normal(w), h[0]) for t in batch.column(1).to_pylist() for w in (t or "").split() if (h := words[w]) and h[1]}
+                return {"word": [w for w, _ in sorted(seen)], "entry": [e for _, e in sorted(seen)]}
 
             return step
 
-        clean = common.map_batches(sample.where((F.col("toxic") == 0) & (half == 0)), misspelled, "word string").distinct()
-        lexicon.clean = frozenset(r["word"] for r in clean.collect())
-        rows = _features(sample.where((F.col("toxic") == 1) | (half == 1)), Lexicon(lexicon.entries, lexicon.clean), "toxic").collect()
+        clean = common.map_batches(sample.where((F.col("toxic") == 0) & (half == 0)), misspelled, "word string, entry string").distinct().collect()
+        lexicon.clean = frozenset(r["word"] for r in clean)
+        near = Counter(r["entry"] for r in clean)
+        lexicon.trust = {e: 1 / (1 + n) for e, n in near.items()}
+        rows = _features(sample.where((F.col("toxic") == 1) | (half == 1)), lexicon, "toxic").collect()
     x = np.array([list(r["x"]) for r in rows])
     y = np.array([r["toxic"] for r in rows], float)
     if len(set(y)) < 2:
