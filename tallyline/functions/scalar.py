@@ -58,27 +58,19 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     )
 
 
-def round_half_even(c: Column, scale: int = 0) -> Column:
-    return F.bround(c, scale)
-
-
 def sanitize(c: Column, lo: float = 0.0, hi: float | None = None) -> Column:
-    """Prediction sanitiser: non-finite or NULL -> ``lo``, clip, round half-even.
-
-    The value is first rounded to 6 places so that a tie such as 12.5 computed
-    with a last-bit error still rounds as the tie it stands for.
-    """
+    """Prediction sanitiser: non-finite or NULL -> ``lo``, clip, round half-even."""
     v = F.when(c.isNull() | ~is_finite(c), F.lit(float(lo))).otherwise(c)
     v = F.greatest(v, F.lit(float(lo)))
     if hi is not None:
         v = F.least(v, F.lit(float(hi)))
-    return F.bround(F.bround(v, 6), 0).cast("int")
+    return F.bround(v, 0).cast("int")
 
 
 def clamp_round(c: Column, lo: float, hi: float) -> Column:
     """Post-map clamp to ``[lo, hi]`` and round half-even to int (NULL stays NULL)."""
     v = F.least(F.greatest(c, F.lit(float(lo))), F.lit(float(hi)))
-    return F.bround(F.bround(v, 6), 0).cast("int")
+    return F.bround(v, 0).cast("int")
 
 
 def section_default(section: Column) -> Column:

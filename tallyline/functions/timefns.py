@@ -41,8 +41,9 @@ def parse_date(c: Column, dtype: T.DataType | None = None) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c.cast("date")
     text = _blank_to_null(c.cast("string"))
+    has_date = text.rlike(r"\d{1,4}[-/]\d{1,2}[-/]\d{1,4}")
     options = [F.try_to_timestamp(text, F.lit(f)) for f in S.DATE_FORMATS]
-    options.append(F.try_to_timestamp(text))
+    options.append(F.when(has_date, F.try_to_timestamp(text)))  # a bare time is no date of today
     return F.coalesce(*options).cast("date")
 
 
@@ -53,7 +54,7 @@ def parse_time(c: Column) -> Column:
     trimming, with hour in 0..23 and minute in 0..59.
     """
     text = F.trim(c.cast("string"))
-    colon = text.rlike(r"^[+-]?\d+:[+-]?\d+$")
+    colon = text.rlike(r"^[+-]?\d+\s*:\s*[+-]?\d+$")
     digits = text.rlike(r"^\d{4}$")
     hour = (
         F.when(colon, F.split(text, ":").getItem(0).try_cast("int"))

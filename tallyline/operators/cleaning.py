@@ -129,7 +129,7 @@ def clean_staffing(df: DataFrame, fill_missing: bool = True) -> DataFrame:
         return out
     m = float(row[0]["minutes_per_employee"])
     emp, t = F.col("employees_on_duty"), F.col("total_task_time_minutes")
-    est = t / F.lit(m)
+    est = F.lit(None).cast("double") if m == 0 else t / F.lit(m)  # a zero median fills nothing
     filled = F.when(emp.isNull() & t.isNotNull() & scalar.is_finite(est), F.bround(est, 0)).otherwise(emp)
     return out.withColumn("employees_on_duty", filled)
 

@@ -117,13 +117,9 @@ class HierarchicalMedianModel:
 class HierarchicalMedian:
     """Estimator: medians of ``target`` for each level of key columns."""
 
-    def __init__(
-        self, levels: list[list[str]], target: str = "target", chunks: int | None = None, max_chunk_values: int | None = None
-    ):
+    def __init__(self, levels: list[list[str]], target: str = "target"):
         self.levels = [list(lv) for lv in levels]
         self.target = target
-        self.chunks = chunks
-        self.max_chunk_values = max_chunk_values
 
     def fit_table(self, df: DataFrame) -> tuple[DataFrame, list[list[str]]]:
         """Lazy model table ``(level, keys..., median, n)`` and the fitted levels."""
@@ -176,12 +172,7 @@ class HierarchicalMedian:
             slots.append(F.when(used, F.col(k)).otherwise(_filler(types[k])).alias(k))
         hist = hist.select("_set", *slots, self.target, COUNT)
 
-        kwargs = {}
-        if self.chunks:
-            kwargs["chunks"] = self.chunks
-        if self.max_chunk_values is not None:
-            kwargs["max_chunk_values"] = self.max_chunk_values
-        med = median_from_histogram(hist, ["_set", *keys], self.target, COUNT, **kwargs)
+        med = median_from_histogram(hist, ["_set", *keys], self.target, COUNT)
 
         # Key sets back to levels (duplicate levels share a set) and NULL in unused slots.
         level_ids = F.array(F.lit(GLOBAL_LEVEL))

@@ -4,29 +4,23 @@ A median needs the two middle values of each group. Collecting a group's
 values (or its full value-count map, as the built-in exact ``median``
 aggregate does in its final merge) puts one hot group on one task. Instead:
 
-1. **Histogram** – ``(group, value) -> count`` with map-side partial
-   aggregation, so repeated values are combined before the shuffle. A group
-   holding a third of all rows is spread over its distinct values.
-2. **Group sizes** – per group: rows ``n`` and distinct values ``d``.
-3. **Chunks** – a group with more than ``max_chunk_values`` distinct values
-   is cut into ``chunks`` value ranges at bounds from the mergeable,
-   bounded-memory ``percentile_approx`` sketch over its distinct values;
-   every other group is one chunk. So no task ever ranks more than about
-   ``max(max_chunk_values, d / chunks)`` histogram rows of one group. When
-   no group is that big (checked with a one-row job), the chunk machinery
-   is skipped and a single window per group does the ranking.
-4. **Exact ranks** – a window over ``(group, chunk)`` gives running counts
-   inside a chunk; a window over the small ``(group, chunk)`` totals table
-   gives each chunk's offset.
-5. **Pick** – the rows whose rank interval covers ``(n-1) div 2`` and
+1. **Histogram** - ``(group, value) -> count`` with map-side partial
+   aggregation, so repeated values are combined before the shuffle.
+2. **Ranges** - the histogram is range-partitioned by ``(group, value)`` and
+   written with its partition number. A hot group spans many partitions, each
+   a range of its values.
+3. **Offsets** - totals per ``(group, partition)`` (one row for each partition
+   a group touches) give every partition's first rank and the group's size.
+   Only partitions whose ranks cover a wanted one go on.
+4. **Exact ranks** - a window over ``(group, partition)`` gives running counts
+   within those.
+5. **Pick** - the rows whose rank interval covers ``(n-1) div 2`` and
    ``n div 2``; their mean is the median (middle value, or mean of the two
    middle values, as in pandas).
 
-The histogram is written once to the shared checkpoint folder, since the
-steps above read it several times. The sketch only decides where chunks are
-cut; ranks and results are exact.
-All group columns must be non-NULL (callers encode unused key slots with a
-constant).
+There is one path for all sizes. The written histogram cuts the lineage, and
+its partition numbers stay as they are if an executor is lost. All group
+columns must be non-NULL (callers encode unused key slots with a constant).
 """
 
 from __future__ import annotations
@@ -37,9 +31,6 @@ from pyspark.sql import functions as F
 from tallyline.session import materialize
 
 COUNT = "_cnt"
-DEFAULT_CHUNKS = 128
-DEFAULT_MAX_CHUNK_VALUES = 1_000_000
-SKETCH_ACCURACY = 1_000  # only places chunk cuts; ranks stay exact
 
 
 def value_histogram(df: DataFrame, group_cols: list[str], value_col: str) -> DataFrame:
@@ -52,55 +43,27 @@ def value_histogram(df: DataFrame, group_cols: list[str], value_col: str) -> Dat
     )
 
 
-def _with_chunk_index(df: DataFrame, bounds: str, value: str, n_bounds: int, out: str = "_chunk") -> DataFrame:
-    """Adds ``out`` = number of the sorted ``bounds`` at or below ``value`` (0 when
-    ``bounds`` is NULL), by a binary search of fixed depth: one code-generated
-    comparison per step instead of a scan of every bound."""
-    step = 1
-    while step * 2 <= n_bounds:
-        step *= 2
-    df = df.withColumn(out, F.lit(0))
-    while step >= 1:
-        nxt = F.col(out) + F.lit(step)
-        hit = (nxt <= F.lit(n_bounds)) & (F.element_at(F.col(bounds), nxt) <= F.col(value))
-        df = df.withColumn(out, F.when(F.col(bounds).isNotNull() & hit, nxt).otherwise(F.col(out)))
-        step //= 2
-    return df
-
-
-def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col: str, chunks: int, max_chunk_values: int) -> DataFrame:
-    """Histogram rows with ``_start``/``_end`` (exclusive) 0-based ranks and group size ``_n``."""
-    v = F.col(value_col)
-    # Written once (read by several branches); the write also counts the rows,
-    # an upper bound on any group's distinct values.
-    hist, seen = materialize(hist, "rank-histogram", [F.count(F.lit(1)).alias("rows")])
-
-    sizes = hist.groupBy(*g).agg(F.sum(count_col).alias("_n"), F.count(F.lit(1)).alias("_d"))
-    big = sizes.where(F.col("_d") > max_chunk_values).select(*g)
-    if seen["rows"] <= max_chunk_values or big.limit(1).count() == 0:
-        # No group is big: one window per group ranks its (bounded) histogram.
-        whole = Window.partitionBy(*g)
-        running = whole.orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = hist.select(*g, value_col, count_col, F.sum(count_col).over(running).alias("_end"), F.sum(count_col).over(whole).alias("_n"))
-        return ranked.select(*g, value_col, "_n", (F.col("_end") - F.col(count_col)).alias("_start"), "_end")
-
-    probs = [i / chunks for i in range(1, chunks)]
-    bounds = (
-        hist.join(big, on=g, how="left_semi")
-        .groupBy(*g)
-        .agg(F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_bounds"))
+def _ranked_histogram(hist: DataFrame, g: list[str], value_col: str, count_col: str, ranks) -> DataFrame:
+    """Histogram rows that may cover a wanted rank, with ``_start``/``_end`` (exclusive)
+    0-based ranks and group size ``_n``; ``ranks(n)`` lists the wanted rank columns."""
+    ranged = hist.repartitionByRange(*g, value_col).withColumn("_part", F.spark_partition_id())
+    ranged = materialize(ranged, "rank-histogram")
+
+    totals = ranged.groupBy(*g, "_part").agg(F.sum(count_col).alias("_part_n"))
+    whole = Window.partitionBy(*g)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(
+        *g, "_part", "_part_n", F.coalesce(F.sum("_part_n").over(before), F.lit(0)).alias("_off"), F.sum("_part_n").over(whole).alias("_n")
     )
-    h = hist.join(sizes.drop("_d"), on=g, how="inner").join(bounds, on=g, how="left")
-    h = _with_chunk_index(h, "_bounds", value_col, chunks - 1).drop("_bounds")
-    per_chunk = h.groupBy(*g, "_chunk").agg(F.sum(count_col).alias("_chunk_n"))
-    before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = per_chunk.select(*g, "_chunk", F.coalesce(F.sum("_chunk_n").over(before), F.lit(0)).alias("_off"))
-
-    in_chunk = Window.partitionBy(*g, "_chunk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    h = h.withColumn("_cum", F.sum(count_col).over(in_chunk))
-    ranked = h.join(per_chunk, on=[*g, "_chunk"], how="inner")
+    covers = F.lit(False)
+    for rank in ranks(F.col("_n")):
+        covers = covers | ((F.col("_off") <= rank) & (rank < F.col("_off") + F.col("_part_n")))
+    wanted = totals.where(covers).select(*g, "_part", "_off", "_n")
+
+    in_part = Window.partitionBy(*g, "_part").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+    h = ranged.join(wanted, on=[*g, "_part"], how="inner").withColumn("_cum", F.sum(count_col).over(in_part))
     end = F.col("_off") + F.col("_cum")
-    return ranked.select(*g, value_col, "_n", (end - F.col(count_col)).alias("_start"), end.alias("_end"))
+    return h.select(*g, value_col, "_n", (end - F.col(count_col)).alias("_start"), end.alias("_end"))
 
 
 def quantiles_from_histogram(
@@ -111,8 +74,6 @@ def quantiles_from_histogram(
     names: list[str],
     count_col: str = COUNT,
     n_col: str = "n",
-    chunks: int = DEFAULT_CHUNKS,
-    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
     midpoint_median: bool = True,
     method: str = "linear",
 ) -> DataFrame:
@@ -128,7 +89,12 @@ def quantiles_from_histogram(
         hist = hist.withColumn("_all", F.lit(0))
         g = ["_all"]
     v = F.col(value_col)
-    ranked = _ranked_histogram(hist, g, value_col, count_col, chunks, max_chunk_values)
+
+    def ranks(n):
+        positions = [(n - 1) * F.lit(float(p)) for p in probs]
+        return [r for pos in positions for r in (F.floor(pos), F.ceil(pos))]
+
+    ranked = _ranked_histogram(hist, g, value_col, count_col, ranks)
     n = F.col("_n")
     start, end = F.col("_start"), F.col("_end")
 
@@ -162,18 +128,14 @@ def median_from_histogram(
     group_cols: list[str],
     value_col: str,
     count_col: str = COUNT,
-    chunks: int = DEFAULT_CHUNKS,
     median_col: str = "median",
     n_col: str = "n",
-    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
 ) -> DataFrame:
     """Exact median per group from a ``(group, value, count)`` histogram.
 
     Returns one row per group: ``group_cols + [median_col, n_col]``.
     """
-    return quantiles_from_histogram(
-        hist, group_cols, value_col, [0.5], [median_col], count_col, n_col, chunks, max_chunk_values
-    )
+    return quantiles_from_histogram(hist, group_cols, value_col, [0.5], [median_col], count_col, n_col)
 
 
 def grouped_quantiles(
@@ -206,10 +168,8 @@ def grouped_median(
     df: DataFrame,
     group_cols: list[str],
     value_col: str,
-    chunks: int = DEFAULT_CHUNKS,
     median_col: str = "median",
     n_col: str = "n",
-    max_chunk_values: int = DEFAULT_MAX_CHUNK_VALUES,
 ) -> DataFrame:
     """Exact median of ``value_col`` per group (NULL/NaN values skipped).
 
@@ -219,4 +179,4 @@ def grouped_median(
     for c in group_cols:
         keyed = keyed.where(F.col(c).isNotNull())
     hist = value_histogram(keyed, group_cols, value_col)
-    return median_from_histogram(hist, group_cols, value_col, COUNT, chunks, median_col, n_col, max_chunk_values)
+    return median_from_histogram(hist, group_cols, value_col, COUNT, median_col, n_col)

@@ -134,7 +134,7 @@ def hier_lookup_sql(train: str, test: str, levels: list[list[str]], out_value: s
     ctes.append(("mg", f"SELECT coalesce(median(y), 0) AS med FROM {train}"))
     pred = f"coalesce({', '.join(meds)}, mg.med)"
     clipped = f"least(greatest({pred}, {lo}), {hi})"
-    value = f"coalesce(CAST(round_even(round_even({clipped}, 6), 0) AS INTEGER), {default})"
+    value = f"coalesce(CAST(round_even({clipped}, 0) AS INTEGER), {default})"
     level = "CASE " + " ".join(levels_sql) + " ELSE -1 END"
     body = f"SELECT t.row_id, {value} AS {out_value}, {level} AS level, {pred} AS raw_prediction FROM {test} t CROSS JOIN mg " + " ".join(joins)
     return ctes, body

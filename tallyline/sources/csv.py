@@ -1,37 +1,62 @@
 """Tolerant CSV scan and sink, required-column check, training-table loader.
 
 Scan rules: header row; every column read as text (typing is done by the
-cleaning expressions); short rows padded with NULL; rows with more fields
-than the header dropped; UTF-8 unless the file does not decode, then the
-whole file is read as ISO-8859-1.
+cleaning expressions); quotes doubled inside quoted fields, which may hold
+commas and line breaks; the usual missing-value tokens are NULL; short rows
+padded with NULL; rows with more fields than the header dropped.
+
+Encoding: the bytes are read as ISO-8859-1, which loses nothing, and each field is
+then decoded as UTF-8 where its bytes are valid UTF-8, else kept as ISO-8859-1.
+So files of both encodings mix in a folder without a second pass, and a genuine
+U+FFFD stays what it is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import Column
+from pyspark.errors import AnalysisException
 
 from tallyline import schemas as S
 
 CORRUPT = "_corrupt_record"
 _QUOTED = r'"([^"]|"")*"'
+_BYTES = "ISO-8859-1"
 
+# Tokens that data-frame CSV readers take for a missing value.
+NULL_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
-def header_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
-    """Column names from the header line (reads only the first line)."""
-    return spark.read.option("header", True).option("inferSchema", False).option("encoding", encoding).csv(path).columns
 
+def decoded(c: Column) -> Column:
+    """Text whose bytes were read as ISO-8859-1: as UTF-8 where they are valid UTF-8."""
+    text = F.encode(c, _BYTES).cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(c)
 
-def _scan(spark: SparkSession, path: str, columns: list[str], encoding: str) -> DataFrame:
+
+def _header(raw: list[str]) -> list[str]:
+    out = []
+    for name in raw:
+        try:
+            out.append(name.encode("latin-1").decode("utf-8"))
+        except UnicodeError:
+            out.append(name)
+    return out
+
+
+def _scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    options = {"header": True, "quote": '"', "escape": '"', "encoding": _BYTES, "multiLine": multi_line}
+    raw = spark.read.options(inferSchema=False, **options).csv(path).columns  # reads the first line
+    columns = [f"_c{i}" for i in range(len(raw))]
     schema = S.string_schema(columns).add(CORRUPT, "string")
     df = (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(enforceSchema=True, **options)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("encoding", encoding)
-        .option("multiLine", False)
         .csv(path)
     )
     # A malformed row is kept when it has at most n-1 separators outside quotes
@@ -43,33 +68,26 @@ def _scan(spark: SparkSession, path: str, columns: list[str], encoding: str) ->
     # never prunes the scan down to the corrupt-record column alone, which the
     # CSV reader refuses.
     anchor = F.greatest(F.length(F.col(columns[0])), F.lit(-1)) >= -1
-    return df.where(keep & anchor).drop(CORRUPT)
-
+    texts = [decoded(F.col(c)) for c in columns]
+    return df.where(keep & anchor).select(
+        *[F.when(~t.isin(*NULL_TOKENS), t).alias(name) for t, name in zip(texts, _header(raw), strict=True)]
+    )
 
-def _has_replacement_char(df: DataFrame) -> bool:
-    cond = None
-    for c in df.columns:
-        hit = F.col(c).contains("\ufffd")
-        cond = hit if cond is None else cond | hit
-    if cond is None:
-        return False
-    return df.where(cond).limit(1).count() > 0
 
+def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All-text DataFrame of a CSV file or folder (see module rules).
 
-def read_csv_tolerant(spark: SparkSession, path: str) -> DataFrame:
-    """All-text DataFrame of a CSV file or folder (see module rules)."""
-    columns = header_columns(spark, path)
-    df = _scan(spark, path, columns, "UTF-8")
-    if _has_replacement_char(df):
-        columns = header_columns(spark, path, "ISO-8859-1")
-        df = _scan(spark, path, columns, "ISO-8859-1")
-    return df
+    ``multi_line=False`` lets a large file be split among tasks; it is for files
+    known to have no line breaks inside quotes.
+    """
+    return _scan(spark, path, multi_line)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header, UTF-8, no index, overwriting ``path`` (a folder of parts)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    options = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+    out.write.mode("overwrite").options(**options).csv(path)
 
 
 def validate_columns(df: DataFrame, required: list[str], name: str = "DataFrame") -> None:
@@ -84,7 +102,9 @@ def read_or_empty(spark: SparkSession, path: str | None, columns: list[str]) ->
         return spark.createDataFrame([], S.string_schema(columns))
     try:
         return read_csv_tolerant(spark, path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], S.string_schema(columns))
 
 

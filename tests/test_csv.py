@@ -1,5 +1,7 @@
 """Tolerant CSV scan: short, long and quoted rows, encoding fallback, missing files."""
 
+import pandas as pd
+
 from tallyline.sources import csv as csvio
 
 
@@ -51,3 +53,47 @@ def test_roundtrip_and_required_columns(spark, tmp_path):
         raise AssertionError("expected ValueError")
     except ValueError as e:
         assert "missing" in str(e)
+
+
+def test_dialect_equals_pandas(spark, tmp_path):
+    text = (
+        'a,b,c\n"a ""b"" c","q"",z",1\n"line\nbreak",x,2\nNA,N/A,nan\n"NA","",null\n'
+        'None,#N/A,NULL\nna,none,Null\n" lead",trail ,"""quoted"""\n5,6\n7,8,9,10\n"",-nan,\\"\n'
+    )
+    path = _write(tmp_path, "d.csv", text.encode())
+    want = pd.read_csv(path, dtype=str, engine="python", on_bad_lines="skip")
+    key = lambda r: tuple("" if x is None or x != x else str(x) for x in r)
+    got = csvio.read_csv_tolerant(spark, path).collect()
+    assert sorted(map(key, got)) == sorted(map(key, want.itertuples(index=False)))
+
+
+def test_written_file_reads_back_in_pandas(spark, tmp_path):
+    rows = [("1", 'say "hi", you'), ("2", "two\nlines"), ("3", "é \ufffd"), ("4", None), ("5", 'tail"')]
+    csvio.write_csv(spark.createDataFrame(rows, "id string, v string"), str(tmp_path / "w"), single_file=True)
+    part = next((tmp_path / "w").glob("part-*.csv"))
+    back = pd.read_csv(part, dtype=str, encoding="utf-8", engine="python", on_bad_lines="skip")
+    assert sorted((i, None if v != v else v) for i, v in back.values.tolist()) == sorted(rows, key=lambda r: r[0])
+    assert sorted(tuple(r) for r in csvio.read_csv_tolerant(spark, str(tmp_path / "w")).collect()) == rows
+
+
+def test_genuine_replacement_character_stays(spark, tmp_path):
+    path = _write(tmp_path, "r.csv", "näme,city\nJosé,M\ufffdx\n".encode())
+    df = csvio.read_csv_tolerant(spark, path)
+    assert df.columns == ["näme", "city"] and [tuple(r) for r in df.collect()] == [("José", "M\ufffdx")]
+
+
+def test_folder_of_both_encodings_is_read_once(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    _write(folder, "a.csv", "name\nJosé\n".encode())
+    _write(folder, "b.csv", "name\nMálaga\n".encode("latin-1"))
+    df = csvio.read_csv_tolerant(spark, str(folder))
+    assert sorted(r[0] for r in df.collect()) == ["José", "Málaga"]
+
+
+def test_only_a_missing_path_is_an_empty_table(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises((AnalysisException, Exception)):
+        csvio.read_or_empty(spark, "no-such-scheme://x/y.csv", ["a"]).collect()

@@ -1,13 +1,17 @@
 """Plan checks: scoring is broadcast joins only, nothing runs in Python, scans are pruned."""
 
+import re
+
+import pytest
+
 from conftest import SF_SMALL
 from tallyline.plans import jobs
 from tallyline.sources import fixtures as fx
 
 
 def _plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # the frame's own execution: a write would run another one
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
 def test_scoring_plan_has_no_shuffle(spark):
@@ -46,17 +50,59 @@ def _formatted(df) -> str:
 
 
 def test_fit_plans_never_use_a_single_partition(spark):
-    from pyspark.sql import functions as F
-
     from tallyline import schemas as S
     from tallyline.operators.hierarchy import HierarchicalMedian
-    from tallyline.operators.median import grouped_median
 
     rows = jobs.task1_training_rows(fx.bookings_v(spark, SF_SMALL))
     table, _ = HierarchicalMedian(S.TASK1_LEVELS["code"], "processing_time_minutes").fit_table(rows)
     assert "SinglePartition" not in _plan(table)
-    # the chunked path (forced) ranks a hot group over many (group, chunk) partitions
-    df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 37 % 4999).cast("double").alias("v"))
-    med = grouped_median(df, ["g"], "v", chunks=16, max_chunk_values=10)
-    plan = _plan(med)
-    assert "SinglePartition" not in plan and "percentile_approx" in plan
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_hot_group_is_ranked_in_even_parts(spark, tmp_path, threshold):
+    """Two thirds of the rows in one of 100 groups, nearly all values distinct: after the
+    histogram no task gets more than its share, whether joins are broadcast or not."""
+    from pyspark.sql import functions as F
+
+    from tallyline import session
+    from tallyline.operators.median import grouped_median
+
+    n, parts = 200_000, 40
+    g = F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 100).alias("g")
+    df = spark.range(n).select(g, (F.col("id") * 7919 % 1_000_003).cast("double").alias("v"))
+    conf = {
+        "spark.sql.shuffle.partitions": str(parts), "spark.sql.autoBroadcastJoinThreshold": threshold,
+        # the test's few bytes are otherwise one partition by right
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    written = []
+    keep = session.materialize
+
+    def seen(frame, name, *args, **kwargs):
+        out = keep(frame, name, *args, **kwargs)
+        written.append(out)
+        return out
+
+    from tallyline.operators import median
+
+    median.materialize = seen
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        med = grouped_median(df, ["g"], "v")
+        med.collect()  # the frame's own execution, so its plan is the final one
+        plan = med._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        sizes = [r["count"] for r in written[0].groupBy("g", "_part").count().collect()]
+    finally:
+        median.materialize = keep
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert max(sizes) <= 4 * n / parts
+    by = re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan)
+    assert any("_part" in x for x in by)  # rows are ranked by (group, part)
+    # whatever is dealt out by the group alone has been reduced to totals or picked rows
+    exact = df.groupBy("g").agg(F.expr("median(v)").alias("m")).collect()
+    assert {r["g"]: r["median"] for r in med.collect()} == {r["g"]: r["m"] for r in exact}

@@ -34,7 +34,7 @@ def brute(train: list, probe: tuple) -> tuple[float, int]:
 def test_hierarchy_equals_brute_force(spark, train, probe):
     tdf = spark.createDataFrame(train, "k1 string, k2 int, t double")
     pdf = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(probe)], "id int, k1 string, k2 int")
-    model = HierarchicalMedian(LEVELS, "t", max_chunk_values=4, chunks=3).fit(tdf)
+    model = HierarchicalMedian(LEVELS, "t").fit(tdf)
     out = model.predict(pdf)
     got = {r["id"]: (r["prediction"], r["level"]) for r in out.collect()}
     assert len(got) == len(probe)

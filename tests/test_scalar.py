@@ -102,3 +102,11 @@ def test_dense_codes_span_partitions(spark):
     assert got[("a", "v0000")] == 0 and got[("a", "v0299")] == 299
     assert [got[("a", f"v{i:04d}")] for i in range(300)] == list(range(300))
     assert got[("b", "a")] == 0 and got[("b", "x")] == 1
+
+
+def test_one_rounding_and_no_date_from_a_bare_time(spark):
+    vals = [12.5, 13.5, 12.5000001, 13.4999999, 0.4999999]
+    assert _col(spark, vals, "double", lambda c: scalar.sanitize(c)) == [12, 14, 13, 13, 0]
+    assert _col(spark, vals, "double", lambda c: scalar.clamp_round(c, 0, 50)) == [12, 14, 13, 13, 0]
+    assert _col(spark, ["10:30", "7:05 PM", "2024-03-01"], "string", lambda c: timefns.parse_date(c).cast("string")) == [None, None, "2024-03-01"]
+    assert [tuple(r) for r in _col(spark, ["9: 05", " 9 :5"], "string", timefns.parse_time)] == [(9, 5), (9, 5)]
