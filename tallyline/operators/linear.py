@@ -3,15 +3,16 @@
 OLS on standardised numeric columns (``VectorAssembler -> StandardScaler ->
 LinearRegression(regParam=0)``, distributed normal equations). Scoring
 applies the fitted coefficients as one arithmetic column (code-generated, no
-per-row vector transforms). NULLs are
-filled with medians fitted on the training rows and stored; ±inf becomes 0.
-Fewer than 10 training rows -> no linear model (callers fall back to the
-medians alone).
+per-row vector transforms). ``fit_numeric`` takes every numeric column once
+text columns are coded (codes fitted on the training rows). NULLs and NaNs are
+filled with medians fitted on the training rows and stored; after that ±inf
+becomes 0. The ensembles ask for ``min_rows`` training rows, else they have no
+linear part; a plain linear model fits any non-empty set.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -22,26 +23,32 @@ from pyspark.sql import types as T
 
 from tallyline import schemas as S
 from tallyline.functions import scalar
-from tallyline.operators.features import apply_impute, fit_impute_medians
+from tallyline.operators.features import (
+    ID_COLUMNS,
+    apply_category_codes,
+    apply_impute,
+    booleans_to_int,
+    categorical_columns,
+    fit_category_codes,
+    fit_impute_medians,
+)
 from tallyline.session import materialize, scratch_scope
 
 
-def numeric_feature_columns(df: DataFrame, exclude: tuple[str, ...], include_booleans: bool) -> list[str]:
-    cols = []
-    for f in df.schema.fields:
-        if f.name in exclude:
-            continue
-        if isinstance(f.dataType, T.NumericType) or (include_booleans and isinstance(f.dataType, T.BooleanType)):
-            cols.append(f.name)
-    return cols
+def numeric_feature_columns(df: DataFrame, exclude: tuple[str, ...]) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def _finite_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Numeric features as doubles with ±inf/NaN -> 0 (NULLs stay for imputation)."""
-    return df.select(
-        *[c for c in df.columns if c not in cols],
-        *[F.when(F.col(c).isNull(), None).when(scalar.is_finite(F.col(c).cast("double")), F.col(c).cast("double")).otherwise(0.0).alias(c) for c in cols],
-    )
+def _doubles(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Features as doubles, NaN as NULL (both are filled)."""
+    value = lambda c: F.col(c).cast("double")
+    return df.select(*[c for c in df.columns if c not in cols], *[F.when(~F.isnan(value(c)), value(c)).alias(c) for c in cols])
+
+
+def _filled(df: DataFrame, cols: list[str], fills: DataFrame) -> DataFrame:
+    """Medians into NULLs, then 0 for ±inf and for columns without any training value."""
+    out = apply_impute(df, fills)
+    return out.withColumns({c: F.when(scalar.is_finite(F.col(c)), F.col(c)).otherwise(0.0) for c in cols})
 
 
 @dataclass
@@ -54,6 +61,10 @@ class LinearModel:
     means: list[float] | None = None
     stds: list[float] | None = None
     intercept: float = 0.0
+    codes: DataFrame | None = None  # (column, value, code) of the text features
+    categories: list[str] = field(default_factory=list)
+    booleans: bool = False  # booleans are features, as 0/1
+    defaults: dict[str, object] = field(default_factory=dict)  # for features absent at scoring, else 0
 
     def expression(self) -> F.Column:
         """The fitted model as one arithmetic column: intercept + sum(coef * (x - mean) / std).
@@ -72,25 +83,33 @@ class LinearModel:
             return df.withColumn(self.prediction_col, F.lit(None).cast("double"))
         x = df
         for c in self.feature_cols:
-            if c not in x.columns:
-                x = x.withColumn(c, F.lit(0.0))  # absent features default to 0
-        x = apply_impute(_finite_features(x, self.feature_cols), self.fills)
-        x = x.fillna(0.0, subset=self.feature_cols)  # columns with no training value
+            if c not in df.columns:
+                v = self.defaults.get(c, 0)
+                x = x.withColumn(c, F.lit(v) if v is not None else F.lit(None).cast("double"))
+        if self.booleans:
+            x = booleans_to_int(x)
+        # a text feature absent at scoring has a label as its default, or is a number already
+        texts = [c for c in self.categories if isinstance(x.schema[c].dataType, T.StringType)]
+        if texts:
+            x = apply_category_codes(x, self.codes, texts)
+        x = _filled(_doubles(x, self.feature_cols), self.feature_cols, self.fills)
         return x.withColumn(self.prediction_col, self.expression())
 
 
-def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_col: str = "linear_prediction") -> LinearModel:
+def fit_linear(
+    df: DataFrame, target: str, feature_cols: list[str], prediction_col: str = "linear_prediction", min_rows: int = 1
+) -> LinearModel:
     """MLlib OLS on standardised features; scoring uses the fitted coefficients as a column expression."""
     rows = df.where(F.col(target).isNotNull())
-    rows = _finite_features(rows, feature_cols)
+    rows = _doubles(rows, feature_cols)
     fills = fit_impute_medians(rows, feature_cols)
-    x = apply_impute(rows, fills).fillna(0.0, subset=feature_cols)
+    x = _filled(rows, feature_cols, fills)
     # The scaler and the solver each pass over the rows: read a written copy of
     # the prepared columns instead of re-running the cleaning lineage twice.
     spark = df.sparkSession
     with scratch_scope(spark):  # the design copy is removed once the fit is done
         x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
-        if not feature_cols or x.count() < S.MIN_ROWS_FOR_LINEAR:  # count from the written files
+        if not feature_cols or x.count() < max(1, min_rows):  # count from the written files
             return LinearModel(None, feature_cols, fills, prediction_col)
         fitted = _pipeline(feature_cols, target).fit(x)
     scaler, lr = fitted.stages[1], fitted.stages[2]
@@ -106,6 +125,32 @@ def fit_linear(df: DataFrame, target: str, feature_cols: list[str], prediction_c
     )
 
 
+def fit_numeric(
+    df: DataFrame,
+    target: str,
+    exclude: tuple[str, ...] = (),
+    only: tuple[str, ...] | None = None,
+    booleans: bool = False,
+    min_rows: int = 1,
+    defaults: dict[str, object] | None = None,
+) -> LinearModel:
+    """OLS on all numeric columns of ``df`` after its text columns are coded (and, with
+    ``booleans``, booleans are 0/1), but for ids, the target and ``exclude``; or on ``only`` these."""
+    rows = df.where(F.col(target).isNotNull())
+    if only is not None:
+        rows = rows.select(*only, target)
+    if booleans:
+        rows = booleans_to_int(rows)
+    categories = [c for c in categorical_columns(rows, (*ID_COLUMNS, *exclude)) if c != target]
+    codes = fit_category_codes(rows, categories)
+    coded = apply_category_codes(rows, codes, categories)
+    cols = numeric_feature_columns(coded, (*ID_COLUMNS, target, *exclude))
+    model = fit_linear(coded, target, cols, min_rows=min_rows)
+    model.codes, model.categories, model.booleans = codes, [c for c in categories if c in cols], booleans
+    model.defaults = dict(defaults or {})
+    return model
+
+
 def _pipeline(feature_cols: list[str], target: str) -> Pipeline:
     return Pipeline(
         stages=[

@@ -10,7 +10,7 @@ from tallyline.functions import scalar, timefns
 from tallyline.operators import cleaning, features, linear, reports, staffing
 from tallyline.operators.hierarchy import HierarchicalMedianModel, fit_simple_stats
 from tallyline.operators.median import grouped_median, grouped_quantiles
-from tallyline.plans import jobs
+from tallyline.plans import fullrun, jobs
 from tallyline.plans.catalog import T1_LEVELS, T2_LEVELS, _t1_body, _t1_ctes, _t1_model, _t2_body, _t2_ctes, _t2_model, r6, register
 from tallyline.plans.oracle import VIEWS, _DEPS, hier_lookup_sql, with_views
 from tallyline.session import materialize, scratch_path
@@ -23,11 +23,13 @@ VIEWS.update(
   SELECT booking_id AS row_id, task_id, hour(appointment_time) AS appt_hour, isodow(appointment_time) - 1 AS appt_weekday,
          epoch_us(appointment_time) AS us, processing_time_minutes AS y
   FROM bookings_clean WHERE processing_time_minutes IS NOT NULL""",
+        "bookings_csv": """
+  SELECT booking_id, task_id, date_trunc('millisecond', check_in_time) AS check_in_time, date_trunc('millisecond', check_out_time) AS check_out_time FROM bookings_v""",
         "t2_rows": """
   SELECT row_number() OVER () AS row_id, section_id, weekday, is_weekend, y FROM t2_train""",
     }
 )
-_DEPS.update({"t1_rows": ["bookings_clean"], "t2_rows": ["t2_train"]})
+_DEPS.update({"bookings_csv": ["bookings_v"], "t1_rows": ["bookings_clean"], "t2_rows": ["t2_train"]})
 
 
 def _levels_table_sql(train: str, levels: list[list[str]], key_types: dict[str, str]) -> str:
@@ -179,9 +181,8 @@ def train_metrics_task1_unrounded(spark: SparkSession, sf_dir: str) -> DataFrame
 )
 def train_metrics_task2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """In-sample MAE / RMSE of the sanitised Task 2 predictions."""
-    rows = jobs.task2_training_rows(fx.staffing_v(spark, sf_dir))
-    model = _t2_model(spark, sf_dir)
-    m = jobs.train_metrics_task2(model, rows.where(F.col(jobs.TASK2_TARGET).isNotNull()))
+    rows = jobs.task2_training_table(fx.staffing_v(spark, sf_dir))
+    m = jobs.train_metrics_task2(jobs.fit_task2(rows), rows)
     return m.select(r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"), "samples")
 
 
@@ -524,35 +525,82 @@ def ols_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(rows).select("booking_id", r6(F.col("linear_prediction")).alias("linear_prediction"))
 
 
-_T1_NUMERIC = ["appt_hour", "appt_weekday", "appt_month", "appt_day", "checkin_hour", "checkin_weekday", "booking_advance_hours",
-               "queue_number", "document_uploaded", "satisfaction_rating"]
+# OLS on two features, one of them a code of a text column, in closed form. The models
+# of the full run take all numeric and coded features; tests compare those with numpy.
+T1_LINEAR = ("task_id", "appt_hour")
+T2_LINEAR = ("section_id", "weekday")
+
+
+def _codes_sql(train: str, column: str) -> str:
+    return f"SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {column} AS v FROM {train} WHERE {column} IS NOT NULL) d"
+
+
+def _linear_ctes(train: str, test: str, text: str, number: str) -> list[tuple[str, str]]:
+    """CTEs ``coef`` and ``lin`` (``row_id``, ``linear``) of OLS on a coded and a numeric column."""
+    return [
+        ("codes", _codes_sql(train, text)),
+        ("fill", f"SELECT median({number}) AS m FROM {train}"),
+        ("tr", f"SELECT coalesce(k.code, 999999) AS a, coalesce(t.{number}, fill.m) AS b, t.y FROM {train} t CROSS JOIN fill LEFT JOIN codes k ON k.v = t.{text}"),
+        ("mom", "SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab FROM tr"),
+        ("coef", "SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS wa, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM mom"),
+        (
+            "lin",
+            f"SELECT t.row_id, c.my + c.wa * (coalesce(k.code, 999999) - c.ma) + c.wb * (coalesce(t.{number}, fill.m) - c.mb) AS linear "
+            f"FROM {test} t CROSS JOIN fill CROSS JOIN coef c LEFT JOIN codes k ON k.v = t.{text}",
+        ),
+    ]
+
+
+def _clamped_sql(value: str, lo: float, hi: float, default: int) -> str:
+    return f"coalesce(CAST(round_even(least(greatest({value}, {lo}), {hi}), 0) AS INTEGER), {default})"
+
 
+def _blend_sql(body: str, lo: float, hi: float, default: int, name: str) -> str:
+    mixed = _clamped_sql("0.7 * p.raw_prediction + 0.3 * l.linear", lo, hi, default)
+    return f"SELECT p.row_id, {mixed} AS {name} FROM ({body}) p JOIN lin l ON l.row_id = p.row_id"
 
-@register("ensemble_blend")
+
+@register(
+    "ensemble_blend",
+    with_views(
+        ["t1_train", "t1_test"], _blend_sql(_t1_body, 0.0, 480.0, 30, "true_processing_time_minutes"),
+        _t1_ctes + _linear_ctes("t1_train", "t1_test", *T1_LINEAR),
+    ),
+)
 def ensemble_blend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """0.7 x hierarchical median + 0.3 x OLS on numeric features, clamped to [0, 480] and rounded."""
-    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), _T1_NUMERIC)
+    """Task 1: 0.7 x hierarchical median + 0.3 x OLS on task code and hour, clamped to [0, 480] and rounded."""
+    rows = jobs.task1_training_table(fx.bookings_v(spark, sf_dir), [])
     model = jobs.fit_task1(rows)
-    ols = linear.fit_linear(rows, cleaning.TASK1_TARGET, _T1_NUMERIC)
-    feats = features.task1_score_features(fx.task1_test_v(spark, sf_dir))
-    pred = ols.predict(model.predict(feats))
-    lo, hi = S.TASK1_BOUNDS
-    blended = linear.blend(F.col("prediction"), F.col("linear_prediction"))
-    return pred.select("row_id", scalar.clamp_round(blended, lo, hi).alias("true_processing_time_minutes"))
+    ols = jobs.fit_task1_linear(rows, T1_LINEAR, S.MIN_ROWS_FOR_LINEAR)
+    return fullrun.blend_task1(model, ols, fx.task1_test_v(spark, sf_dir))
 
 
-_T2_NUMERIC = ["weekday", "month", "day", "is_weekend", "quarter", "is_month_end", "is_month_start", "total_task_time_minutes", "has_task_time"]
+@register(
+    "ensemble_blend_task2",
+    with_views(
+        ["t2_train", "t2_test"], _blend_sql(_t2_body, 1.0, 50.0, 3, "true_required_employees"),
+        _t2_ctes + _linear_ctes("t2_train", "t2_test", *T2_LINEAR),
+    ),
+)
+def ensemble_blend_task2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task 2: 0.7 x hierarchical median + 0.3 x OLS on section code and weekday, clamped to [1, 50] and rounded."""
+    rows = jobs.task2_training_table(fx.staffing_v(spark, sf_dir))
+    model = jobs.fit_task2(rows)
+    ols = jobs.fit_task2_linear(rows, T2_LINEAR, S.MIN_ROWS_FOR_LINEAR)
+    return fullrun.blend_task2(model, ols, fx.task2_test_v(spark, sf_dir))
 
 
-@register("linear_model")
+@register(
+    "linear_model",
+    with_views(
+        ["t2_train", "t2_test"], f"SELECT row_id, {_clamped_sql('linear', 1.0, 50.0, 3)} AS true_required_employees FROM lin",
+        _linear_ctes("t2_train", "t2_test", *T2_LINEAR),
+    ),
+)
 def linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Linear-only Task 2 model (booleans as 0/1), clamped to [1, 50] and rounded."""
-    rows = jobs.task2_training_rows(fx.staffing_v(spark, sf_dir))
-    rows = features.booleans_to_int(rows)
-    model = linear.fit_linear(rows, jobs.TASK2_TARGET, _T2_NUMERIC)
-    feats = features.booleans_to_int(features.task2_score_features(fx.task2_test_v(spark, sf_dir)))
-    lo, hi = S.TASK2_BOUNDS
-    return model.predict(feats).select("row_id", scalar.clamp_round(F.col("linear_prediction"), lo, hi).alias("true_required_employees"))
+    """Linear-only Task 2 model on section code and weekday, clamped to [1, 50] and rounded."""
+    ols = jobs.fit_task2_linear(jobs.task2_training_table(fx.staffing_v(spark, sf_dir)), T2_LINEAR)
+    return fullrun.linear_task2(ols, fx.task2_test_v(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -584,7 +632,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("csv_scan_tolerant")
+@register(
+    "csv_scan_tolerant",
+    with_views(
+        ["bookings_v"],
+        "SELECT CAST(booking_id AS VARCHAR) AS booking_id, task_id, "
+        + ", ".join(f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS {c}" for c in ("booking_created_time", "appointment_time", "check_in_time", "check_out_time"))
+        + ", CASE WHEN queue_number <> 'n/a' THEN queue_number END AS queue_number, satisfaction_rating, document_uploaded FROM bookings_v",
+    ),
+)
 def csv_scan_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bookings written as CSV and read back by the tolerant all-text scan; its
     malformed-row rule (drop rows with extra fields, pad short ones) is applied to
@@ -593,7 +649,16 @@ def csv_scan_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvio.read_csv_tolerant(spark, paths["bookings"])
 
 
-@register("load_training_tables")
+@register(
+    "load_training_tables",
+    with_views(
+        ["bookings_csv", "tasks_v"],
+        "SELECT CAST(b.booking_id AS VARCHAR) AS booking_id, b.task_id, t.section_id, t.task_name, "
+        "round(CASE WHEN m BETWEEN 0 AND 480 THEN m END, 6) AS processing_time_minutes "
+        "FROM (SELECT *, (epoch_us(check_out_time) - epoch_us(check_in_time)) / 60000000.0 AS m FROM bookings_csv) b "
+        "LEFT JOIN tasks_v t ON t.task_id = b.task_id",
+    ),
+)
 def load_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three training CSVs read, cleaned and joined (bookings with their task attributes)."""
     paths = _write_csv_inputs(spark, sf_dir, ["bookings", "tasks", "staffing"])

@@ -16,18 +16,13 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions import scalar
-from tallyline.operators import cleaning, features, linear, reports, staffing
+from tallyline.operators import features, linear, reports, staffing
 from tallyline.operators.hierarchy import GLOBAL_LEVEL, HierarchicalMedianModel
 from tallyline.plans import jobs
 from tallyline.sources import csv as csvio
 
 log = logging.getLogger(__name__)
 
-TASK1_NUMERIC = ["appt_hour", "appt_weekday", "appt_month", "appt_day", "checkin_hour", "checkin_weekday",
-                 "booking_advance_hours", "queue_number", "document_uploaded", "satisfaction_rating"]
-TASK2_NUMERIC = ["weekday", "month", "day", "is_weekend", "quarter", "is_month_end", "is_month_start",
-                 "total_task_time_minutes", "has_task_time"]
-
 Scorer = Callable[[DataFrame], DataFrame]  # scoring inputs -> (row_id, value)
 
 
@@ -36,37 +31,37 @@ Scorer = Callable[[DataFrame], DataFrame]  # scoring inputs -> (row_id, value)
 # ---------------------------------------------------------------------------
 
 
+def _task1_value(pred: DataFrame, value) -> DataFrame:
+    out = F.coalesce(scalar.clamp_round(value, *S.TASK1_BOUNDS), F.lit(S.TASK1_DEFAULT_PREDICTION))
+    return pred.select("row_id", out.alias("true_processing_time_minutes"))
+
+
+def blend_task1(model: HierarchicalMedianModel, ols: linear.LinearModel, inputs: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    pred = ols.predict(model.predict(features.task1_score_features(inputs, tasks), level_col=None))
+    return _task1_value(pred, linear.blend(F.col("prediction"), F.col("linear_prediction")))
+
+
+def linear_task1(ols: linear.LinearModel, inputs: DataFrame, tasks: DataFrame | None = None) -> DataFrame:
+    return _task1_value(ols.predict(features.task1_score_features(inputs, tasks)), F.col("linear_prediction"))
+
+
 def _task1_baseline(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
     model = jobs.train_task1(bookings, tasks)
     return lambda inputs: jobs.score_task1(model, inputs, tasks)
 
 
 def _task1_ensemble(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
-    rows = jobs.task1_training_table(bookings, TASK1_NUMERIC)  # cleaned once, read by both fits
+    rows = jobs.task1_training_table(bookings, tasks=tasks)  # cleaned once, read by both fits
     model = jobs.fit_task1(rows)
-    ols = linear.fit_linear(rows, cleaning.TASK1_TARGET, TASK1_NUMERIC)
-    lo, hi = S.TASK1_BOUNDS
-
-    def score(inputs: DataFrame) -> DataFrame:
-        pred = ols.predict(model.predict(features.task1_score_features(inputs, tasks)))
-        value = scalar.clamp_round(linear.blend(F.col("prediction"), F.col("linear_prediction")), lo, hi)
-        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK1_DEFAULT_PREDICTION)).alias("true_processing_time_minutes"))
-
-    return score
+    ols = jobs.fit_task1_linear(rows, min_rows=S.MIN_ROWS_FOR_LINEAR)
+    return lambda inputs: blend_task1(model, ols, inputs, tasks)
 
 
 def _task1_linear(bookings: DataFrame, tasks: DataFrame | None) -> Scorer:
-    ols = linear.fit_linear(jobs.task1_training_rows(bookings), cleaning.TASK1_TARGET, TASK1_NUMERIC)
+    ols = jobs.fit_task1_linear(jobs.task1_training_table(bookings, tasks=tasks))
     if ols.pipeline is None:
         raise ValueError("No valid training data")
-    lo, hi = S.TASK1_BOUNDS
-
-    def score(inputs: DataFrame) -> DataFrame:
-        pred = ols.predict(features.task1_score_features(inputs, tasks))
-        value = scalar.clamp_round(F.col("linear_prediction"), lo, hi)
-        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK1_DEFAULT_PREDICTION)).alias("true_processing_time_minutes"))
-
-    return score
+    return lambda inputs: linear_task1(ols, inputs, tasks)
 
 
 TASK1_MODELS = {"baseline": _task1_baseline, "ensemble": _task1_ensemble, "linear": _task1_linear}
@@ -77,41 +72,37 @@ TASK1_MODELS = {"baseline": _task1_baseline, "ensemble": _task1_ensemble, "linea
 # ---------------------------------------------------------------------------
 
 
-def _task2_baseline(staffing_raw: DataFrame) -> Scorer:
-    model = jobs.train_task2(staffing_raw)
-    return lambda inputs: jobs.score_task2(model, inputs)
+def _task2_value(pred: DataFrame, value) -> DataFrame:
+    out = F.coalesce(scalar.clamp_round(value, *S.TASK2_BOUNDS), F.lit(S.TASK2_DEFAULT_PREDICTION))
+    return pred.select("row_id", out.alias("true_required_employees"))
 
 
-def _task2_rows_int(staffing_raw: DataFrame) -> DataFrame:
-    return features.booleans_to_int(jobs.task2_training_rows(staffing_raw))
+def blend_task2(model: HierarchicalMedianModel, ols: linear.LinearModel, inputs: DataFrame) -> DataFrame:
+    pred = ols.predict(model.predict(features.task2_score_features(inputs), level_col=None))
+    return _task2_value(pred, linear.blend(F.col("prediction"), F.col("linear_prediction")))
 
 
-def _task2_ensemble(staffing_raw: DataFrame) -> Scorer:
+def linear_task2(ols: linear.LinearModel, inputs: DataFrame) -> DataFrame:
+    return _task2_value(ols.predict(features.task2_score_features(inputs)), F.col("linear_prediction"))
+
+
+def _task2_baseline(staffing_raw: DataFrame) -> Scorer:
     model = jobs.train_task2(staffing_raw)
-    ols = linear.fit_linear(_task2_rows_int(staffing_raw), jobs.TASK2_TARGET, TASK2_NUMERIC)
-    lo, hi = S.TASK2_BOUNDS
+    return lambda inputs: jobs.score_task2(model, inputs)
 
-    def score(inputs: DataFrame) -> DataFrame:
-        feats = features.booleans_to_int(features.task2_score_features(inputs))
-        pred = ols.predict(model.predict(feats))
-        value = scalar.clamp_round(linear.blend(F.col("prediction"), F.col("linear_prediction")), lo, hi)
-        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK2_DEFAULT_PREDICTION)).alias("true_required_employees"))
 
-    return score
+def _task2_ensemble(staffing_raw: DataFrame) -> Scorer:
+    rows = jobs.task2_training_table(staffing_raw)  # cleaned once, read by both fits
+    model = jobs.fit_task2(rows)
+    ols = jobs.fit_task2_linear(rows, min_rows=S.MIN_ROWS_FOR_LINEAR)
+    return lambda inputs: blend_task2(model, ols, inputs)
 
 
 def _task2_linear(staffing_raw: DataFrame) -> Scorer:
-    ols = linear.fit_linear(_task2_rows_int(staffing_raw), jobs.TASK2_TARGET, TASK2_NUMERIC)
+    ols = jobs.fit_task2_linear(jobs.task2_training_table(staffing_raw))
     if ols.pipeline is None:
         raise ValueError("No valid training data")
-    lo, hi = S.TASK2_BOUNDS
-
-    def score(inputs: DataFrame) -> DataFrame:
-        pred = ols.predict(features.booleans_to_int(features.task2_score_features(inputs)))
-        value = scalar.clamp_round(F.col("linear_prediction"), lo, hi)
-        return pred.select("row_id", F.coalesce(value, F.lit(S.TASK2_DEFAULT_PREDICTION)).alias("true_required_employees"))
-
-    return score
+    return lambda inputs: linear_task2(ols, inputs)
 
 
 def _task2_patterns(staffing_raw: DataFrame) -> Scorer:

@@ -9,14 +9,12 @@ Score:  scan inputs -> features -> chain of broadcast left joins -> sanitise.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions import scalar
-from tallyline.operators import cleaning, features
+from tallyline.operators import cleaning, features, linear
 from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel, constant_model
 from tallyline.session import materialize
 
@@ -53,12 +51,18 @@ def train_task1(
     return fit_task1(task1_training_rows(bookings, tasks), levels, path)
 
 
-def task1_training_table(bookings: DataFrame, columns: list[str]) -> DataFrame:
-    """Cleaned Task 1 rows with a target, limited to ``columns``, written once to the
-    shared checkpoint folder so that several fits read them without re-cleaning."""
-    rows = task1_training_rows(bookings).where(F.col(cleaning.TASK1_TARGET).isNotNull())
-    keep = [c for c in dict.fromkeys([*TASK1_KEYS, *columns, cleaning.TASK1_TARGET]) if c in rows.columns]
-    return materialize(rows.select(*keep), "task1-training-rows")
+def task1_training_table(bookings: DataFrame, columns: list[str] | None = None, tasks: DataFrame | None = None) -> DataFrame:
+    """Cleaned Task 1 rows with a target (with ``columns``, only these and the keys), written
+    once to the shared checkpoint folder so that several fits read them without re-cleaning."""
+    rows = task1_training_rows(bookings, tasks).where(F.col(cleaning.TASK1_TARGET).isNotNull())
+    if columns is not None:
+        rows = rows.select(*[c for c in dict.fromkeys([*TASK1_KEYS, *columns, cleaning.TASK1_TARGET]) if c in rows.columns])
+    return materialize(rows, "task1-training-rows")
+
+
+def fit_task1_linear(rows: DataFrame, only: tuple[str, ...] | None = None, min_rows: int = 1) -> linear.LinearModel:
+    """OLS on the numeric and coded features of Task 1 rows."""
+    return linear.fit_numeric(rows, cleaning.TASK1_TARGET, only=only, min_rows=min_rows, defaults=S.TASK1_FEATURE_DEFAULTS)
 
 
 def predict_task1_rows(model: HierarchicalMedianModel, feats: DataFrame) -> DataFrame:
@@ -91,15 +95,33 @@ def task2_training_rows(staffing: DataFrame) -> DataFrame:
     return features.task2_features(with_target, keep=(TASK2_TARGET,))
 
 
-def train_task2(staffing: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
+def task2_training_table(staffing: DataFrame) -> DataFrame:
+    """Task 2 feature rows with a target, written once for several fits."""
     rows = task2_training_rows(staffing)
+    return materialize(rows.where(F.col(TASK2_TARGET).isNotNull()), "task2-training-rows")
+
+
+def fit_task2(rows: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
+    """Task 2 medians from feature rows; the constant model when no row has a target."""
     lv = _levels(levels, S.TASK2_LEVELS)
     model = HierarchicalMedian(lv, TASK2_TARGET).fit(rows, path)
-    if model.n_train == 0:  # no valid target: constant fallback model
-        return constant_model(staffing.sparkSession, lv, TASK2_TARGET, S.TASK2_FALLBACK_MEDIAN)
+    if model.n_train == 0:
+        return constant_model(rows.sparkSession, lv, TASK2_TARGET, S.TASK2_FALLBACK_MEDIAN)
     return model
 
 
+def train_task2(staffing: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
+    return fit_task2(task2_training_rows(staffing), levels, path)
+
+
+def fit_task2_linear(rows: DataFrame, only: tuple[str, ...] | None = None, min_rows: int = 1) -> linear.LinearModel:
+    """OLS on the numeric, boolean (0/1) and coded features of Task 2 rows; the staffing of the
+    row itself is no feature."""
+    return linear.fit_numeric(
+        rows, TASK2_TARGET, ("historical_employees", "date"), only, True, min_rows, S.TASK2_FEATURE_DEFAULTS
+    )
+
+
 def predict_task2_rows(model: HierarchicalMedianModel, feats: DataFrame) -> DataFrame:
     pred = model.predict(feats)
     lo, hi = S.TASK2_BOUNDS
@@ -141,9 +163,3 @@ def train_metrics_task1(model: HierarchicalMedianModel, rows: DataFrame, rounded
 def train_metrics_task2(model: HierarchicalMedianModel, rows: DataFrame) -> DataFrame:
     pred = predict_task2_rows(model, rows)
     return metrics(pred, "true_required_employees", TASK2_TARGET)
-
-
-@dataclass
-class TrainedModels:
-    task1: HierarchicalMedianModel
-    task2: HierarchicalMedianModel
