@@ -189,9 +189,18 @@ def fit_category_codes(df: DataFrame, cols: list[str]) -> DataFrame:
 def apply_category_codes(df: DataFrame, codes: DataFrame, cols: list[str]) -> DataFrame:
     """Replace each categorical column by its code; NULL or unseen -> 999999."""
     out = df
+    free = [c for c in cols if c not in BINNED_ORDINALS]
+    sizes = {}
+    if free:  # one row per coded column
+        size = F.sum(joins.row_bytes(codes)).alias("bytes")
+        sizes = {r["column"]: r["bytes"] for r in codes.where(F.col("column").isin(free)).groupBy("column").agg(size).collect()}
     for c in cols:
+        if c in BINNED_ORDINALS:
+            fixed = F.create_map(*[F.lit(x) for pair in BINNED_ORDINALS[c].items() for x in pair])
+            out = out.withColumn(c, F.coalesce(F.try_element_at(fixed, F.col(c)), F.lit(S.MISSING_CODE)))
+            continue
         part = codes.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-        out = out.join(joins.maybe_broadcast(part), out[c].cast("string") == F.col(f"_v_{c}"), "left")
+        out = out.join(joins.hinted(part, sizes.get(c, 0)), out[c].cast("string") == F.col(f"_v_{c}"), "left")
         out = out.withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(S.MISSING_CODE))).drop(f"_v_{c}", f"_c_{c}")
     return out
 

@@ -9,10 +9,13 @@ Fit
     cuts the lineage and gives exact per-level sizes.
 
 Predict
-    One left join per level on that level's keys only, each side broadcast
-    after its size is proven small. Plain equality means a NULL key never
-    matches, so a row skips every level it lacks a key for. The prediction
-    is the first level that matched, else the global median, else 0.
+    One left join on the first level's first key (the anchor): the medians of all
+    levels that hold it are one row per anchor value, a map per level from
+    the level's other keys. Those keys are calendar values, so a row holds a
+    few hundred medians at most. Levels without the anchor depend on such keys
+    alone; their medians are literal maps. A NULL key never matches, so a row
+    skips every level it lacks a key for. The prediction is the first level that
+    matched, else the global median, else 0.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ from tallyline.operators.median import COUNT, median_from_histogram
 from tallyline.session import scratch_path, scratch_scope
 
 GLOBAL_LEVEL = -1
+#: Levels without the anchor are literal up to so many medians together (all hours
+#: and weekdays make 199); with more they are joined on an anchor of their own.
+MAX_LITERAL_ROWS = 2_000
 
 
 def _level_info(n_levels: int) -> list[Column]:
@@ -60,38 +66,64 @@ class HierarchicalMedianModel:
     extra: dict = field(default_factory=dict)
 
     # -- scoring -----------------------------------------------------------
-    def _level_table(self, i: int) -> DataFrame:
-        keys = self.levels[i]
-        part = self.table.where(F.col("level") == i).select(
-            *[F.col(k).alias(f"_k{i}_{k}") for k in keys], F.col("median").alias(f"_m{i}")
-        )
-        return joins.maybe_broadcast(part, self.level_rows.get(i, 0))
+    def _key(self, keys: list[str]) -> Column:
+        """The keys' values as one text; NULL if one is."""
+        parts = [F.col(k).cast(self.key_types[k]).cast("string") for k in keys]
+        return F.concat(F.lit(""), *[p for c in parts for p in (c, F.lit("\x1f"))])
+
+    def _wide(self, anchor: str, levels: list[int]) -> DataFrame:
+        """One row per anchor value with a map per level: other keys -> median (written once)."""
+        name = (anchor, tuple(levels))
+        if name not in self.extra:
+            maps = []
+            for i in levels:
+                entry = F.struct(self._key([k for k in self.levels[i] if k != anchor]).alias("k"), F.col("median").alias("m"))
+                maps.append(F.map_from_entries(F.collect_list(F.when(F.col("level") == i, entry))).alias(f"_m{i}"))
+            rows = self.table.where(F.col("level").isin(levels))
+            self.extra[name] = joins.sized(rows.groupBy(F.col(anchor).alias("_anchor")).agg(*maps), "median-lookup")
+        return self.extra[name]
+
+    def _literal(self, levels: list[int]) -> dict[int, Column]:
+        """The levels' medians as literal maps."""
+        rows = self.table.where(F.col("level").isin(levels)).select("level", F.coalesce(*[
+            F.when(F.col("level") == i, self._key(self.levels[i])) for i in levels
+        ]).alias("k"), "median").collect()
+        out = {}
+        for i in levels:
+            pairs = sorted((row["k"], row["median"]) for row in rows if row["level"] == i)
+            out[i] = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
+        return out
 
     def predict(self, df: DataFrame, out_col: str = "prediction", level_col: str | None = "level") -> DataFrame:
         """Adds the raw (unrounded) prediction and the level that produced it."""
         out = df
-        used: list[int] = []
-        for i, keys in enumerate(self.levels):
-            if not keys or any(k not in df.columns for k in keys):
-                continue  # a key missing from the frame: this level never matches
-            if self.level_rows.get(i, 0) == 0:
-                continue
-            right = self._level_table(i)
-            cond = None
-            for k in keys:
-                c = out[k].cast(self.key_types[k]) == right[f"_k{i}_{k}"]
-                cond = c if cond is None else cond & c
-            out = out.join(right, on=cond, how="left").drop(*[f"_k{i}_{k}" for k in keys])
-            used.append(i)
-        medians = [F.col(f"_m{i}") for i in used]
-        pred = F.coalesce(*medians, F.lit(float(self.global_median)))
-        out = out.withColumn(out_col, pred)
+        # a level whose key is missing from the frame never matches
+        used = [i for i, keys in enumerate(self.levels) if keys and self.level_rows.get(i, 0) and all(k in df.columns for k in keys)]
+        found: dict[int, Column] = {}
+        todo = used
+        while todo:
+            free = sum(self.level_rows[i] for i in todo)
+            if free <= MAX_LITERAL_ROWS and len(todo) < len(used):
+                maps = self._literal(todo)
+                found |= {i: F.try_element_at(maps[i], self._key(self.levels[i])) for i in todo}
+                break
+            anchor = self.levels[todo[0]][0]
+            with_anchor = [i for i in todo if anchor in self.levels[i]]
+            right = self._wide(anchor, with_anchor)
+            out = out.join(right, on=out[anchor].cast(self.key_types[anchor]) == right["_anchor"], how="left").drop("_anchor")
+            for i in with_anchor:
+                key = self._key([k for k in self.levels[i] if k != anchor])
+                out = out.withColumn(f"_m{i}", F.try_element_at(F.col(f"_m{i}"), key))
+                found[i] = F.col(f"_m{i}")
+            todo = [i for i in todo if i not in with_anchor]
+        out = out.withColumns({f"_v{i}": found[i] for i in used}) if used else out
+        out = out.withColumn(out_col, F.coalesce(*[F.col(f"_v{i}") for i in used], F.lit(float(self.global_median))))
         if level_col:
             lvl = F.lit(GLOBAL_LEVEL)
             for i in reversed(used):
-                lvl = F.when(F.col(f"_m{i}").isNotNull(), F.lit(i)).otherwise(lvl)
+                lvl = F.when(F.col(f"_v{i}").isNotNull(), F.lit(i)).otherwise(lvl)
             out = out.withColumn(level_col, lvl)
-        return out.drop(*[f"_m{i}" for i in used])
+        return out.drop(*[f"{x}{i}" for i in used for x in ("_m", "_v")])
 
     # -- persistence -------------------------------------------------------
     def save(self, path: str) -> None:
@@ -218,7 +250,6 @@ class SimpleStatsModel:
 
     keys: list[str]
     stats: DataFrame  # keys..., stat
-    rows: int
     global_stat: float
 
     def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
@@ -226,7 +257,7 @@ class SimpleStatsModel:
         missing or a key is NULL)."""
         if not self.keys or any(k not in df.columns for k in self.keys):
             return df.withColumn(out_col, F.lit(float(self.global_stat)))
-        right = joins.maybe_broadcast(self.stats.select(*[F.col(k).alias(f"_s_{k}") for k in self.keys], F.col("stat").alias("_s_stat")), self.rows)
+        right = self.stats.select(*[F.col(k).alias(f"_s_{k}") for k in self.keys], F.col("stat").alias("_s_stat"))
         cond = None
         for k in self.keys:
             c = df[k] == right[f"_s_{k}"]
@@ -254,6 +285,5 @@ def fit_simple_stats(df: DataFrame, keys: list[str], target: str, stat: str = "m
         table = keyed.groupBy(*present).agg(F.avg(target).alias("stat")) if present else None
     global_stat = float(g[0]["stat"]) if g and g[0]["stat"] is not None else 0.0
     if table is None:
-        return SimpleStatsModel([], df.sparkSession.createDataFrame([], "stat double"), 0, global_stat)
-    table = materialize(table, "simple-stats")
-    return SimpleStatsModel(keys if present == keys else [], table, table.count(), global_stat)
+        return SimpleStatsModel([], df.sparkSession.createDataFrame([], "stat double"), global_stat)
+    return SimpleStatsModel(keys if present == keys else [], joins.sized(table, "simple-stats"), global_stat)

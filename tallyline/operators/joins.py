@@ -1,62 +1,62 @@
-"""Joins: dimension lookups with a proven-size broadcast, unmatched-key reports.
+"""Joins: dimension lookups with a measured broadcast, unmatched-key reports.
 
-A side is broadcast only after a bounded count shows it holds at most
-``max_rows`` rows and its estimated width fits the session's broadcast
-threshold; otherwise the join is left to the planner (sort-merge, which AQE
-may still turn into a broadcast once the shuffled size is known).
+A dimension is written once, its size in bytes measured during the write. It is
+broadcast only if that fits the session's broadcast threshold; otherwise the
+join is left to the planner (sort-merge, whose skewed partitions AQE splits).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+from tallyline.session import materialize
+
 _DEFAULT_THRESHOLD = 10 * 1024 * 1024
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
-def _field_bytes(dt: T.DataType) -> int:
+def _field_bytes(name: str, dt: T.DataType):
+    """Bytes of one value: its word, and the payload of text or of nested values."""
+    c = F.col(f"`{name}`")
     if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 48
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 256
-    if isinstance(dt, T.StructType):
-        return sum(_field_bytes(f.dataType) for f in dt.fields)
-    return 8
+        return F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+        return F.lit(32) + 2 * F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return F.lit(8)
 
 
-def row_bytes(df: DataFrame) -> int:
-    """Rough width of one row (UnsafeRow word per field plus text payload)."""
-    return 16 + sum(_field_bytes(f.dataType) for f in df.schema.fields)
+def row_bytes(df: DataFrame):
+    """A row's size as an expression."""
+    total = F.lit(24)
+    for f in df.schema.fields:
+        total = total + _field_bytes(f.name, f.dataType)
+    return total.cast("long")
 
 
 def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; 0 where broadcasts are off."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        value = int(str(raw).lower().rstrip("b")) if raw is not None else _DEFAULT_THRESHOLD
-    except ValueError:
-        value = _DEFAULT_THRESHOLD
-    return value if value > 0 else _DEFAULT_THRESHOLD
-
-
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Exact row count if it is at most ``max_rows``, else ``None`` (stops early)."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+    if raw is None:
+        return _DEFAULT_THRESHOLD
+    m = re.fullmatch(r"(-?\d+)\s*([bkmgt]?)i?b?", str(raw).strip().lower())
+    if not m:
+        raise ValueError(f"spark.sql.autoBroadcastJoinThreshold: {raw}")
+    return max(0, int(m[1]) * _UNITS[m[2]])
 
 
-def fits_broadcast(df: DataFrame, n_rows: int | None) -> bool:
-    if n_rows is None:
-        return False
-    return n_rows * row_bytes(df) <= broadcast_threshold(df.sparkSession)
+def sized(df: DataFrame, name: str = "dimension") -> DataFrame:
+    """``df`` written once and read back; with a broadcast hint if its measured bytes fit."""
+    out, seen = materialize(df, name, observe=[F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")], keep=True)
+    return hinted(out, seen["bytes"])
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int | None = None, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    if n_rows is None:
-        n_rows = bounded_count(df, max_rows)
-    return F.broadcast(df) if fits_broadcast(df, n_rows) else df
+def hinted(df: DataFrame, measured: int) -> DataFrame:
+    """``df`` with a broadcast hint if ``measured`` bytes fit the threshold."""
+    return F.broadcast(df) if measured <= broadcast_threshold(df.sparkSession) else df
 
 
 def one_row_per_key(dim: DataFrame, key: str) -> DataFrame:
@@ -82,14 +82,14 @@ def merge_with_dimension(fact: DataFrame, dim: DataFrame | None, key: str = "tas
         return fact
     extra = [c for c in dim.columns if c != key and c not in fact.columns]
     right = dim.select(key, *extra)
-    return fact.join(maybe_broadcast(right), on=key, how="left")
+    return fact.join(sized(right), on=key, how="left")
 
 
 def unmatched_keys(fact: DataFrame, dim: DataFrame, key: str = "task_id") -> DataFrame:
     """Distinct fact keys with no dimension row (NULL keys excluded), with row counts."""
     keys = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     dim_keys = dim.select(key).where(F.col(key).isNotNull()).distinct()
-    return keys.join(maybe_broadcast(dim_keys), on=key, how="left_anti")
+    return keys.join(sized(dim_keys), on=key, how="left_anti")
 
 
 def lookup_features(fact: DataFrame, dim: DataFrame, key: str = "task_id") -> DataFrame:
@@ -97,7 +97,7 @@ def lookup_features(fact: DataFrame, dim: DataFrame, key: str = "task_id") -> Da
     one = one_row_per_key(dim, key)
     cols = [c for c in ("section_id", "task_name", "section_name") if c in one.columns]
     right = one.select(key, *cols)
-    joined = fact.join(maybe_broadcast(right), on=key, how="left")
+    joined = fact.join(sized(right), on=key, how="left")
     for c in ("task_name", "section_name"):
         if c in cols:
             joined = joined.withColumn(f"has_{c}", F.col(c).isNotNull())
@@ -110,7 +110,7 @@ def lookup_with_default(fact: DataFrame, dim: DataFrame, key: str, defaults: dic
     one = one_row_per_key(dim, key)
     cols = [c for c in defaults if c in one.columns and c != key]
     right = one.select(key, F.lit(True).alias("_matched"), *[F.col(c).alias(f"_d_{c}") for c in cols])
-    joined = fact.join(maybe_broadcast(right), on=key, how="left")
+    joined = fact.join(sized(right), on=key, how="left")
     for c in cols:
         joined = joined.withColumn(c, F.when(F.col("_matched"), F.col(f"_d_{c}")).otherwise(F.lit(defaults[c]))).drop(f"_d_{c}")
     return joined.drop("_matched")

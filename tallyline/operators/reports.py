@@ -152,4 +152,5 @@ def task_complexity(rows: DataFrame, target: str, key: str = "task_id") -> DataF
 
 
 def with_task_complexity(rows: DataFrame, complexity: DataFrame, key: str = "task_id") -> DataFrame:
-    return rows.join(joins.maybe_broadcast(complexity.select(key, "complexity")), key, "left")
+    """``rows`` with their task's complexity."""
+    return rows.join(joins.sized(complexity.select(key, "complexity"), "task-complexity"), key, "left")

@@ -51,8 +51,6 @@ class StaffingPatternModel:
     sections: DataFrame  # section_id, median_i, mean_i, count
     weekdays: DataFrame  # weekday, median_i, mean_i
     global_average: int
-    section_rows: int
-    weekday_rows: int
 
     def table(self) -> DataFrame:
         """All learned values in one frame: kind, key, median, mean, count."""
@@ -67,16 +65,11 @@ class StaffingPatternModel:
         return sec.unionByName(wd).unionByName(g)
 
     def predict(self, df: DataFrame, out_col: str = "pattern_prediction") -> DataFrame:
-        sec = joins.maybe_broadcast(
-            self.sections.select(
-                F.col("section_id").alias("_p_section"),
-                F.when(F.col("count") >= S.PATTERN_MIN_COUNT_FOR_MEDIAN, F.col("median_i")).otherwise(F.col("mean_i")).alias("_p_sec"),
-            ),
-            self.section_rows,
-        )
-        wd = joins.maybe_broadcast(
-            self.weekdays.select(F.col("weekday").alias("_p_weekday"), F.col("median_i").alias("_p_wd")), self.weekday_rows
+        sec = self.sections.select(
+            F.col("section_id").alias("_p_section"),
+            F.when(F.col("count") >= S.PATTERN_MIN_COUNT_FOR_MEDIAN, F.col("median_i")).otherwise(F.col("mean_i")).alias("_p_sec"),
         )
+        wd = self.weekdays.select(F.col("weekday").alias("_p_weekday"), F.col("median_i").alias("_p_wd"))
         out = df.join(sec, df["section_id"] == sec["_p_section"], "left")
         out = out.join(wd, out["weekday"].cast("int") == wd["_p_weekday"], "left")
         ws, ww = S.PATTERN_SECTION_WEIGHT, S.PATTERN_WEEKDAY_WEIGHT
@@ -119,9 +112,9 @@ def fit_staffing_patterns(df: DataFrame, target: str) -> StaffingPatternModel:
             )
         else:
             weekdays = spark.createDataFrame([], "weekday int, median_i int, mean_i int")
-        sections, n_sec = materialize(sections, "pattern-sections", [F.count(F.lit(1)).alias("rows")], keep=True)
-        weekdays, n_wd = materialize(weekdays, "pattern-weekdays", [F.count(F.lit(1)).alias("rows")], keep=True)
-    return StaffingPatternModel(sections, weekdays, global_average, int(n_sec["rows"]), int(n_wd["rows"]))
+        sections = joins.sized(sections, "pattern-sections")
+        weekdays = joins.sized(weekdays, "pattern-weekdays")
+    return StaffingPatternModel(sections, weekdays, global_average)
 
 
 def default_predictions_task1(inputs: DataFrame) -> DataFrame:

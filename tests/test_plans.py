@@ -17,13 +17,48 @@ def _plan(df) -> str:
 def test_scoring_plan_has_no_shuffle(spark):
     model = jobs.train_task1(fx.bookings_v(spark, SF_SMALL))
     plan = _plan(jobs.score_task1(model, fx.task1_test_v(spark, SF_SMALL)))
-    assert plan.count("BroadcastHashJoin") == 7
+    assert plan.count("BroadcastHashJoin") == 1
     for node in ("SortMergeJoin", "ShuffledHashJoin", "Exchange hashpartitioning", "Exchange rangepartitioning"):
         assert node not in plan, node
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
         assert node not in plan, node
 
 
+def test_scoring_without_broadcasts_is_one_join(spark):
+    model = jobs.train_task1(fx.bookings_v(spark, SF_SMALL))
+    inputs = fx.task1_test_v(spark, SF_SMALL)
+    want = sorted(tuple(r) for r in jobs.score_task1(model, inputs, with_level=True).collect())
+    model.extra.clear()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        scored = jobs.score_task1(model, inputs, with_level=True)
+        plan = _plan(scored)
+        assert sorted(tuple(r) for r in scored.collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joined = plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin")
+    assert joined == 1 and plan.count("Exchange hashpartitioning") == 2 and "Broadcast" not in plan
+
+
+def test_threshold_units_and_measured_width(spark):
+    from tallyline.operators import joins
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, want in (("100MB", 100 << 20), ("-1", 0), ("10k", 10240), ("7", 7), ("1g", 1 << 30), ("256kb", 256 << 10)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert joins.broadcast_threshold(spark) == want
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4000")
+        fact = spark.range(10).withColumnRenamed("id", "task_id")
+        wide = spark.range(10).selectExpr("id as task_id", "repeat('x', 1000) as note")
+        narrow = spark.range(10).selectExpr("id as task_id", "'x' as note")
+        hint = lambda d: "broadcast" in joins.merge_with_dimension(fact, d)._jdf.queryExecution().optimizedPlan().toString()
+        assert hint(narrow) and not hint(wide)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_training_plan_is_jvm_only_and_pruned(spark):
     rows = jobs.task1_training_rows(fx.bookings_v(spark, SF_SMALL))
     from tallyline.operators.hierarchy import HierarchicalMedian
