@@ -76,7 +76,7 @@ def clean_bookings(df: DataFrame, lo: float = 0.0, hi: float = S.MAX_SERVICE_MIN
 
 def duration_quality(df: DataFrame, lo: float = 0.0, hi: float = S.MAX_SERVICE_MINUTES) -> DataFrame:
     """One-row data-quality report of raw durations and the range cleaning."""
-    d = raw_duration(df)
+    d = materialize(raw_duration(df).select("duration_minutes"), "durations")  # read for counts and for the median
     m = F.col("duration_minutes")
     counts = d.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -103,6 +103,15 @@ def minutes_per_employee(df: DataFrame) -> DataFrame:
     return grouped_median(both.select(ratio.alias("ratio")), [], "ratio", median_col="minutes_per_employee", n_col="pairs")
 
 
+def fill_counts(before: DataFrame, after: DataFrame, column: str = "employees_on_duty") -> DataFrame:
+    """One row: missing values of ``column`` before the fill, after it, and how many were filled."""
+    a = before.agg(F.count(F.lit(1)).alias("rows"), F.count_if(scalar.to_double(F.col(column)).isNull()).alias("missing_before"))
+    b = after.agg(F.count_if(F.col(column).isNull()).alias("missing_after"))
+    one = F.lit(1).alias("_k")
+    out = a.select("*", one).join(b.select("*", one), "_k").drop("_k")
+    return out.withColumn("filled", F.col("missing_before") - F.col("missing_after"))
+
+
 def clean_staffing(df: DataFrame, fill_missing: bool = True) -> DataFrame:
     """Typed staffing rows; missing employees filled from task minutes.
 
@@ -123,7 +132,7 @@ def clean_staffing(df: DataFrame, fill_missing: bool = True) -> DataFrame:
     if not fill_missing or "employees_on_duty" not in types or "total_task_time_minutes" not in types:
         return out
     # The typed rows feed both the ratio median and the fill: read the source once.
-    out = materialize(out, "staffing-typed", keep=True)
+    out = materialize(out, "staffing-typed")
     row = minutes_per_employee(out).collect()
     if not row or row[0]["minutes_per_employee"] is None:
         return out

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tallyline.operators import joins
 from tallyline.operators.median import COUNT, median_from_histogram
-from tallyline.session import scratch_path, scratch_scope
+from tallyline.session import materialize, scratch_path, scratch_scope
 
 GLOBAL_LEVEL = -1
 #: Levels without the anchor are literal up to so many medians together (all hours
@@ -269,21 +269,21 @@ class SimpleStatsModel:
 
 def fit_simple_stats(df: DataFrame, keys: list[str], target: str, stat: str = "median") -> SimpleStatsModel:
     """Mean or median of ``target`` per key tuple (NULL keys dropped) plus the global value."""
-    from tallyline.operators.median import grouped_median
-    from tallyline.session import materialize
-
     valid = df.where(F.col(target).isNotNull())
     present = [k for k in keys if k in valid.columns]
-    if stat == "median":
-        g = grouped_median(valid, [], target, median_col="stat").collect()
-        table = grouped_median(valid, present, target, median_col="stat").drop("n") if present else None
+    if stat == "median":  # one fit gives the keyed and the global medians
+        model = HierarchicalMedian([present], target).fit(valid)
+        global_stat = model.global_median
+        table = model.table.where(F.col("level") == 0).select(*present, F.col("median").alias("stat")) if present else None
     else:
-        g = valid.agg(F.avg(target).alias("stat")).collect()
-        keyed = valid
+        t = F.col(target).cast("double")
+        sums = materialize(valid.groupBy(*present).agg(F.sum(t).alias("_s"), F.count(t).alias("_n")), "simple-sums")
+        g = sums.agg((F.sum("_s") / F.sum("_n")).alias("stat")).first()["stat"] if valid.columns else None
+        global_stat = float(g) if g is not None else 0.0
+        known = F.lit(True)
         for k in present:
-            keyed = keyed.where(F.col(k).isNotNull())
-        table = keyed.groupBy(*present).agg(F.avg(target).alias("stat")) if present else None
-    global_stat = float(g[0]["stat"]) if g and g[0]["stat"] is not None else 0.0
+            known = known & F.col(k).isNotNull()
+        table = sums.where(known).select(*present, (F.col("_s") / F.col("_n")).alias("stat")) if present else None
     if table is None:
         return SimpleStatsModel([], df.sparkSession.createDataFrame([], "stat double"), global_stat)
     return SimpleStatsModel(keys if present == keys else [], joins.sized(table, "simple-stats"), global_stat)

@@ -85,6 +85,23 @@ def merge_with_dimension(fact: DataFrame, dim: DataFrame | None, key: str = "tas
     return fact.join(sized(right), on=key, how="left")
 
 
+def merge_counts(fact: DataFrame, dim: DataFrame, key: str = "task_id", name: str = "task_name") -> DataFrame:
+    """One row on ``merge_with_dimension``: fact rows, merged rows, rows added by duplicate keys,
+    rows without a dimension row and rows that have no ``name`` after the merge."""
+    keys = dim.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_copies"), F.count_if(F.col(name).isNull()).alias("_nameless")
+    )
+    copies, nameless = F.coalesce("_copies", F.lit(1)), F.coalesce("_nameless", F.lit(1))
+    joined = fact.select(key).join(sized(keys), key, "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("merged_rows"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("fan_out"),
+        F.count_if(F.col("_copies").isNull()).alias("unmatched_rows"),
+        F.coalesce(F.sum(nameless), F.lit(0)).alias("rows_without_name"),
+    )
+
+
 def unmatched_keys(fact: DataFrame, dim: DataFrame, key: str = "task_id") -> DataFrame:
     """Distinct fact keys with no dimension row (NULL keys excluded), with row counts."""
     keys = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))

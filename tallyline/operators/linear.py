@@ -12,12 +12,13 @@ linear part; a plain linear model fits any non-empty set.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +67,34 @@ class LinearModel:
     booleans: bool = False  # booleans are features, as 0/1
     defaults: dict[str, object] = field(default_factory=dict)  # for features absent at scoring, else 0
 
+    @property
+    def fitted(self) -> bool:
+        return self.coefficients is not None
+
+    def save(self, path: str) -> None:
+        """Terms, codes and settings as Parquet tables under ``path``."""
+        spark = self.fills.sparkSession
+        n = len(self.feature_cols)
+        terms = zip(range(n), self.feature_cols, self.coefficients or [None] * n, self.means or [None] * n, self.stds or [None] * n, strict=True)
+        spark.createDataFrame(list(terms), "i int, feature string, coefficient double, mean double, std double").write.mode("overwrite").parquet(f"{path}/terms")
+        self.fills.write.mode("overwrite").parquet(f"{path}/fills")
+        none = spark.createDataFrame([], "column string, value string, code int")
+        (self.codes if self.codes is not None else none).write.mode("overwrite").parquet(f"{path}/codes")
+        other = [(self.prediction_col, self.intercept, self.categories, self.booleans, json.dumps(self.defaults), self.fitted)]
+        schema = "prediction_col string, intercept double, categories array<string>, booleans boolean, defaults string, fitted boolean"
+        spark.createDataFrame(other, schema).write.mode("overwrite").parquet(f"{path}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LinearModel:
+        terms = sorted(spark.read.parquet(f"{path}/terms").collect())  # one row per feature
+        s = spark.read.parquet(f"{path}/settings").first()
+        column = lambda name: [t[name] for t in terms] if s["fitted"] else None
+        return cls(
+            None, [t["feature"] for t in terms], spark.read.parquet(f"{path}/fills"), s["prediction_col"],
+            column("coefficient"), column("mean"), column("std"), s["intercept"],
+            spark.read.parquet(f"{path}/codes"), list(s["categories"]), s["booleans"], json.loads(s["defaults"]),
+        )
+
     def expression(self) -> F.Column:
         """The fitted model as one arithmetic column: intercept + sum(coef * (x - mean) / std).
 
@@ -79,7 +108,7 @@ class LinearModel:
         return out
 
     def predict(self, df: DataFrame) -> DataFrame:
-        if self.pipeline is None:
+        if not self.fitted:
             return df.withColumn(self.prediction_col, F.lit(None).cast("double"))
         x = df
         for c in self.feature_cols:

@@ -1,6 +1,7 @@
 """Query catalog: each entry runs a library job over the stand-in views of a
 test-data folder and returns a DataFrame; most carry a DuckDB oracle.
 
+A query that needs temporary tables writes its result and deletes them.
 Every query reads whole tables; results are rounded to 6 places where they
 are averages, deviations or medians so that the oracle comparison is exact.
 """
@@ -16,7 +17,7 @@ from tallyline import schemas as S
 from tallyline.operators.hierarchy import level_usage
 from tallyline.plans import jobs
 from tallyline.plans.oracle import hier_lookup_sql, with_views
-from tallyline.session import configure
+from tallyline.session import configure, materialize, scratch_scope
 from tallyline.sources import fixtures as fx
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +29,10 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(spark, sf_dir)
+            # temporary tables go; a result that reads some is written first
+            with scratch_scope(spark) as temporary:
+                df = fn(spark, sf_dir)
+                return materialize(df, f"result-{name}", keep=True) if temporary else df
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

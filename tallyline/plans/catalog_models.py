@@ -13,7 +13,7 @@ from tallyline.operators.median import grouped_median, grouped_quantiles
 from tallyline.plans import fullrun, jobs
 from tallyline.plans.catalog import T1_LEVELS, T2_LEVELS, _t1_body, _t1_ctes, _t1_model, _t2_body, _t2_ctes, _t2_model, r6, register
 from tallyline.plans.oracle import VIEWS, _DEPS, hier_lookup_sql, with_views
-from tallyline.session import materialize, scratch_path
+from tallyline.session import materialize, temp_path
 from tallyline.sources import csv as csvio
 from tallyline.sources import fixtures as fx
 
@@ -94,7 +94,7 @@ def median_levels_task2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task 2 model saved as Parquet and loaded back into a scoring model."""
     model = _t2_model(spark, sf_dir)
-    path = scratch_path(spark, "model-roundtrip")
+    path = temp_path(spark, "model-roundtrip")
     model.save(path)
     loaded = HierarchicalMedianModel.load(spark, path, T2_LEVELS, jobs.TASK2_TARGET)
     return _model_table(loaded, list(_T2_KEYS))
@@ -610,10 +610,13 @@ def linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_csv_inputs(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, str]:
     """Write stand-in views as CSV files under the shared checkpoint folder."""
-    makers = {"bookings": fx.bookings_v, "tasks": fx.tasks_v, "staffing": fx.staffing_v}
+    makers = {
+        "bookings": fx.bookings_v, "tasks": fx.tasks_v, "staffing": fx.staffing_v,
+        "task1_test": fx.task1_test_v, "task2_test": fx.task2_test_v,
+    }
     paths = {}
     for n in names:
-        paths[n] = scratch_path(spark, f"csv-{n}")
+        paths[n] = temp_path(spark, f"csv-{n}")
         csvio.write_csv(makers[n](spark, sf_dir), paths[n])
     return paths
 
@@ -666,6 +669,34 @@ def load_training_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("booking_id", "task_id", "section_id", "task_name", r6(F.col(cleaning.TASK1_TARGET)).alias("processing_time_minutes"))
 
 
+@register(
+    "full_run",
+    with_views(
+        ["t1_train", "t1_test", "t2_train", "t2_test"],
+        f"SELECT 1 AS task, row_id, true_processing_time_minutes AS prediction FROM ({_t1_body}) p UNION ALL "
+        f"SELECT 2 AS task, row_id, true_required_employees AS prediction FROM ({_t2_body.replace(' m', ' w').replace('(m', '(w')}) p",
+        _t1_ctes + [(n.replace("m", "w", 1), q) for n, q in _t2_ctes],
+    ),
+)
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full run from CSV files: both tasks trained, models and their summaries saved and checked,
+    inputs scored, outputs written, checked, and read back."""
+    paths = _write_csv_inputs(spark, sf_dir, ["bookings", "tasks", "staffing", "task1_test", "task2_test"])
+    out = temp_path(spark, "full-run")
+    names = ("bookings", "tasks", "staffing", "task1_test", "task2_test")
+    run = fullrun.full_run(spark, *(paths[n] for n in names), out)
+    reports_ok = [r.first()["valid"] for r in (run.task1, run.task2, run.submission1, run.submission2)]
+    if not all([*reports_ok, run.model1_ok, run.model2_ok]):
+        raise ValueError("the full run's outputs or models are not valid")
+    parts = [
+        csvio.read_csv_tolerant(spark, f"{out}/task{i}_predictions").select(
+            F.lit(i).alias("task"), F.col("row_id").cast("long").alias("row_id"), F.col(c).cast("int").alias("prediction")
+        )
+        for i, c in ((1, "true_processing_time_minutes"), (2, "true_required_employees"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------------------
 # Level presets: the notebook variant of both tasks (range filter + dropna +
 # its own level lists), scored end to end.
@@ -750,11 +781,11 @@ def stream_score_task1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.streaming import scoring as streaming
 
     model = _t1_model(spark, sf_dir)
-    landing = scratch_path(spark, "stream-landing")
+    landing = temp_path(spark, "stream-landing")
     inputs = fx.task1_test_v(spark, sf_dir)
     inputs.select(*[F.col(c).cast("string").alias(c) for c in inputs.columns]).write.mode("overwrite").parquet(landing)
-    out = scratch_path(spark, "stream-out")
-    q = streaming.score_task1_stream(spark, model, landing, out, scratch_path(spark, "stream-ckpt"), fmt="parquet", available_now=True)
+    out = temp_path(spark, "stream-out")
+    q = streaming.score_task1_stream(spark, model, landing, out, temp_path(spark, "stream-ckpt"), fmt="parquet", available_now=True)
     q.awaitTermination()  # availableNow ends by itself, however long the input takes
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -413,6 +413,35 @@ def merge_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("booking_id", "task_id", "section_id", "task_name", "section_name")
 
 
+@register(
+    "merge_counts",
+    with_views(
+        ["bookings_v", "tasks_v"],
+        "SELECT (SELECT count(*) FROM bookings_v) AS rows, count(*) AS merged_rows, count(*) - (SELECT count(*) FROM bookings_v) AS fan_out, "
+        "CAST(count_if(t.task_id IS NULL) AS BIGINT) AS unmatched_rows, CAST(count_if(t.task_name IS NULL) AS BIGINT) AS rows_without_name "
+        "FROM bookings_v b LEFT JOIN tasks_v t ON b.task_id = t.task_id",
+    ),
+)
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the task join: rows before and after, fan-out, unmatched rows, rows without a task name."""
+    return joins.merge_counts(fx.bookings_v(spark, sf_dir), fx.tasks_v(spark, sf_dir))
+
+
+@register(
+    "fill_counts",
+    with_views(
+        ["staffing_typed", "staffing_clean"],
+        "SELECT count(*) AS rows, CAST(count_if(employees_on_duty IS NULL) AS BIGINT) AS missing_before, "
+        "(SELECT CAST(count_if(employees_on_duty IS NULL) AS BIGINT) FROM staffing_clean) AS missing_after, "
+        "CAST(count_if(employees_on_duty IS NULL) AS BIGINT) - (SELECT CAST(count_if(employees_on_duty IS NULL) AS BIGINT) FROM staffing_clean) AS filled FROM staffing_typed",
+    ),
+)
+def fill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staffing rows whose missing employees were filled from task minutes."""
+    s = fx.staffing_v(spark, sf_dir)
+    return cleaning.fill_counts(s, cleaning.clean_staffing(s))
+
+
 @register(
     "unmatched_tasks",
     with_views(

@@ -54,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not str(master).startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="tallyline-ckpt-")
+        configured = tempfile.mkdtemp(prefix="tallyline-ckpt-")  # a local session only
     if sc is None:
         return configured
     sc.setCheckpointDir(configured)
@@ -67,6 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+def temp_path(spark: SparkSession, name: str) -> str:
+    """A ``scratch_path`` that the running ``scratch_scope``, if any, deletes."""
+    path = scratch_path(spark, name)
+    if _scopes():
+        _scopes()[-1].append(path)
+    return path
+
+
 _LOCAL = threading.local()  # scratch scopes are per thread
 
 

@@ -33,8 +33,7 @@ NULL_TOKENS = (
 
 def decoded(c: Column) -> Column:
     """Text whose bytes were read as ISO-8859-1: as UTF-8 where they are valid UTF-8."""
-    text = F.encode(c, _BYTES).cast("string")
-    return F.when(F.is_valid_utf8(text), text).otherwise(c)
+    return F.coalesce(F.try_validate_utf8(F.encode(c, _BYTES).cast("string")), c)
 
 
 def _header(raw: list[str]) -> list[str]:
@@ -68,10 +67,8 @@ def _scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     # never prunes the scan down to the corrupt-record column alone, which the
     # CSV reader refuses.
     anchor = F.greatest(F.length(F.col(columns[0])), F.lit(-1)) >= -1
-    texts = [decoded(F.col(c)) for c in columns]
-    return df.where(keep & anchor).select(
-        *[F.when(~t.isin(*NULL_TOKENS), t).alias(name) for t, name in zip(texts, _header(raw), strict=True)]
-    )
+    values = [F.when(~F.col(c).isin(*NULL_TOKENS), decoded(F.col(c))) for c in columns]
+    return df.where(keep & anchor).select(*[v.alias(name) for v, name in zip(values, _header(raw), strict=True)])
 
 
 def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

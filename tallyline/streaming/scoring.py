@@ -21,7 +21,7 @@ def read_inputs_stream(spark: SparkSession, path: str, columns: list[str], fmt:
     """Stream of scoring inputs from files in ``path`` (all columns as text for CSV)."""
     reader = spark.readStream.schema(S.string_schema(columns)).option("maxFilesPerTrigger", 64)
     if fmt == "csv":
-        return reader.option("header", True).csv(path)
+        return reader.options(header=True, quote='"', escape='"').csv(path)
     return reader.format(fmt).load(path)
 
 

@@ -20,8 +20,12 @@ def _inputs(spark, tmp_path):
 
 def test_full_run_validates(spark, tmp_path):
     p = _inputs(spark, tmp_path)
-    for m1, m2 in [("baseline", "baseline"), ("ensemble", "patterns"), ("nonsense", "linear")]:
-        res = fullrun.full_run(spark, p["bookings"], p["tasks"], p["staffing"], p["t1"], p["t2"], str(tmp_path / f"out-{m1}"), m1, m2)
+    for m1, m2 in [("baseline", "baseline"), ("ensemble", "patterns"), ("nonsense", "linear"), ("linear", "ensemble")]:
+        res = fullrun.full_run(spark, p["bookings"], p["tasks"], p["staffing"], p["t1"], p["t2"], str(tmp_path / f"out-{m1}-{m2}"), m1, m2)
+        assert res.model1_ok and res.model2_ok
+        for summary in (res.summary1, res.summary2):
+            row = summary.collect()[0]
+            assert row["training_samples"] > 0 and row["mae"] >= 0 and row["rmse"] >= row["mae"]
         for report in (res.task1, res.task2, res.submission1, res.submission2):
             r = report.collect()[0]
             assert r["valid"], (m1, m2, r)
@@ -48,3 +52,74 @@ def test_streaming_scoring_equals_batch(spark, tmp_path):
     batch = jobs.score_task1(model, csvio.read_csv_tolerant(spark, p["t1"]))
     want = {(str(r[0]), r[1]) for r in batch.collect()}
     assert got == want and len(got) == fx.task1_test_v(spark, SF_SMALL).count()
+
+
+def test_seven_rows_fit_a_linear_model_but_no_ensemble_part(spark):
+    from tallyline import schemas as S
+    from tallyline.operators import linear
+
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(7)], "x double, t double")
+    plain = linear.fit_numeric(df, "t")
+    got = [r["linear_prediction"] for r in plain.predict(df).orderBy("x").collect()]
+    assert plain.fitted and all(abs(a - (2 * i + 1)) < 1e-6 for i, a in enumerate(got))
+    assert not linear.fit_numeric(df, "t", min_rows=S.MIN_ROWS_FOR_LINEAR).fitted
+    assert not linear.fit_numeric(df.limit(0), "t").fitted
+
+
+def test_linear_model_on_all_features_equals_least_squares(spark, tmp_path):
+    import numpy as np
+
+    from tallyline.operators import linear
+
+    rng = np.random.default_rng(0)
+    n = 300
+    rows = []
+    for i in range(n):
+        x = float(rng.normal())
+        rows.append((i, "abc"[i % 3], None if i % 7 == 0 else x, float("nan") if i % 11 == 0 else 2 * x, float("inf") if i % 13 == 0 else 1.0 + i % 5,
+                     bool(i % 2), float(i % 3 + 2 * x + rng.normal() * 0.1)))
+    df = spark.createDataFrame(rows, "row_id int, s string, a double, b double, c double, f boolean, t double")
+    model = linear.fit_numeric(df, "t", booleans=True)
+    assert sorted(model.feature_cols) == ["a", "b", "c", "f", "s"]
+    design = np.array([["abc".index(r[1]), np.nan if r[2] is None else r[2], r[3], r[4], r[5]] for r in rows], float)
+    for j in range(5):  # fill with the median, infinite values in, then 0 for those
+        col = design[:, j]
+        col[np.isnan(col)] = np.median(col[~np.isnan(col)])
+        col[np.isinf(col)] = 0
+    y = np.array([r[6] for r in rows])
+    want = np.c_[np.ones(n), design] @ np.linalg.lstsq(np.c_[np.ones(n), design], y, rcond=None)[0]
+    model.save(str(tmp_path / "ols"))
+    for m in (model, linear.LinearModel.load(spark, str(tmp_path / "ols"))):
+        got = [r["linear_prediction"] for r in m.predict(df).orderBy("row_id").collect()]
+        assert np.allclose(got, want, atol=1e-6)
+    # a text feature and a number that are absent at scoring take their defaults
+    model.defaults = {"s": "b", "c": 1}
+    part = model.predict(df.select("row_id", "a", "b", "f")).count()
+    assert part == n
+
+
+def test_non_integer_outputs_are_truncated_and_written_anew(spark, tmp_path):
+    inputs = spark.createDataFrame([(1,), (2,), (3,)], "row_id int")
+    path = str(tmp_path / "p")
+    csvio.write_csv(spark.createDataFrame([(1, 12.7), (2, 3.0), (3, 0.2)], "row_id int, v double"), path)
+    report, rows = fullrun.rewrite_truncated(spark, path, "v", inputs, ["row_id", "v"])
+    assert report.first()["non_integer"] == 2
+    assert sorted((r[0], r[1]) for r in rows.collect()) == [("1", 12), ("2", 3), ("3", 0)]
+    assert sorted(r[1] for r in csvio.read_csv_tolerant(spark, path).collect()) == ["0", "12", "3"]
+
+
+def test_queries_leave_models_and_results_only(spark):
+    import os
+
+    import __spark_entry__ as ent
+    from tallyline.plans import catalog
+    from tallyline.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    kept = ("median-model", "median-lookup", "dimension", "pattern-", "category-codes", "simple-stats", "task-complexity", "impute-fills", "result-")
+    for name in ("describe_target", "train_metrics_task2", "section_aggregates", "simple_stats_mean", "duration_quality", "full_run", "clean_staffing"):
+        before = set(os.listdir(folder))
+        ent.queries()[name](spark, SF_SMALL).collect()
+        new = set(os.listdir(folder)) - before
+        assert all(x.startswith(kept) for x in new), (name, new)
+    assert catalog.QUERIES
