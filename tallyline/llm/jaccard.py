@@ -34,7 +34,7 @@ from .components import connected_components
 
 #: Coordinates of the R-tree's points, and set sizes from which finer vectors decide (powers of two).
 GROUPS = 64
-FINER = ((1024, 256), (4096, 1024))
+FINER = ((1024, 256), (8192, 512))
 #: Classes in one block of a posting; shingles in one block of a family.
 BLOCK_CLASSES = 2048
 BLOCK_SHINGLES = 1 << 21
@@ -62,7 +62,17 @@ def _dims(n: int) -> int:
 
 def vector(s: np.ndarray) -> np.ndarray:
     d = _dims(len(s))
-    return np.bincount((s & np.uint64(d - 1)).astype(np.int64), minlength=d).astype(np.uint32)
+    return np.bincount((s & np.uint64(d - 1)).astype(np.int64), minlength=d)
+
+
+def packed(v: np.ndarray) -> bytes:
+    """Counts in as many bytes each as the largest takes."""
+    return v.astype(np.min_scalar_type(int(v.max()))).tobytes()
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    """The vector of a set of ``n``, whose length tells a count's width."""
+    return np.frombuffer(raw, f"u{len(raw) // _dims(n)}").astype(np.int64)
 
 
 def _fold(v: np.ndarray, d: int) -> np.ndarray:
@@ -212,7 +222,7 @@ def _sets(docs: DataFrame, size: int, percent: int, last: np.ndarray) -> DataFra
                     posted = np.concatenate([s[~hot], s[hot]])
                 out["n"].append(n)
                 out["signature"].append(xxhash.xxh3_128_digest(s.tobytes()))
-                out["vector"].append(vector(s).tobytes())
+                out["vector"].append(packed(vector(s)))
                 out["posted"].append(posted[:first].view(np.int64))
             return {"doc_id": batch.column(0)} | out
 
@@ -265,7 +275,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
                 if seen[key]:
                     out.add(key)
                 continue
-            vectors = [np.frombuffer(raw[k], np.uint32) for k in at.tolist()]
+            vectors = [unpacked(raw[k], int(n[k])) for k in at.tolist()]
             for x, y in spanning(vectors, n[at], percent, own=own[at]):
                 a, b = int(ids[at[x]]), int(ids[at[y]])
                 out.add((min(a, b), max(a, b)))
@@ -279,7 +289,7 @@ def passes(x: bytes, y: bytes, a: int, b: int, percent: int) -> bool:
     """The bound for one pair, by the finest vectors both have."""
     if 100 * min(a, b) < percent * max(a, b):
         return False
-    u, v = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+    u, v = unpacked(x, a), unpacked(y, b)
     if len(u) != len(v):
         d = min(len(u), len(v))
         u, v = _fold(u, d), _fold(v, d)
@@ -311,7 +321,9 @@ def _verified(docs: DataFrame, families: DataFrame, classes: DataFrame, size: in
         members.withColumn("block", F.floor(running / BLOCK_SHINGLES).cast("int")),
         "jaccard-families", observe=[F.coalesce(F.sum("n"), F.lit(0)).alias("n")],
     )
-    texts = docs.join(members.select(F.col("id").alias("doc_id"), "family", "n", "signature", "block"), "doc_id")
+    # members grow with the corpus: one plan at all sizes, texts are dealt out by id
+    wanted = members.select(F.col("id").alias("doc_id"), "family", "n", "signature", "block").hint("shuffle_merge")
+    texts = docs.join(wanted, "doc_id")
     sets = common.map_batches(texts.select("doc_id", "text", "family", "n", "signature", "block"), task, "id long, family long, n long, block int, shingles binary")
     least = members.groupBy("family", "block").agg(F.min("n").alias("least")).select("family", F.col("block").alias("to"), "least")
     many = members.groupBy("family").agg(F.max("block").alias("last")).where("last > 0")
