@@ -86,7 +86,6 @@ def op8_suffix_automaton_decontamination(spark: SparkSession, sf_dir: str) -> Da
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-        F.col("longest").alias("longest_match"),
     )
 
 
@@ -121,4 +120,61 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rare_token_licenses": op10_rare_token_licenses,
 }
 
-ORACLES: dict[str, str] = {}
+# DuckDB SQL where it can say the same over whole tables. The rest has learned models,
+# tokenizers or transitive closures, and is tested against plain Python in tests/llm.
+
+_UPPER, _LOWER = license._UPPER, license._LOWER
+_ALNUM_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_SPACE_SQL = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_CONTROLS_SQL = "len(regexp_extract_all({c}, '[<\\[]\\\\*(\\||/?s>|/?INST\\])'))"
+
+
+def _turn_chars_sql() -> str:
+    text, role = (f"length({c}) + " + _CONTROLS_SQL.format(c=c) for c in ("text", "role"))
+    return f"{len(chat.START) + len(chat.END) + 2} + {text} + {role}"
+
+
+ORACLES: dict[str, str] = {
+    "op3_count_vector_rtree": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SPACE_SQL.replace("coalesce(text, '')", f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 3], ' ')) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0) x),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT edges.b, reach.r FROM reach JOIN edges ON edges.a = reach.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) c ON c.doc_id = d.doc_id""",
+    "op7_typed_content_parts": f"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_turn_chars_sql()}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op8_suffix_automaton_decontamination": f"""
+WITH d AS (SELECT doc_id, {_ALNUM_SQL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS m FROM (SELECT item_id, {_ALNUM_SQL} AS w FROM benchmark) x WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM b) x),
+dw AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+       FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT m FROM b) x) y),
+hits AS (SELECT doc_id, i, bw.m, item FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
+words AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS j FROM hits) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+       sha256(coalesce(items.names, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+    "op9_recompression_dedup": f"""
+WITH d AS (SELECT doc_id, {_SPACE_SQL} AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d) x),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY g) AS n FROM g) x WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM again),
+kept AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.j) AS text
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d) x
+         LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.j = x.j WHERE gone.j IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+}
