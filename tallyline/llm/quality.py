@@ -32,6 +32,7 @@ _ENDS = (b".", b"!", b"?", b'"', b":", b";")
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
     "n_lines", "n_distinct_words", "n_digits", "n_ended_lines",
+    "n_marked_words",
 )
 
 
@@ -50,6 +51,7 @@ class Rule:
 
 def rules() -> list[Rule]:
     words, repeats = F.col("n_words"), _ratio("n_repeat_words", "n_words")
+    shares, marked = _ratio("n_symbols", "word_chars"), _ratio("n_marked_words", "n_words")
     symbols, copies = _ratio("n_symbols", "n_words"), _ratio("n_dup_lines", "n_lines")
     length, variety = _ratio("word_chars", "n_words"), _ratio("n_distinct_words", "n_words")
     digits, ended = _ratio("n_digits", "word_chars"), _ratio("n_ended_lines", "n_lines")
@@ -57,7 +59,9 @@ def rules() -> list[Rule]:
         Rule("long_enough", words < 30, words >= 60),
         Rule("repeated_words", repeats > 0.3, repeats < 0.1),
         Rule("symbols", symbols > 0.2, symbols < 0.05),
-        Rule("repeated_lines", copies > 0.3, copies < 0.1),
+        Rule("symbol_share", shares > 0.04, shares < 0.01),
+        Rule("marked_words", marked > 0.1, marked < 0.03),
+        Rule("repeated_lines", (copies > 0.3) & (F.col("n_dup_lines") >= 3), copies < 0.1),
         Rule("word_length", (length < 2) | (length > 12), (length >= 3) & (length <= 10)),
         Rule("variety", variety < 0.1, variety > 0.25),
         Rule("digits", digits > 0.2, F.lit(False)),
@@ -83,16 +87,18 @@ def counts_of(text: bytes | None, hashes: common.WordHashes) -> tuple[int, ...]:
             n_repeat = int(cover.sum())
     lines = [x for x in text.split(b"\n") if x.strip()]
     n_chars = len(text.translate(None, _NOT_COUNTED))
+    n_symbols = len(text) - len(text.translate(None, _SYMBOLS))
     return (
         len(words),
         n_chars,
-        len(text) - len(text.translate(None, _SYMBOLS)),
+        n_symbols,
         len(lines) - len(set(lines)),
         n_repeat,
         len(lines),
         len(set(words)),
         len(text) - len(text.translate(None, _DIGITS)),
         sum(x.rstrip().endswith(_ENDS) for x in lines),
+        sum(len(w.translate(None, _SYMBOLS)) < len(w) for w in words) if n_symbols else 0,
     )
 
 
