@@ -7,7 +7,8 @@
 3. A class's shingles, hashed into groups, give a vector of counts. Classes that share a posting are
    joined by an R-tree over these vectors: the sum of coordinate minima bounds the overlap, of node
    corners as of points. Only a spanning forest of the pairs that pass is kept, so a group of
-   ``k`` copies gives ``k - 1`` rows. Postings of many classes are cut into blocks by set size.
+   ``k`` copies gives ``k - 1`` rows. Postings of many classes are cut into blocks, and
+   tasks are blocks and pairs of blocks.
 4. Components of these pairs are families. A family's whole sets meet in blocks of bounded size, pairs
    that pass the R-tree are verified unless a verified path joins them already, and
    components of the verified links are the result.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.session import materialize, scratch_scope
@@ -145,17 +146,17 @@ def _fine(vectors: list[np.ndarray], x: int, y: int, n: np.ndarray, percent: int
     return d <= GROUPS or np.minimum(_fold(vectors[x], d), _fold(vectors[y], d)).sum() >= needed(int(n[x]), int(n[y]), percent)
 
 
-def spanning(vectors: list[np.ndarray], n: np.ndarray, percent: int, verify=None, own: np.ndarray | None = None) -> list[tuple[int, int]]:
+def spanning(vectors: list[np.ndarray], n: np.ndarray, percent: int, verify=None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the pairs that pass the bound, and ``verify(x, y)`` where given.
 
-    With ``own``, pairs of two points that are not own are another block's work.
+    With ``side`` only pairs from both sides count: each side's own pairs are another task's.
     """
     points = np.stack([_fold(v, GROUPS) for v in vectors]).astype(np.int64)
     forest, out = Forest(len(n)), []
     for i, j in Tree(points, n).pairs(percent):
-        if own is not None:
-            mine = own[i] | own[j]
-            i, j = i[mine], j[mine]
+        if side is not None:
+            across = side[i] != side[j]
+            i, j = i[across], j[across]
         for x, y in zip(i.tolist(), j.tolist(), strict=True):
             if forest.root(x) != forest.root(y) and _fine(vectors, x, y, n, percent) and (verify is None or verify(x, y)):
                 forest.join(x, y)
@@ -231,56 +232,93 @@ def _sets(docs: DataFrame, size: int, percent: int, last: np.ndarray) -> DataFra
     return common.map_batches(docs, task, "doc_id long, n long, signature binary, vector binary, posted array<long>")
 
 
+def _met(rows: DataFrame, key: str, weight: str, limit: int, percent: int) -> DataFrame:
+    """``rows(key, id, n, total, ...)`` dealt out to tasks ``(key, lo, hi)`` of bounded size.
+
+    Up to ``limit`` of ``total`` weight, a key is one task. Beyond it is cut into blocks: by size, in bands whose
+    width is the threshold's ratio, so that linked sets lie in one band or in neighbours, and within a band by
+    a hash of ``id``. A block is a task, and so is each pair of blocks of one band or of neighbours,
+    where ``side`` tells the two apart; every two sets that can be linked meet in exactly one task.
+    """
+    none = F.lit(0).cast("long")
+    small = rows.where(F.col("total") <= limit).withColumns({"lo": none, "hi": none, "side": F.lit(False)})
+    band = F.floor(F.log(F.col("n")) / float(np.log(100 / percent))).cast("long") if percent < 100 else F.col("n")
+    big = rows.where(F.col("total") > limit).withColumn("band", band)
+    bands = big.groupBy(key, "band").agg(F.ceil(F.sum(weight) / limit).cast("long").alias("salts"))
+    bands = materialize(bands, "jaccard-bands")
+    big = (
+        big.join(bands, [key, "band"])
+        .join(bands.select(key, (F.col("band") - 1).alias("band"), F.col("salts").alias("above")), [key, "band"], "left")
+        .join(bands.select(key, (F.col("band") + 1).alias("band"), F.col("salts").alias("below")), [key, "band"], "left")
+        .withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")))
+    )
+    block = lambda b, x: b * F.lit(1 << 32) + x
+    own = block(F.col("band"), F.col("salt"))
+    task = lambda lo, hi, side: F.struct(lo.alias("lo"), hi.alias("hi"), F.lit(side).alias("side"))
+    empty = F.array().cast("array<struct<lo:bigint,hi:bigint,side:boolean>>")
+
+    def tasks(first: Column, last: Column, band: Column, side: bool) -> Column:
+        """One task with each of a band's blocks ``first`` to ``last``."""
+        other = lambda x: task(block(band, x), own, True) if side else task(own, block(band, x), False)
+        return F.when(last >= first, F.transform(F.sequence(first, last), other)).otherwise(empty)
+
+    b, salt, zero = F.col("band"), F.col("salt"), F.lit(0).cast("long")
+    every = F.concat(
+        F.array(task(own, own, False)),
+        tasks(salt + 1, F.col("salts") - 1, b, False),
+        tasks(zero, salt - 1, b, True),
+        tasks(zero, F.coalesce("above", zero) - 1, b + 1, False),
+        tasks(zero, F.coalesce("below", zero) - 1, b - 1, True),
+    )
+    dealt = big.withColumn("task", F.explode(every)).select(*rows.columns, "task.lo", "task.hi", "task.side")
+    return small.unionByName(dealt)
+
+
+def _parts(table: pa.Table, key: str) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """A group's tasks: the numbers of their rows, and the sides where there are two."""
+    k, lo, hi, ids = (table.column(c).to_numpy() for c in (key, "lo", "hi", "id"))
+    side = table.column("side").to_numpy()
+    order = np.lexsort((ids, hi, lo, k))
+    k, lo, hi = k[order], lo[order], hi[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(k) != 0) | (np.diff(lo) != 0) | (np.diff(hi) != 0)])
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(k)], strict=True):
+        at = order[a:b]
+        if len(at) > 1:
+            yield at, None if lo[a] == hi[a] else side[at]
+
+
+def _pairs_table(pairs: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of each posting's pairs that pass the bound."""
     postings = classes.select("id", "n", F.explode("posted").alias("h"))
-    in_posting = Window.partitionBy("h").orderBy("n", "id")
-    shared = (
-        postings.withColumn("block", F.floor((F.row_number().over(in_posting) - 1) / BLOCK_CLASSES).cast("int"))
-        .withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("h")))
-        .where("times > 1")
-    )
+    shared = postings.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("total > 1")
     shared, seen = materialize(shared, "jaccard-postings", observe=[F.count(F.lit(1)).alias("n")])
-    # a block meets the later blocks whose smallest set is near enough in size
-    later = (
-        shared.where(F.col("times") > BLOCK_CLASSES).groupBy("h", "block").agg(F.min("n").alias("least"))
-        .select("h", F.col("block").alias("to"), "least")
-    )
-    moved = (
-        shared.where(F.col("times") > BLOCK_CLASSES).join(later, "h").where(f"to > block and 100 * n >= {percent} * least")
-        .select("id", "n", "h", F.col("to").alias("block"), F.lit(False).alias("own"))
-    )
-    met = shared.select("id", "n", "h", "block", F.lit(True).alias("own")).unionByName(moved)
-    with_vector = met.join(classes.select("id", "vector"), "id")
-    groups = F.pmod(F.xxhash64("h", "block"), F.lit(max(1, seen["n"] >> 14)))
+    met = _met(shared.withColumn("one", F.lit(1)), "h", "one", BLOCK_CLASSES, percent)
+    with_vector = met.select("id", "n", "h", "lo", "hi", "side").join(classes.select("id", "vector"), "id")
+    groups = F.pmod(F.xxhash64("h", "lo", "hi"), F.lit(max(1, seen["n"] >> 14)))
 
     def run(table: pa.Table) -> pa.Table:
-        h, block = (table.column(c).to_numpy() for c in ("h", "block"))
-        ids, n, own = (table.column(c).to_numpy() for c in ("id", "n", "own"))
-        order = np.lexsort((n, block, h))
+        ids, n = (table.column(c).to_numpy() for c in ("id", "n"))
         raw = table.column("vector").to_pylist()
-        starts = np.flatnonzero(np.r_[True, (np.diff(h[order]) != 0) | (np.diff(block[order]) != 0)])
         out: set[tuple[int, int]] = set()
-        seen: dict[tuple[int, int], bool] = {}
-        ends = np.r_[starts[1:], len(order)]
-        for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True):
-            at = order[lo:hi]
-            if hi - lo < 2:
-                continue
-            if hi - lo == 2:
+        known: dict[tuple[int, int], bool] = {}
+        for at, side in _parts(table, "h"):
+            if len(at) == 2:  # most postings; the same pair often shares several
                 x, y = at.tolist()
                 key = (min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y])))
-                if key not in seen:
-                    seen[key] = passes(raw[x], raw[y], int(n[x]), int(n[y]), percent)
-                if seen[key]:
+                if (side is None or side[0] != side[1]) and key not in known:
+                    known[key] = passes(raw[x], raw[y], int(n[x]), int(n[y]), percent)
+                if known.get(key):
                     out.add(key)
                 continue
             vectors = [unpacked(raw[k], int(n[k])) for k in at.tolist()]
-            for x, y in spanning(vectors, n[at], percent, own=own[at]):
+            for x, y in spanning(vectors, n[at], percent, side=side):
                 a, b = int(ids[at[x]]), int(ids[at[y]])
                 out.add((min(a, b), max(a, b)))
-        pairs = sorted(out)
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+        return _pairs_table(sorted(out))
 
     return with_vector.withColumn("g", groups).groupBy("g").applyInArrow(run, "a long, b long").distinct()
 
@@ -303,7 +341,7 @@ def _verified(docs: DataFrame, families: DataFrame, classes: DataFrame, size: in
         hashes = common.WordHashes()
 
         def step(batch):
-            out = {k: [] for k in ("id", "family", "n", "block", "shingles")}
+            out = {k: [] for k in ("id", "family", "n", "total", "shingles")}
             others = [batch.column(i).to_pylist() for i in (0, 2, 3, 5)]
             for text, signature, *row in zip(common.binary_list(batch.column(1)), batch.column(4).to_pylist(), *others, strict=True):
                 s = shingle_set(hashes, text, size).tobytes()
@@ -314,35 +352,22 @@ def _verified(docs: DataFrame, families: DataFrame, classes: DataFrame, size: in
 
         return step
 
-    # a family's members by set size, cut where the running number of shingles passes a block's
-    running = F.sum("n").over(Window.partitionBy("family").orderBy("n", "id"))
     members = families.select("id", F.col("component").alias("family")).join(classes.select("id", "n", "signature"), "id")
-    members, seen = materialize(
-        members.withColumn("block", F.floor(running / BLOCK_SHINGLES).cast("int")),
-        "jaccard-families", observe=[F.coalesce(F.sum("n"), F.lit(0)).alias("n")],
-    )
+    totals = members.groupBy("family").agg(F.sum("n").alias("total"))
+    members, seen = materialize(members.join(totals, "family"), "jaccard-families", observe=[F.coalesce(F.sum("n"), F.lit(0)).alias("n")])
     # members grow with the corpus: one plan at all sizes, texts are dealt out by id
-    wanted = members.select(F.col("id").alias("doc_id"), "family", "n", "signature", "block").hint("shuffle_merge")
+    wanted = members.select(F.col("id").alias("doc_id"), "family", "n", "signature", "total").hint("shuffle_merge")
     texts = docs.join(wanted, "doc_id")
-    sets = common.map_batches(texts.select("doc_id", "text", "family", "n", "signature", "block"), task, "id long, family long, n long, block int, shingles binary")
-    least = members.groupBy("family", "block").agg(F.min("n").alias("least")).select("family", F.col("block").alias("to"), "least")
-    many = members.groupBy("family").agg(F.max("block").alias("last")).where("last > 0")
+    sets = common.map_batches(texts.select("doc_id", "text", "family", "n", "signature", "total"), task, "id long, family long, n long, total long, shingles binary")
     sets = materialize(sets, "jaccard-sets")
-    moved = (
-        sets.join(least.join(many.select("family"), "family", "left_semi"), "family").where(f"to > block and 100 * n >= {percent} * least")
-        .select("id", "family", "n", "shingles", F.col("to").alias("block"), F.lit(False).alias("own"))
-    )
-    met = sets.select("id", "family", "n", "shingles", "block", F.lit(True).alias("own")).unionByName(moved)
+    met = _met(sets, "family", "n", BLOCK_SHINGLES, percent)
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.sort_by([("family", "ascending"), ("block", "ascending"), ("n", "ascending"), ("id", "ascending")])
-        family, block, ids = (rows.column(c).to_numpy() for c in ("family", "block", "id"))
-        own = rows.column("own").to_numpy()
-        sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-        starts = np.flatnonzero(np.r_[True, (np.diff(family) != 0) | (np.diff(block) != 0)])
-        a, b = [], []
-        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)], strict=True):
-            part = sets[lo:hi]
+        ids = table.column("id").to_numpy()
+        raw = table.column("shingles").to_pylist()
+        out = []
+        for at, side in _parts(table, "family"):
+            part = [np.frombuffer(raw[k], np.uint64) for k in at.tolist()]
 
             def linked(x: int, y: int, part=part) -> bool:
                 p, q = part[x], part[y]
@@ -350,14 +375,13 @@ def _verified(docs: DataFrame, families: DataFrame, classes: DataFrame, size: in
                 return 100 * both >= percent * (len(p) + len(q) - both)
 
             n = np.array([len(s) for s in part], np.int64)
-            for x, y in spanning([vector(s) for s in part], n, percent, linked, own[lo:hi]):
-                a.append(int(ids[lo + x]))
-                b.append(int(ids[lo + y]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    # whole blocks to a group; small families share one
-    groups = F.pmod(F.xxhash64("family", "block"), F.lit(max(1, seen["n"] >> 20)))
-    return met.withColumn("g", groups).groupBy("g").applyInArrow(run, "a long, b long")
+            out += [(int(ids[at[x]]), int(ids[at[y]])) for x, y in spanning([vector(s) for s in part], n, percent, linked, side)]
+        return _pairs_table(out)
+
+    # whole tasks to a group; small families share one
+    groups = F.pmod(F.xxhash64("family", "lo", "hi"), F.lit(max(1, seen["n"] >> 20)))
+    columns = met.select("id", "family", "shingles", "lo", "hi", "side")
+    return columns.withColumn("g", groups).groupBy("g").applyInArrow(run, "a long, b long")
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
