@@ -525,8 +525,8 @@ def ols_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.predict(rows).select("booking_id", r6(F.col("linear_prediction")).alias("linear_prediction"))
 
 
-# OLS on two features, one of them a code of a text column, in closed form. The models
-# of the full run take all numeric and coded features; tests compare those with numpy.
+# OLS on two features, one of them a code of a text column: SQL has a closed form for it. The
+# models on all numeric and coded features are the queries *_all_features; tests compare those with numpy.
 T1_LINEAR = ("task_id", "appt_hour")
 T2_LINEAR = ("section_id", "weekday")
 
@@ -603,6 +603,27 @@ def linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fullrun.linear_task2(ols, fx.task2_test_v(spark, sf_dir))
 
 
+@register("ensemble_blend_all_features")
+def ensemble_blend_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task 1 ensemble: 0.7 x hierarchical median + 0.3 x OLS on all numeric and coded features, task attributes too."""
+    model = fullrun.train_task1_model("ensemble", fx.bookings_v(spark, sf_dir), fx.tasks_v(spark, sf_dir))
+    return model.score(fx.task1_test_v(spark, sf_dir))
+
+
+@register("ensemble_blend_task2_all_features")
+def ensemble_blend_task2_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task 2 ensemble: 0.7 x hierarchical median + 0.3 x OLS on all numeric, boolean and coded features."""
+    model = fullrun.train_task2_model("ensemble", fx.staffing_v(spark, sf_dir))
+    return model.score(fx.task2_test_v(spark, sf_dir))
+
+
+@register("linear_model_all_features")
+def linear_model_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear-only Task 2 model on all numeric, boolean and coded features, clamped to [1, 50] and rounded."""
+    model = fullrun.train_task2_model("linear", fx.staffing_v(spark, sf_dir))
+    return model.score(fx.task2_test_v(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------
 # CSV sources and sinks
 # ---------------------------------------------------------------------------

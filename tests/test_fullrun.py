@@ -2,6 +2,7 @@
 
 import time
 
+import pytest
 from conftest import SF_SMALL
 from tallyline.plans import fullrun, jobs
 from tallyline.sources import csv as csvio
@@ -98,6 +99,43 @@ def test_linear_model_on_all_features_equals_least_squares(spark, tmp_path):
     assert part == n
 
 
+@pytest.mark.parametrize(
+    ("name", "some"),
+    [
+        ("ensemble_blend_all_features", {"task_id", "section_id", "appt_hour", "appt_month", "booking_advance_hours", "queue_number", "satisfaction_rating"}),
+        ("ensemble_blend_task2_all_features", {"section_id", "weekday", "month", "is_weekend", "total_task_time_minutes", "task_time_category"}),
+        ("linear_model_all_features", {"section_id", "weekday", "month", "is_weekend", "total_task_time_minutes", "task_time_category"}),
+    ],
+)
+def test_registered_models_fit_all_features(spark, monkeypatch, name, some):
+    import numpy as np
+
+    import __spark_entry__ as ent
+    from tallyline.operators import linear
+
+    fit, seen = linear.fit_linear, []
+
+    def recorded(df, target, cols, **kw):
+        model = fit(df, target, cols, **kw)
+        x = linear._filled(linear._doubles(df, cols), cols, model.fills).select(*cols, target, model.expression().alias("got"))
+        seen.append((set(cols), x.toPandas().astype(float)))
+        return model
+
+    monkeypatch.setattr(linear, "fit_linear", recorded)
+    out = ent.queries()[name](spark, SF_SMALL)
+    inputs = fx.task1_test_v(spark, SF_SMALL) if name == "ensemble_blend_all_features" else fx.task2_test_v(spark, SF_SMALL)
+    assert out.count() == inputs.count() and out.dropna().count() == out.count()
+    ((cols, x),) = seen
+    assert some <= cols, cols
+    design = x.drop(columns="got").to_numpy()
+    y, design = design[:, -1], design[:, :-1]
+    centred = design - design.mean(0)
+    scaled = np.c_[np.ones(len(y)), centred / np.where(centred.std(0) > 0, centred.std(0), 1)]
+    # normal equations have the square of the design's condition: directions under 1e-7 count as collinear
+    want = scaled @ np.linalg.lstsq(scaled, y, rcond=1e-6)[0]
+    assert np.abs(x["got"] - want).max() < 1e-3 * y.std()
+
+
 def test_non_integer_outputs_are_truncated_and_written_anew(spark, tmp_path):
     inputs = spark.createDataFrame([(1,), (2,), (3,)], "row_id int")
     path = str(tmp_path / "p")
