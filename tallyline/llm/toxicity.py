@@ -3,7 +3,7 @@
 The lexicon is learned from labelled rows: entries are whole words, or stems that many different
 words of toxic texts begin with. They form a trie; its product with the Levenshtein automaton
 of distance 1 is determinised lazily, one state at a time, so a word is matched by one table
-step per character. An exact entry, a misspelled one and their context (quotation marks and reporting
+step per character; a stem keeps its first character, a whole word need not. An exact entry, a misspelled one and their context (quotation marks and reporting
 words near by against direct address) give each hit a weight; a logistic model over a text's
 hits, also fitted on the labelled rows, gives the score.
 
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -54,13 +55,19 @@ class Lexicon:
     clean: frozenset[str] = frozenset()
     #: how far a misspelled hit of an entry is trusted; less, the more clean words are near it
     trust: dict[str, float] = field(default_factory=dict)
+    #: whole words also match with their first character replaced, dropped or preceded by another
+    any_first: bool = False
+
+
+_FIRST = 2
 
 
 class Matcher:
     """The lexicon trie times the Levenshtein automaton of distance 1, determinised lazily.
 
-    A state is a set of (trie node, edits); a word's characters lead from state to state. The best
-    hit is exact before misspelled, then the heavier entry.
+    A state is a set of (trie node, edits); a word's characters lead from state to state. An edit of the
+    first character counts as ``_FIRST`` edits: it is one that only whole words accept, since stems keep
+    their beginning. The best hit is exact before misspelled, then the heavier entry.
     """
 
     def __init__(self, lexicon: Lexicon) -> None:
@@ -68,6 +75,7 @@ class Matcher:
         self.children: list[dict[str, int]] = [{}]
         self.entry: list[str | None] = [None]
         self.long: list[bool] = [False]  # an entry of FUZZY_FROM or more lies at or below
+        self.word: list[bool] = [False]  # such an entry that is a whole word
         for text in sorted(lexicon.entries):
             node = 0
             path = [0]
@@ -77,12 +85,14 @@ class Matcher:
                     self.children.append({})
                     self.entry.append(None)
                     self.long.append(False)
+                    self.word.append(False)
                 node = self.children[node][ch]
                 path.append(node)
             self.entry[node] = text
             if len(text) >= FUZZY_FROM:
                 for n in path:
                     self.long[n] = True
+                    self.word[n] |= not lexicon.entries[text][0]
         self._reset()
 
     def _reset(self) -> None:
@@ -94,25 +104,31 @@ class Matcher:
     def _state(self, pairs: set[tuple[int, int]]) -> int:
         """The state of ``pairs`` and of the trie characters left out after them."""
         for node, edits in list(pairs):
-            # the first character is not dropped: stems keep their beginning
-            if not edits and node and self.long[node]:
-                pairs.update((n, 1) for n in self.children[node].values() if self.long[n])
-        key = frozenset((n, e) for n, e in pairs if e == 0 or (n, 0) not in pairs)
+            if not edits:
+                pairs.update(self._others(node))
+        key = frozenset((n, e) for n, e in pairs if not any((n, x) in pairs for x in range(e)))
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
             self.steps.append({})
         return self.states[key]
 
+    def _others(self, node: int) -> Iterator[tuple[int, int]]:
+        """What an edit at ``node`` leads to over one trie character."""
+        if node:
+            return ((n, 1) for n in self.children[node].values() if self.long[n])
+        return ((n, _FIRST) for n in self.children[0].values() if self.word[n] and self.lexicon.any_first)
+
     def _step(self, state: int, ch: str) -> int:
         to: set[tuple[int, int]] = set()
         for node, edits in self.sets[state]:
             child = self.children[node].get(ch)
             if child is not None:
                 to.add((child, edits))
-            if not edits and node and self.long[node]:
-                to.add((node, 1))  # a character too many
-                to.update((n, 1) for n in self.children[node].values() if self.long[n])  # another one
+            if not edits:
+                if self.long[node] if node else self.word[0] and self.lexicon.any_first:
+                    to.add((node, 1 if node else _FIRST))  # a character too many
+                to.update(self._others(node))  # another one
         got = self.steps[state][ch] = self._state(to)
         return got
 
@@ -123,6 +139,9 @@ class Matcher:
             if text is None or (edits and len(text) < FUZZY_FROM):
                 continue
             stem, weight = self.lexicon.entries[text]
+            if edits == _FIRST and stem:
+                continue
+            edits = min(edits, 1)
             # a misspelled stem counts only with all of its characters read
             if (stem or whole) and (best is None or (edits, -weight, text) < best[0]):
                 best = ((edits, -weight, text), (text, edits))
@@ -327,7 +346,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
             .groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count(F.when(F.col("around") >= 0, 1)).alias("contexts"))
             .where(f"contexts >= 3 and toxic * {n_clean} >= 20 * clean * {n_toxic}")
         )
-        lexicon = Lexicon(choose([tuple(r) for r in found.collect()], n_toxic, n_clean))
+        lexicon = Lexicon(choose([tuple(r) for r in found.collect()], n_toxic, n_clean), any_first=True)
         if not lexicon.entries:
             return nothing
         half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))

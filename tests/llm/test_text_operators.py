@@ -348,6 +348,29 @@ def test_matcher_is_distance_one_with_the_first_letter_kept():
         assert (got and (got[1], got[0])) == (min(want) if want else None), word
 
 
+def test_whole_words_match_with_another_first_character():
+    entries = {"idiot": (False, 5.0), "scum": (False, 5.0), "trash": (False, 4.0), "lowei": (True, 5.0)}
+    m = toxicity.Matcher(toxicity.Lexicon(entries, frozenset({"crash"}), any_first=True))
+    for word in ("1diot", "xidiot", "diot", "iidiot", "xtrash", "rash"):
+        assert m.match(word) == ("idiot" if word.endswith("diot") else "trash", 1), word
+    assert toxicity.Words(m)["*diot"] == ("idiot", 1)
+    for word in ("crash", "xcum", "xscum", "1dioot", "xowei", "owei", "xlowei", "diots", ""):
+        assert m.match(word) is None, word
+    assert m.match("loweisch") == ("lowei", 0) and m.match("lowxi") == ("lowei", 1)
+    words = [e for e, (stem, _) in entries.items() if not stem]
+    m = toxicity.Matcher(toxicity.Lexicon({e: entries[e] for e in words}, any_first=True))
+    rng = np.random.default_rng(6)
+    for _ in range(3000):
+        base = list(rng.choice(words))
+        for _ in range(int(rng.integers(0, 3))):
+            i = int(rng.integers(0, min(3, len(base) + 1)))
+            base[i : i + int(rng.integers(0, 2))] = rng.choice(list("idotscrah"), int(rng.integers(0, 2))).tolist()
+        word = "".join(base)
+        want = [(0, e) for e in words if word == e] + [(1, e) for e in words if len(e) >= toxicity.FUZZY_FROM and distance(word, e) == 1]
+        got = m.match(word)
+        assert (got and (got[1], got[0])) == (min(want) if want else None), word
+
+
 def test_stems_match_by_their_beginning():
     m = toxicity.Matcher(toxicity.Lexicon({"lowei": (True, 5.0)}, frozenset({"lowai"})))
     assert m.match("loweisch") == ("lowei", 0) and m.match("lowxisch") == ("lowei", 1)
@@ -378,6 +401,16 @@ def test_toxicity_learns_words_and_stems(spark, make_docs):
     assert s[0] == s[1] < 0.5 <= s[2] and s.between(0, 1).all()
 
 
+def test_learned_words_match_with_another_first_character(spark, make_docs):
+    rows = [(i, f"x{i % 23} {'zounder' if i % 2 else 'garden'} w{i % 17} y{i}") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit(make_docs(rows), labels)
+    assert model.lexicon.entries.keys() == {"zounder"}
+    texts = ["20under w1 x2 y3", "*ounder w1 x2 y3", "xzounder w1 x2 y3", "sounder w1 x2 y3", "garden w1 x2 y3"]
+    assert toxicity.score(make_docs(texts), model).toPandas().misspelled.gt(0).tolist() == [False, True, True, True, False]
+    assert toxicity.reject(make_docs(texts[1:]), model).toPandas().text.tolist() == texts[4:]
+
+
 def test_toxicity_without_labels(spark, make_docs):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(make_docs(["a b c"]), none)
