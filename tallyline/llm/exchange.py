@@ -3,7 +3,8 @@
 Documents are written once as blocks: one row holds the texts of some megabytes of documents,
 compressed. A block asks for the totals of its distinct keys: the sorted keys are cut at fixed
 bounds into shards, each slice one row with the block's own counts. A shard's slices meet in one
-task, are summed, and every slice gets its totals back in its own order. So a key costs one
+task, are summed, and every slice gets its totals back in its own order: as 32-bit numbers, with
+the few larger ones in a list of exact 64-bit numbers beside them. So a key costs one
 entry per block, however often a block holds it, and a task holds one shard or one block.
 
 Sizes are parameters: ``BLOCK_BYTES`` of text and ``SHARD_KEYS`` keys. There is one row per block and shard, as
@@ -28,7 +29,8 @@ BLOCK_BYTES = 8 << 20
 SHARD_KEYS = 1 << 20
 _BLOCK = "block long, part int, doc_ids array<long>, flags array<int>, sizes array<int>, bytes long, texts binary"
 _REQUEST = "kind int, shard int, block long, n int, keys binary, counts binary"
-_REPLY = "kind int, shard int, block long, totals binary, distinct long, total long"
+_REPLY = "kind int, shard int, block long, totals binary, large binary, distinct long, total long"
+_MOST = 2**32 - 1  # of a 32-bit total; a larger one is in the list
 
 
 class Blocks:
@@ -132,6 +134,14 @@ def requests(blocks: DataFrame, fn: Callable[[], Callable[[dict], Iterator[tuple
     return blocks.mapInArrow(run, _REQUEST)
 
 
+def _large(sums: np.ndarray, own: np.ndarray, count: int) -> bytes:
+    """``(count, place, total)`` of a slice's totals over 32 bits."""
+    if sums.max(initial=0) <= _MOST:
+        return b""
+    at = np.flatnonzero(sums[own] > _MOST)
+    return np.column_stack([np.full(len(at), count), at, sums[own[at]]]).astype("<i8").tobytes()
+
+
 def totals(asked: DataFrame, n_counts: int) -> DataFrame:
     """The replies: each request's totals of every count, and once per shard and kind the number of
     distinct keys whose first count is not zero, and that count's total."""
@@ -144,14 +154,15 @@ def totals(asked: DataFrame, n_counts: int) -> DataFrame:
         sums = []
         for c in range(n_counts):
             own = np.concatenate([_unplanes(r["counts"][c * 4 * r["n"] : (c + 1) * 4 * r["n"]], "<u4") for r in rows])
-            sums.append(np.bincount(inverse, own, len(distinct)))
-        back = [np.minimum(s, 2**32 - 1).astype("<u4")[inverse] for s in sums]
+            sums.append(np.bincount(inverse, own, len(distinct)).astype("<i8"))  # exact up to 2**53
+        back = [np.minimum(s, _MOST).astype("<u4")[inverse] for s in sums]
         ends = np.cumsum(sizes)
         raw = [b"".join(_planes(b[hi - n : hi]) for b in back) for n, hi in zip(sizes, ends, strict=True)]
+        large = [b"".join(_large(s, inverse[hi - n : hi], c) for c, s in enumerate(sums)) for n, hi in zip(sizes, ends, strict=True)]
         zero = [0] * (len(rows) - 1)
         return pa.table({
             "kind": table.column("kind"), "shard": table.column("shard"), "block": table.column("block"),
-            "totals": pa.array(raw, pa.binary()),
+            "totals": pa.array(raw, pa.binary()), "large": pa.array(large, pa.binary()),
             "distinct": pa.array([int((sums[0] > 0).sum()), *zero], pa.int64()),
             "total": pa.array([int(sums[0].sum()), *zero], pa.int64()),
         })
@@ -162,11 +173,13 @@ def totals(asked: DataFrame, n_counts: int) -> DataFrame:
 def replies_of(replies: pa.Table, kind: int, n_counts: int) -> list[np.ndarray]:
     """Totals in the order of the block's sorted keys, one array per count."""
     rows = sorted((r for r in replies.to_pylist() if r["kind"] == kind), key=lambda r: r["shard"])
-    out: list[list[np.ndarray]] = [[np.empty(0, "<u4")] for _ in range(n_counts)]
+    out: list[list[np.ndarray]] = [[np.empty(0, "<i8")] for _ in range(n_counts)]
     for r in rows:
         n = len(r["totals"]) // (4 * n_counts)
         for c in range(n_counts):
-            out[c].append(_unplanes(r["totals"][c * 4 * n : (c + 1) * 4 * n], "<u4"))
+            out[c].append(_unplanes(r["totals"][c * 4 * n : (c + 1) * 4 * n], "<u4").astype("<i8"))
+        for c, at, total in np.frombuffer(r["large"], "<i8").reshape(-1, 3):
+            out[c][-1][at] = total
     return [np.concatenate(x) for x in out]
 
 

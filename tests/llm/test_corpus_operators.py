@@ -71,6 +71,18 @@ def test_totals_come_back_in_order(spark):
         assert exchange.replies_of(own, 3, 1)[0].tolist() == [want[int(x)] for x in keys]
 
 
+def test_totals_over_32_bits_come_back_exact(spark):
+    keys = np.array([1, 2**40, 2**63 + 5], np.uint64)
+    counts = [np.array([3_000_000_001, 7, 2**32 - 1]), np.array([1, 2**32 - 1, 0])]
+    rows = [r for b in range(3) for r in exchange.request_rows(b, 3, keys, counts, 2)]
+    asked = spark.createDataFrame(exchange.table_of(iter(rows)).to_pandas(), exchange._REQUEST)
+    got = exchange.totals(asked, 2).toArrow()
+    assert sum(got.column("total").to_pylist()) == 3 * int(counts[0].sum())
+    for b in range(3):
+        own = got.filter([x == b for x in got.column("block").to_pylist()])
+        assert [x.tolist() for x in exchange.replies_of(own, 3, 2)] == [(3 * c).tolist() for c in counts]
+
+
 # language model ---------------------------------------------------------------------------------
 
 
