@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, license, lm, packing, pii, quality, substring, toxicity
+from tallyline.session import materialize, scratch_scope
+
+from . import audit, chat, decontam, jaccard, license, lm, packing, periodic, pii, quality, sentencepieces, substring, toxicity
 from .common import table
 
 
@@ -107,6 +109,52 @@ def op10_rare_token_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentencepiece_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with the 32k merge model, and decoded again."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ids = F.col("ids").cast("array<string>")
+    tokens = sentencepieces.encode(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", ids), 256).alias("ids_sha256"), "ids",
+    )
+    out = sentencepieces.decode(tokens, path)
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words of a tenth of the texts, chosen by crc32 of ``doc_id``, made periodic from one
+    word on. A row without an id is left as it is."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w")
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    periods = F.array_repeat(F.slice("w", a + 1, p), F.ceil((n - a) / p).cast("int"))
+    made = F.concat(F.slice("w", F.lit(1), a), F.slice(F.flatten(periods), F.lit(1), n - a))
+    return chosen.select("doc_id", F.when(n > 0, F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them made periodic first."""
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    return periodic.find(planted_repeats(table(spark, sf_dir, "documents"))).withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"), F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of every part, in all 120 orders."""
+    with scratch_scope(spark):
+        out = audit.interactions(audit.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+        return materialize(out, "audit-result", keep=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_levenshtein_toxicity": op2_levenshtein_toxicity,
@@ -118,6 +166,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_automaton_decontamination": op8_suffix_automaton_decontamination,
     "op9_recompression_dedup": op9_recompression_dedup,
     "op10_rare_token_licenses": op10_rare_token_licenses,
+    "op11_sentencepiece_backtracking": op11_sentencepiece_backtracking,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 # DuckDB SQL where it can say the same over whole tables. The rest has learned models,
@@ -177,4 +228,27 @@ kept AS (SELECT x.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY x.j) AS t
          LEFT JOIN gone ON gone.doc_id = x.doc_id AND gone.j = x.j WHERE gone.j IS NULL GROUP BY x.doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id""",
+    "op13_filter_interactions": f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {_SPACE_SQL} AS w FROM documents),
+f AS (SELECT d.doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+        coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false)] AS f,
+        coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM d LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id),
+m AS (SELECT part, good, toxic, f, count(*) AS n FROM f GROUP BY ALL),
+o AS (SELECT '' AS filter_order UNION ALL
+      SELECT filter_order || x FROM o JOIN (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) l ON NOT contains(filter_order, x)),
+s AS (SELECT filter_order, step, ascii(filter_order[step]) - 64 AS own, [ascii(filter_order[i]) - 64 for i in range(1, step)] AS earlier
+      FROM (SELECT filter_order, unnest(range(1, 6)) AS step FROM o WHERE length(filter_order) = 5) x),
+r AS (SELECT part, filter_order, step, own, n, good, toxic, f[own] AS fails,
+             len(list_filter(earlier, lambda i: f[i])) > 0 AS gone, len(list_filter(f, lambda x: x)) = 1 AS alone FROM m, s),
+c AS (SELECT part, filter_order, step, own, sum(n) FILTER (WHERE NOT gone AND NOT fails) AS kept, sum(n) FILTER (WHERE NOT gone AND fails) AS removed,
+             sum(n) FILTER (WHERE gone AND fails) AS redundant, sum(n) FILTER (WHERE fails AND alone) AS unique_fails,
+             sum(n) FILTER (WHERE NOT gone AND fails AND good) AS good_lost, sum(n) FILTER (WHERE NOT gone AND fails AND toxic) AS toxic_lost
+      FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM c""",
 }
