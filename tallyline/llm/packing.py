@@ -14,10 +14,12 @@ table gives no rows. Other input columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import common
@@ -26,20 +28,33 @@ SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, sequence_tokens long, sequence_cost double"
 )
-#: Chunks of text whose ids a worker remembers, and tokens packed together.
+#: Chunks of text whose ids a worker remembers, text looked up together, tokens and texts packed together.
 CACHED_CHUNKS = 1 << 20
+SLICE_BYTES = 1 << 23
 POOL_TOKENS = 1 << 21
+POOL_TEXTS = 1 << 17
 #: Marks that may follow a word; a run of them is one pre-token.
-MARKS = b".,;:!?%*$&#"
+MARKS = ".,;:!?%*$&#"
+#: Lower-case Latin words.
+PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u012f]+$"
+
+
+def _gather(table: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``code`` of a table of consecutive runs of ``size``, one after another, and their ends."""
+    length = size[code]
+    end = np.cumsum(length)
+    shift = (np.cumsum(size) - size)[code] - (end - length)
+    return table[np.repeat(shift, length) + np.arange(int(end[-1]) if len(end) else 0)], end
 
 
 class Tokens:
     """Ids of whole texts by a tokenizer whose pre-tokenizer never crosses ASCII white space.
 
-    Every white-space separated chunk is encoded by the tokenizer itself, once, and
-    remembered while there is room; a text's ids are its chunks' ids in a row. Special tokens
-    hold no white space, so they too lie within one chunk. Plain Latin words are encoded many
-    at a time: each is one pre-token, whose last id is one that ends a word.
+    A text's ids are those of its white-space separated chunks in a row; special tokens hold no white
+    space, so they too lie within one chunk. Arrow splits a slice of texts, makes its chunks distinct and
+    parts plain Latin words from the run of marks after them, each a pre-token of its own. The
+    tokenizer itself encodes each distinct one, plain words many at a time (the last id of each is one that
+    ends a word), and remembers it while there is room; the ids of all words are gathered by position.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,57 +67,78 @@ class Tokens:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, bytes] = {b"": b""}
-
-    def _one(self, chunk: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _new(self, wanted: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of chunks not seen before. A plain word and the run of marks after it are
-        pre-tokens of their own."""
-        got: dict[bytes, bytes] = {}
-        known, marks = self.known, self.marks
-        ended, plain = [], {}
-        for w in wanted:
-            core = w.rstrip(MARKS)
-            text = core.decode()
-            if not text.isalpha() or max(text) >= "\u0130":
-                got[w] = self._one(w)
-                continue
-            if core not in known:
-                plain[core] = text
-            if len(core) < len(w):
-                mark = w[len(core) :]
-                if mark not in marks:
-                    marks[mark] = self._one(mark)
-                ended.append((w, core, marks[mark]))
-        words = list(plain.values())
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Distinct words seen, their ids in a row, and how many each has.
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def _one(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of any chunks, and how many each has."""
+        for w in words:
+            ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4")
+            yield ids, np.array([len(ids)])
+
+    def _plain(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same of plain words."""
         for lo in range(0, len(words), 512):
             part = words[lo : lo + 512]
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
-            assert len(cuts) == len(part) + 1
-            raw = ids.tobytes()
-            got.update((w.encode(), raw[a:b]) for w, a, b in zip(part, cuts, cuts[1:], strict=False))
-        if len(marks) > CACHED_CHUNKS // 16:
-            self.marks = {b"": b""}
-        got.update((w, (got.get(core) or known[core]) + mark) for w, core, mark in ended)
-        return got
-
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        out = []
-        known = self.known
-        for lo in range(0, len(texts), 256):
-            chunks = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts[lo : lo + 256]]
-            new = self._new(set().union(*chunks).difference(known))
-            if len(known) + len(new) <= CACHED_CHUNKS:
-                known.update(new)
-                look = known
-            else:
-                look = {w: new[w] if w in new else known[w] for w in set().union(*chunks)}
-            out += [np.frombuffer(b"".join(map(look.__getitem__, c)), "<u4") for c in chunks]
-        return out
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            assert len(ends) == len(part) and (not len(ends) or ends[-1] == len(ids))
+            yield ids, np.diff(ends, prepend=0)
+
+    def _numbers(self, distinct: pa.Array, plain: np.ndarray) -> np.ndarray:
+        """Places of distinct words in what is known, after learning those that are new."""
+        if len(self.known) > CACHED_CHUNKS:
+            self._forget()
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
+        for those, encode in ((plain, self._plain), (~plain, self._one)):
+            at = np.flatnonzero(those & (place < 0))
+            some = distinct.take(pa.array(at))
+            place[at] = len(self.known) + np.arange(len(at))
+            got = list(encode(some.to_pylist()))
+            self.known = pa.concat_arrays([self.known, some])
+            self.ids = np.concatenate([self.ids, *(g[0] for g in got)])
+            self.size = np.concatenate([self.size, *(g[1] for g in got)])
+        return place
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct chunks in a row, and how many each has."""
+        trimmed = pc.utf8_rtrim(chunks, MARKS)
+        plain = pc.match_substring_regex(trimmed, PLAIN)
+        core = pc.if_else(plain, trimmed, chunks)
+        mark = pc.if_else(plain, pc.replace_substring_regex(chunks, PLAIN[:-1], ""), "")
+        coded = pa.chunked_array([core, mark]).combine_chunks().dictionary_encode()
+        code = coded.indices.to_numpy()
+        is_plain = np.zeros(len(coded.dictionary), bool)
+        is_plain[code[: len(chunks)][plain.to_numpy(zero_copy_only=False)]] = True
+        place = self._numbers(coded.dictionary, is_plain)[code].reshape(2, -1)
+        ids, end = _gather(self.ids, self.size, place.T.ravel())
+        return ids, np.diff(end[1::2], prepend=0)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text."""
+        lowered = [(t if b"<|" in t else t.lower()) if t else b"" for t in common.binary_list(texts)]
+        slices = np.flatnonzero(np.diff(np.cumsum(list(map(len, lowered))) // SLICE_BYTES, prepend=-1))
+        for lo, hi in pairwise([*slices.tolist(), len(lowered)]):
+            words = pc.ascii_split_whitespace(pa.array(lowered[lo:hi], pa.large_binary()).view(pa.large_string()))
+            coded = words.flatten().dictionary_encode()
+            ids, end = _gather(*self._chunks(coded.dictionary), coded.indices.to_numpy())
+            borders = np.append(0, end)[words.offsets.to_numpy()]
+            yield from (ids[i:j] for i, j in pairwise(borders.tolist()))
+
+
+_TOKENS: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str) -> Tokens:
+    """A worker's tokenizer, kept with what it remembers between its tasks."""
+    if path not in _TOKENS:
+        _TOKENS.clear()
+        _TOKENS[path] = Tokens(path)
+    return _TOKENS[path]
 
 
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
@@ -154,7 +190,7 @@ def pack(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens = Tokens(tokenizer_path)
+        tokens = tokens_of(tokenizer_path)
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -183,15 +219,12 @@ def pack(
             )
 
         for batch in batches:
-            texts = common.binary_list(batch.column(1))
-            doc_ids = batch.column(0).to_pylist()
-            for lo in range(0, len(texts), 256):
-                for key, got in zip(doc_ids[lo : lo + 256], tokens.encode(texts[lo : lo + 256]), strict=True):
-                    keys.append(key)
-                    ids.append(np.concatenate([got, end]))
-                    held += len(got) + 1
-                    if held >= pool_tokens:
-                        yield flush()
+            for key, got in zip(batch.column(0).to_pylist(), tokens.encode(batch.column(1)), strict=True):
+                keys.append(key)
+                ids.append(np.concatenate([got, end]))
+                held += len(got) + 1
+                if held >= pool_tokens or len(keys) >= POOL_TEXTS:
+                    yield flush()
         if keys:
             yield flush()
 
