@@ -7,8 +7,8 @@ step per character; a stem keeps its first character, a whole word need not. An
 words near by against direct address) give each hit a weight; a logistic model over a text's
 hits, also fitted on the labelled rows, gives the score.
 
-``fit`` reads at most ``sample_rows`` labelled rows of each class (the smallest hashes of
-``doc_id``); all else covers every row and every whole text, without a shuffle.
+``fit`` reads at most ``sample_rows`` toxic rows and three times as many clean ones, equal rows once (the
+smallest hashes of ``doc_id``, then of id and text); all else covers every row and every whole text, without a shuffle.
 
 Defined cases: null or empty texts have no hits and get the model's score for that; labels without a
 document, null labels and null ids are left out of the fit; of several labels for one id the largest
@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ FUZZY_FROM = 5
 MISSPELLED = 0.8
 #: Remembered words of a worker, and states of the automaton.
 CACHED = 1 << 18
+#: Prefixes with contexts that a task of the fit holds before it passes them on.
+HELD_PREFIXES = 1 << 16
 
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…"
 # Cues of reported speech and of direct address.
@@ -286,6 +289,30 @@ def _prefixes(text: str | None) -> dict[str, int]:
     return out
 
 
+def counted_prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefixes of texts with one context each (toxic texts; clean ones need none) and the number of toxic and of
+    clean texts that hold them. A task holds ``HELD_PREFIXES`` of them and those of one text; the rest is
+    added up by Spark."""
+    counted: dict[tuple[str, int], list[int]] = {}
+
+    def flush() -> pa.RecordBatch:
+        keys, numbers = zip(*counted, strict=True), zip(*counted.values(), strict=True)
+        prefix, around = map(list, keys)
+        clean, toxic = map(list, numbers)
+        counted.clear()
+        columns = [pa.array(prefix, pa.string()), *(pa.array(c, pa.int64()) for c in (around, toxic, clean))]
+        return pa.RecordBatch.from_arrays(columns, names=["prefix", "around", "toxic", "clean"])
+
+    for batch in batches:
+        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            for p, around in _prefixes(text.as_py()).items():
+                counted.setdefault((p, around if toxic else -1), [0, 0])[toxic] += 1
+            if len(counted) >= HELD_PREFIXES:
+                yield flush()
+    if counted:
+        yield flush()
+
+
 def hash_of(text: str) -> int:
     import xxhash
 
@@ -318,30 +345,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         order = F.xxhash64("doc_id")
         part = lambda v, n: known.where(F.col("toxic") == v).orderBy(order, "doc_id").limit(n)
         chosen = part(1, sample_rows).unionByName(part(0, 3 * sample_rows))
-        # at most 4 * sample_rows ids
-        sample = materialize(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic"), "toxicity-sample")
+        # at most 4 * sample_rows ids; an id may stand in any number of rows, so different texts are counted again
+        rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+        keys = materialize(rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "text_key", "toxic").agg(F.lit(1).alias("one")), "toxicity-rows")
+        order = [F.xxhash64("doc_id", "text_key"), "doc_id", "text_key"]
+        part = lambda v, n: keys.where(F.col("toxic") == v).orderBy(*order).limit(n).drop("one")
+        picked = part(1, sample_rows).unionByName(part(0, 3 * sample_rows))  # at most 4 * sample_rows rows
+        sample = rows.join(F.broadcast(picked), ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+        sample = materialize(sample.select("doc_id", "text", "toxic"), "toxicity-sample")
         sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
         if not n_toxic or not n_clean:
             return nothing
 
-        def prefixes():
-            def step(batch):
-                counted: dict[tuple[str, int], list[int]] = {}
-                for text, toxic in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    for p, around in _prefixes(text).items():
-                        # clean texts need no contexts
-                        counted.setdefault((p, around if toxic else -1), [0, 0])[toxic] += 1
-                keys = list(counted)
-                return {
-                    "prefix": [k[0] for k in keys], "around": [k[1] for k in keys],
-                    "toxic": [counted[k][1] for k in keys], "clean": [counted[k][0] for k in keys],
-                }
-
-            return step
-
         found = (
-            common.map_batches(sample, prefixes, "prefix string, around long, toxic long, clean long")
+            sample.select("text", "toxic").mapInArrow(counted_prefixes, "prefix string, around long, toxic long, clean long")
             .groupBy("prefix", "around").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
             .groupBy("prefix").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count(F.when(F.col("around") >= 0, 1)).alias("contexts"))
             .where(f"contexts >= 3 and toxic * {n_clean} >= 20 * clean * {n_toxic}")
@@ -417,8 +435,6 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
                 weights[0] + sum(w * x for w, x in zip(weights[1:], features(words, t), strict=True)) < limit
                 for t in batch.column(at).to_pylist()
             ]
-            import pyarrow as pa
-
             kept = batch.filter(pa.array(keep, pa.bool_()))
             return {n: kept.column(i) for i, n in enumerate(names)}
 

@@ -416,3 +416,37 @@ def test_toxicity_without_labels(spark, make_docs):
     model = toxicity.fit(make_docs(["a b c"]), none)
     assert toxicity.score(make_docs(["a", None]), model).toPandas().score.tolist() == [0.25, 0.25]
     assert toxicity.score(make_docs([]), model).count() == 0
+
+
+def test_toxicity_fit_is_bounded_for_one_id_in_many_rows(spark, make_docs, monkeypatch):
+    """An id that holds a third of all rows gives the sample no more rows than its bound."""
+    seen = []
+    fit_once = toxicity.materialize
+
+    def counted(df, name, **k):
+        out = fit_once(df, name, **k)
+        if name == "toxicity-sample":
+            seen.append(out.groupBy("toxic").count().collect())
+        return out
+
+    monkeypatch.setattr(toxicity, "materialize", counted)
+    rows = [(i, f"plain words number {i} here") for i in range(40)] + [(1000 + i, f"you scumbag {i}") for i in range(40)]
+    rows += [(1000, f"you scumbag again {i}") for i in range(400)] + [(1001, "you scumbag")] * 400
+    labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(1000 + i, 1) for i in range(40)], "doc_id long, toxic int")
+    model = toxicity.fit(make_docs(rows), labels, sample_rows=50)
+    assert {r["toxic"]: r["count"] for r in seen[0]} == {0: 40, 1: 50}
+    got = toxicity.score(make_docs([(1, "you scumbag"), (2, "plain words"), (3, "long " * 50000)]), model).toPandas().score.tolist()
+    assert model.lexicon.entries and got[0] >= max(got[1:])
+
+
+def test_toxicity_prefix_counts_come_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    texts = [" ".join(f"word{i}x{j}" for j in range(30)) for i in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts * 2), pa.array([1] * 50 + [0] * 50, pa.int32())], names=["text", "toxic"])
+    whole = pa.Table.from_batches(toxicity.counted_prefixes([batch])).to_pandas()
+    monkeypatch.setattr(toxicity, "HELD_PREFIXES", 500)
+    parts = list(toxicity.counted_prefixes([batch]))
+    assert len(parts) > 10 and max(p.num_rows for p in parts) < 500 + max(len(toxicity._prefixes(t)) for t in texts)
+    again = pa.Table.from_batches(parts).to_pandas().groupby(["prefix", "around"], as_index=False).sum()
+    assert again.equals(whole.sort_values(["prefix", "around"], ignore_index=True))
