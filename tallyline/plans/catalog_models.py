@@ -673,6 +673,23 @@ def csv_scan_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csvio.read_csv_tolerant(spark, paths["bookings"])
 
 
+@register(
+    "csv_latin1_fallback",
+    "SELECT CAST(c_custkey AS VARCHAR) AS id, 'Café ' || c_name AS name, "
+    "CASE WHEN c_custkey % 7 = 0 THEN 'Ã©' WHEN c_custkey % 5 = 0 THEN 'two' || chr(10) || 'lines, \"quoted\"' ELSE 'ü' END AS note FROM customer",
+)
+def csv_latin1_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV with line breaks in quotes, half of the files UTF-8 and half ISO-8859-1, read as one folder: the
+    encoding is told for a whole file, also where a field's latin-1 bytes happen to be valid UTF-8."""
+    k = F.col("c_custkey")
+    note = F.when(k % 7 == 0, "Ã©").when(k % 5 == 0, 'two\nlines, "quoted"').otherwise("ü")
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("id"), F.concat(F.lit("Café "), "c_name").alias("name"), note.alias("note"))
+    out = temp_path(spark, "csv-encodings")
+    csvio.write_csv(rows.where("id % 2 = 0"), f"{out}/utf8")
+    csvio.write_csv(rows.where("id % 2 = 1"), f"{out}/latin1", encoding="ISO-8859-1")
+    return csvio.read_csv_tolerant(spark, f"{out}/*")
+
+
 @register(
     "load_training_tables",
     with_views(

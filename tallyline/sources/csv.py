@@ -3,25 +3,24 @@
 Scan rules: header row; every column read as text (typing is done by the
 cleaning expressions); quotes doubled inside quoted fields, which may hold
 commas and line breaks; the usual missing-value tokens are NULL; short rows
-padded with NULL; rows with more fields than the header dropped.
+padded with NULL; rows with more fields than the header dropped. The files of a
+folder must have one header.
 
-Encoding: the bytes are read as ISO-8859-1, which loses nothing, and each field is
-then decoded as UTF-8 where its bytes are valid UTF-8, else kept as ISO-8859-1.
-So files of both encodings mix in a folder without a second pass, and a genuine
-U+FFFD stays what it is.
+Files are read a byte range to a task, line breaks in quotes or not, and each is
+decoded as UTF-8 if all its bytes are valid, else as ISO-8859-1 (``records``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Column
 from pyspark.errors import AnalysisException
 
 from tallyline import schemas as S
+from tallyline.sources.records import records, unquoted_text
 
 CORRUPT = "_corrupt_record"
-_QUOTED = r'"([^"]|"")*"'
+_QUOTES = {"quote": '"', "escape": '"'}
 _BYTES = "ISO-8859-1"
 
 # Tokens that data-frame CSV readers take for a missing value.
@@ -31,12 +30,9 @@ NULL_TOKENS = (
 )
 
 
-def decoded(c: Column) -> Column:
-    """Text whose bytes were read as ISO-8859-1: as UTF-8 where they are valid UTF-8."""
-    return F.coalesce(F.try_validate_utf8(F.encode(c, _BYTES).cast("string")), c)
-
-
-def _header(raw: list[str]) -> list[str]:
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of the first file at ``path``."""
+    raw = spark.read.options(header=True, inferSchema=False, multiLine=True, encoding=_BYTES, **_QUOTES).csv(path).columns
     out = []
     for name in raw:
         try:
@@ -46,44 +42,40 @@ def _header(raw: list[str]) -> list[str]:
     return out
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    options = {"header": True, "quote": '"', "escape": '"', "encoding": _BYTES, "multiLine": multi_line}
-    raw = spark.read.options(inferSchema=False, **options).csv(path).columns  # reads the first line
-    columns = [f"_c{i}" for i in range(len(raw))]
-    schema = S.string_schema(columns).add(CORRUPT, "string")
-    df = (
-        spark.read.schema(schema)
-        .options(enforceSchema=True, **options)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
+def read_csv_tolerant(spark: SparkSession, path: str) -> DataFrame:
+    """All-text DataFrame of a CSV file or folder (see module rules)."""
+    names = header(spark, path)
+    if not names:
+        raise ValueError(f"{path}: no header row")
+    return parsed(records(spark, path), names)
+
+
+def parsed(found: DataFrame, names: list[str]) -> DataFrame:
+    """The columns ``names`` of ``found(text, head)``."""
+    columns = [f"_c{i}" for i in range(len(names))]
+    schema = ", ".join(f"{c} string" for c in [*columns, CORRUPT])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} | _QUOTES
+    rows = found.select("head", F.from_csv("text", schema, options).alias("r")).select("head", "r.*")
     # A malformed row is kept when it has at most n-1 separators outside quotes
     # (short row, padded); a row with more fields than the header is dropped.
-    unquoted = F.regexp_replace(F.col(CORRUPT), _QUOTED, "")
+    unquoted = unquoted_text(F.col(CORRUPT))
     separators = F.length(unquoted) - F.length(F.regexp_replace(unquoted, ",", ""))
     keep = F.col(CORRUPT).isNull() | (separators <= len(columns) - 1)
-    # The filter also reads a data column (always true) so that a later count
-    # never prunes the scan down to the corrupt-record column alone, which the
-    # CSV reader refuses.
-    anchor = F.greatest(F.length(F.col(columns[0])), F.lit(-1)) >= -1
-    values = [F.when(~F.col(c).isin(*NULL_TOKENS), decoded(F.col(c))) for c in columns]
-    return df.where(keep & anchor).select(*[v.alias(name) for v, name in zip(values, _header(raw), strict=True)])
-
-
-def read_csv_tolerant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All-text DataFrame of a CSV file or folder (see module rules).
-
-    ``multi_line=False`` lets a large file be split among tasks; it is for files
-    known to have no line breaks inside quotes.
-    """
-    return _scan(spark, path, multi_line)
-
-
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header, UTF-8, no index, overwriting ``path`` (a folder of parts)."""
+    same = F.lit(True)
+    for i, (c, name) in enumerate(zip(columns, names, strict=True)):
+        # Spark names an empty field by its place, and adds the place to a repeated one
+        own = F.coalesce(F.col(c), F.lit(""))
+        same = same & ((own == name) | (F.concat(own, F.lit(str(i))) == name) | ((own == "") & (F.lit(name) == f"_c{i}")))
+    other = F.raise_error(F.lit("files of one folder have different headers")).cast("boolean")
+    keep = F.when(F.col("head"), F.when(same, F.lit(False)).otherwise(other)).otherwise(keep)
+    values = [F.when(~F.col(c).isin(*NULL_TOKENS), F.col(c)) for c in columns]
+    return rows.where(keep).select(*[v.alias(name) for v, name in zip(values, names, strict=True)])
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, encoding: str = "UTF-8") -> None:
+    """CSV with a header, no index, overwriting ``path`` (a folder of parts)."""
     out = df.coalesce(1) if single_file else df
-    options = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"'}
+    options = {"header": True, "encoding": encoding, "quote": '"', "escape": '"'}
     out.write.mode("overwrite").options(**options).csv(path)
 
 

@@ -1,6 +1,9 @@
 """Tolerant CSV scan: short, long and quoted rows, encoding fallback, missing files."""
 
+import random
+
 import pandas as pd
+import pytest
 
 from tallyline.sources import csv as csvio
 
@@ -97,3 +100,83 @@ def test_only_a_missing_path_is_an_empty_table(spark):
 
     with pytest.raises((AnalysisException, Exception)):
         csvio.read_or_empty(spark, "no-such-scheme://x/y.csv", ["a"]).collect()
+
+
+# byte ranges ------------------------------------------------------------------------------------
+
+
+def _ranges(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    _ranges(spark, 200)
+    yield
+    for k in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.unset(f"spark.sql.files.{k}")
+
+
+def _field(rng):
+    if rng.random() < 0.4:
+        return rng.choice(["a", "12", "x y", "é", "NA", "", 'b"c', " lead", "tr "])
+    return '"' + "".join(rng.choice(["a", ",", "\n", '""', "b c", "é", "\n\n"]) for _ in range(rng.randrange(7))) + '"'
+
+
+@pytest.mark.parametrize(("seed", "newline"), [(0, "\n"), (1, "\r\n"), (2, "\n")])
+def test_any_record_over_any_border_equals_pandas(spark, tmp_path, small_ranges, seed, newline):
+    rng = random.Random(seed)
+    rows = ["a,b,c"]
+    for i in range(150):
+        rows.append(",".join([str(i), *(_field(rng) for _ in range((2 if i == 0 else rng.choice([2, 2, 2, 1, 0, 3]))))]))
+        rows += [""] * (rng.random() < 0.05)
+    path = _write(tmp_path, "r.csv", newline.join(rows).encode())
+    want = pd.read_csv(path, dtype=str, engine="python", on_bad_lines="skip")
+    key = lambda r: tuple("" if x is None or x != x else str(x).replace("\r\n", "\n") for x in r)
+    got = csvio.read_csv_tolerant(spark, path).collect()
+    assert sorted(map(key, got)) == sorted(map(key, want.itertuples(index=False)))
+    assert spark.read.text(path).rdd.getNumPartitions() > 5
+
+
+def test_a_long_quoted_text_spans_ranges(spark, tmp_path, small_ranges):
+    long = "\n".join(f"line {i}, of many" for i in range(200))
+    path = _write(tmp_path, "s.csv", f'id,t\n1,"{long}"\n2,short\n3,"{long}"'.encode())
+    got = {r["id"]: r["t"] for r in csvio.read_csv_tolerant(spark, path).collect()}
+    assert got == {"1": long, "2": "short", "3": long}
+
+
+def test_one_file_is_read_by_as_many_tasks_as_ranges_without_a_shuffle(spark, tmp_path, small_ranges):
+    rows = "".join(f'{i},"text, {i}",x\n' for i in range(400))
+    path = _write(tmp_path, "t.csv", ("a,b,c\n" + rows).encode())
+    df = csvio.read_csv_tolerant(spark, path)
+    ranges = spark.read.text(path).rdd.getNumPartitions()
+    assert ranges > 20 and df.rdd.getNumPartitions() == ranges
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted((int(r["a"]), r["b"]) for r in df.collect()) == [(i, f"text, {i}") for i in range(400)]
+
+
+def test_encoding_is_one_for_a_file(spark, tmp_path):
+    """A latin-1 file with a field whose bytes happen to be UTF-8, and a UTF-8 file, in one folder."""
+    (tmp_path / "l.csv").write_bytes("k,v\n1,Ã©\n2,Málaga\n".encode("latin-1"))
+    (tmp_path / "u.csv").write_bytes("k,v\n3,é\n4,\ufffd\n".encode())
+    got = {r["k"]: r["v"] for r in csvio.read_csv_tolerant(spark, str(tmp_path)).collect()}
+    assert got == {"1": "Ã©", "2": "Málaga", "3": "é", "4": "\ufffd"}
+
+
+def test_headers_of_a_folder_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"id,name\n1,a\n")
+    (tmp_path / "b.csv").write_bytes(b"name,id\nb,2\n")
+    with pytest.raises(Exception, match="different headers"):
+        csvio.read_csv_tolerant(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_bytes(b"\n\nid,name\n2,b\nid,name\n")
+    assert sorted(map(tuple, csvio.read_csv_tolerant(spark, str(tmp_path)).collect())) == [("1", "a"), ("2", "b"), ("id", "name")]
+
+
+def test_empty_and_header_only_files(spark, tmp_path):
+    path = _write(tmp_path, "h.csv", b"a,b\n")
+    df = csvio.read_csv_tolerant(spark, path)
+    assert df.columns == ["a", "b"] and df.count() == 0
+    with pytest.raises(ValueError, match="no header"):
+        csvio.read_csv_tolerant(spark, _write(tmp_path, "e.csv", b""))
