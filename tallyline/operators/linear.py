@@ -1,13 +1,19 @@
-"""Linear models with MLlib and the median/linear ensemble.
-
-OLS on standardised numeric columns (``VectorAssembler -> StandardScaler ->
-LinearRegression(regParam=0)``, distributed normal equations). Scoring
-applies the fitted coefficients as one arithmetic column (code-generated, no
-per-row vector transforms). ``fit_numeric`` takes every numeric column once
-text columns are coded (codes fitted on the training rows). NULLs and NaNs are
-filled with medians fitted on the training rows and stored; after that ±inf
-becomes 0. The ensembles ask for ``min_rows`` training rows, else they have no
-linear part; a plain linear model fits any non-empty set.
+"""Least-squares models from one Gram aggregate, and the median/linear ensemble.
+
+All sums that least squares needs (``n``, sums, and products of every two columns, each
+shifted by its fill value) are one partial-then-final aggregate over the training rows, in one group per
+column: no copy of the design, no pass for scaling, and nothing larger than ``d * d`` numbers leaves the
+executors. Products square a design's condition, and codes of text columns, with 999999 for a missing label,
+would lose their digits in it. So such a column enters as two, its code and whether it is missing, of which it is a fixed
+sum; the driver factors the covariance of these well-scaled columns, goes back to the features with the
+factor, and solves there without squaring. Of all best solutions on standardised features it is the one
+of least norm, where directions under ``COLLINEAR`` count as collinear.
+
+Scoring applies the coefficients as one arithmetic column (code-generated, no per-row vectors).
+``fit_numeric`` takes every numeric column once text columns are coded (codes fitted on the training
+rows). NULLs and NaNs are filled with medians fitted on the training rows and stored; after that
+±inf becomes 0. The ensembles ask for ``min_rows`` training rows, else they have no linear part; a
+plain linear model fits any non-empty set.
 """
 
 from __future__ import annotations
@@ -15,9 +21,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +37,10 @@ from tallyline.operators.features import (
     fit_category_codes,
     fit_impute_medians,
 )
-from tallyline.session import materialize, scratch_scope
+
+#: Shares of the largest singular value of the features, and of the largest eigenvalue of the parted columns, under
+#: which a direction is collinear.
+COLLINEAR, PARTED = 1e-9, 1e-12
 
 
 def numeric_feature_columns(df: DataFrame, exclude: tuple[str, ...]) -> list[str]:
@@ -54,7 +61,6 @@ def _filled(df: DataFrame, cols: list[str], fills: DataFrame) -> DataFrame:
 
 @dataclass
 class LinearModel:
-    pipeline: PipelineModel | None
     feature_cols: list[str]
     fills: DataFrame
     prediction_col: str = "linear_prediction"
@@ -90,7 +96,7 @@ class LinearModel:
         s = spark.read.parquet(f"{path}/settings").first()
         column = lambda name: [t[name] for t in terms] if s["fitted"] else None
         return cls(
-            None, [t["feature"] for t in terms], spark.read.parquet(f"{path}/fills"), s["prediction_col"],
+            [t["feature"] for t in terms], spark.read.parquet(f"{path}/fills"), s["prediction_col"],
             column("coefficient"), column("mean"), column("std"), s["intercept"],
             spark.read.parquet(f"{path}/codes"), list(s["categories"]), s["booleans"], json.loads(s["defaults"]),
         )
@@ -125,33 +131,68 @@ class LinearModel:
         return x.withColumn(self.prediction_col, self.expression())
 
 
+def gram(x: DataFrame, d: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, float]:
+    """Of ``x(v, y)``, ``v`` an array of ``d`` numbers: rows, means, covariances, covariances with ``y``, and its mean."""
+    # a row per feature times all features: d sums of code that stays compiled, not d * d
+    rows = x.select("v", "y", F.posexplode("v").alias("i", "a"))
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("a").alias("s"), F.sum("y").alias("y"), F.sum(F.col("a") * F.col("y")).alias("ay")]
+    found = rows.groupBy("i").agg(*sums, F.array(*(F.sum(F.col("a") * F.col("v")[j]) for j in range(d))).alias("p")).orderBy("i").collect()
+    if not found:
+        return 0, np.zeros(d), np.zeros((d, d)), np.zeros(d), 0.0
+    n, y = found[0]["n"], found[0]["y"] / found[0]["n"]
+    mean = np.array([r["s"] for r in found]) / n
+    square = np.array([r["p"] for r in found]) / n
+    covariance = (square + square.T) / 2 - np.outer(mean, mean)
+    return n, mean, covariance, np.array([r["ay"] for r in found]) / n - mean * y, y
+
+
 def fit_linear(
-    df: DataFrame, target: str, feature_cols: list[str], prediction_col: str = "linear_prediction", min_rows: int = 1
+    df: DataFrame,
+    target: str,
+    feature_cols: list[str],
+    prediction_col: str = "linear_prediction",
+    min_rows: int = 1,
+    coded: list[str] | tuple[str, ...] = (),
 ) -> LinearModel:
-    """MLlib OLS on standardised features; scoring uses the fitted coefficients as a column expression."""
+    """Least squares of ``target`` on ``feature_cols``, of least norm on standardised features; ``coded`` are
+    codes of text columns."""
     rows = df.where(F.col(target).isNotNull())
     rows = _doubles(rows, feature_cols)
     fills = fit_impute_medians(rows, feature_cols)
-    x = _filled(rows, feature_cols, fills)
-    # The scaler and the solver each pass over the rows: read a written copy of
-    # the prepared columns instead of re-running the cleaning lineage twice.
-    spark = df.sparkSession
-    with scratch_scope(spark):  # the design copy is removed once the fit is done
-        x = materialize(x.select(*feature_cols, F.col(target).cast("double").alias(target)), "linear-design")
-        if not feature_cols or x.count() < max(1, min_rows):  # count from the written files
-            return LinearModel(None, feature_cols, fills, prediction_col)
-        fitted = _pipeline(feature_cols, target).fit(x)
-    scaler, lr = fitted.stages[1], fitted.stages[2]
-    return LinearModel(
-        fitted,
-        feature_cols,
-        fills,
-        prediction_col,
-        [float(v) for v in lr.coefficients.toArray()],
-        [float(v) for v in scaler.mean.toArray()],
-        [float(v) for v in scaler.std.toArray()],
-        float(lr.intercept),
-    )
+    if not feature_cols:
+        return LinearModel(feature_cols, fills, prediction_col)
+    shift = {r["column"]: r["fill"] for r in fills.collect()}  # one value per feature
+    parts, made = [], []  # columns of the aggregate, and what each gives to which feature
+    for j, c in enumerate(feature_cols):
+        if c in coded:
+            missing = F.col(c) == float(S.MISSING_CODE)
+            parts += [F.when(missing, 0.0).otherwise(F.col(c)), missing.cast("double")]
+            made += [(j, 1.0, 0.0), (j, float(S.MISSING_CODE), 0.0)]
+        else:
+            moved = float(shift.get(c) or 0.0)
+            parts.append(F.col(c) - F.lit(moved))
+            made.append((j, 1.0, moved))
+    x = _filled(rows, feature_cols, fills).select(F.array(*parts).alias("v"), F.col(target).cast("double").alias("y"))
+    n, centre, covariance, with_y, y_mean = gram(x, len(parts))
+    if n < max(1, min_rows):
+        return LinearModel(feature_cols, fills, prediction_col)
+    to_feature = np.zeros((len(parts), len(feature_cols)))
+    mean = np.zeros(len(feature_cols))
+    for i, (j, times, moved) in enumerate(made):
+        to_feature[i, j] = times
+        mean[j] += times * centre[i] + moved
+    unit = np.sqrt(np.maximum(np.diag(covariance), 0.0))
+    unit[unit <= 1e-12 * np.maximum(1.0, np.abs(centre))] = 0.0  # of a constant column only rounding is left
+    scale = np.where(unit > 0, unit, np.inf)
+    values, vectors = np.linalg.eigh(covariance / np.outer(scale, scale))
+    kept = values > PARTED * max(values[-1], 1.0)
+    factor = np.sqrt(values[kept])[:, None] * vectors[:, kept].T  # its square is the correlation
+    design = (factor * unit) @ to_feature
+    spread = np.sqrt((design**2).sum(axis=0))
+    wanted = (vectors[:, kept].T @ (with_y / scale)) / np.sqrt(values[kept])
+    weights = np.linalg.lstsq(design / np.where(spread > 0, spread, np.inf), wanted, rcond=COLLINEAR)[0]
+    weights = np.where(spread > 0, weights, 0.0)
+    return LinearModel(feature_cols, fills, prediction_col, weights.tolist(), mean.tolist(), spread.tolist(), float(y_mean))
 
 
 def fit_numeric(
@@ -174,24 +215,12 @@ def fit_numeric(
     codes = fit_category_codes(rows, categories)
     coded = apply_category_codes(rows, codes, categories)
     cols = numeric_feature_columns(coded, (*ID_COLUMNS, target, *exclude))
-    model = fit_linear(coded, target, cols, min_rows=min_rows)
+    model = fit_linear(coded, target, cols, min_rows=min_rows, coded=categories)
     model.codes, model.categories, model.booleans = codes, [c for c in categories if c in cols], booleans
     model.defaults = dict(defaults or {})
     return model
 
 
-def _pipeline(feature_cols: list[str], target: str) -> Pipeline:
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=feature_cols, outputCol="_features", handleInvalid="keep"),
-            StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
-            LinearRegression(
-                featuresCol="_scaled", labelCol=target, predictionCol="_linear_out", regParam=0.0, solver="normal", standardization=False
-            ),
-        ]
-    )
-
-
 def blend(median_pred, linear_pred) -> F.Column:
     """``0.7 * median + 0.3 * linear``; the medians alone when there is no linear value."""
     mixed = F.lit(S.ENSEMBLE_MEDIAN_WEIGHT) * median_pred + F.lit(S.ENSEMBLE_LINEAR_WEIGHT) * linear_pred

@@ -10,9 +10,9 @@ from tallyline.functions import scalar, timefns
 from tallyline.operators import cleaning, features, linear, reports, staffing
 from tallyline.operators.hierarchy import HierarchicalMedianModel, fit_simple_stats
 from tallyline.operators.median import grouped_median, grouped_quantiles
-from tallyline.plans import fullrun, jobs
+from tallyline.plans import catalog_ops, fullrun, jobs
 from tallyline.plans.catalog import T1_LEVELS, T2_LEVELS, _t1_body, _t1_ctes, _t1_model, _t2_body, _t2_ctes, _t2_model, r6, register
-from tallyline.plans.oracle import VIEWS, _DEPS, hier_lookup_sql, with_views
+from tallyline.plans.oracle import VIEWS, _DEPS, date_block_sql, hier_lookup_sql, with_views
 from tallyline.session import materialize, temp_path
 from tallyline.sources import csv as csvio
 from tallyline.sources import fixtures as fx
@@ -502,7 +502,7 @@ def task_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Linear models (MLlib) and the ensemble
+# Linear models and the ensemble
 # ---------------------------------------------------------------------------
 
 
@@ -603,21 +603,108 @@ def linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fullrun.linear_task2(ols, fx.task2_test_v(spark, sf_dir))
 
 
-@register("ensemble_blend_all_features")
+# Least squares on all numeric, boolean and coded features in SQL: one matrix of covariances, Gauss-Jordan steps
+# as a recursive CTE (constant columns keep no weight), and a product. Of the two equal calendar blocks of
+# Task 1 one is used, and the code of the section's name enters as its difference from the section's
+# code: the same space of models, in columns of moderate condition.
+
+_ORDINAL = {"night": 0, "morning": 1, "afternoon": 2, "evening": 3, "very_low": 0, "low": 1, "medium": 2, "high": 3, "very_high": 4}
+_BINNED_SQL = "CASE {c} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _ORDINAL.items()) + " ELSE 999999 END"
+
+
+def _ols_sql(train: str, test: str, target: str, texts: list[str], numbers: list[str], others: list[str]) -> list[tuple[str, str]]:
+    """CTEs ending in ``lin(row_id, linear)``. ``texts`` are coded, ``numbers`` filled with medians, ``others`` are
+    expressions over both (the code of text column ``c`` is ``{c}_code``)."""
+    rows = f"(SELECT * FROM {train} WHERE {target} IS NOT NULL)"
+    codes = [
+        (f"ols_{c}", f"SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT {c} AS v FROM {rows} r WHERE {c} IS NOT NULL) d")
+        for c in texts
+    ]
+    fills = ", ".join(f"median({c}) AS {c}" for c in numbers)
+    coded = ", ".join(f"coalesce(ols_{c}.code, 999999)::DOUBLE AS {c}_code" for c in texts)
+    joins = " ".join(f"LEFT JOIN ols_{c} ON ols_{c}.v = r.{c}" for c in texts)
+    columns = [*(f"coalesce(r.{c}, f.{c})" for c in numbers), *others]
+    design = f"[{', '.join(f'({c})::DOUBLE' for c in columns)}]"
+    k = range(1, len(columns) + 1)
+    line = lambda i: f"[{', '.join([*(f'covar_pop(x[{i}], x[{j}])' for j in k), f'covar_pop(x[{i}], y)'])}]"
+    step = (
+        "CASE WHEN m[k + 1][k + 1] <= 1e-9 THEN CASE WHEN i = k + 1 THEN 0.0 ELSE m[i][j] END "
+        "WHEN i = k + 1 THEN m[i][j] / m[k + 1][k + 1] ELSE m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1] END"
+    )
+    d = len(columns)
+    return [
+        *codes,
+        ("ols_fill", f"SELECT {fills} FROM {rows} r"),
+        ("ols_tr", f"SELECT {design} AS x, {target}::DOUBLE AS y FROM (SELECT r.*, {coded} FROM {rows} r {joins}) r CROSS JOIN ols_fill f"),
+        ("ols_m", f"SELECT [{', '.join(map(line, k))}] AS m, [{', '.join(f'avg(x[{i}])' for i in k)}] AS mu, avg(y) AS my FROM ols_tr"),
+        (
+            "ols_gj",
+            f"SELECT 0 AS k, m FROM ols_m UNION ALL SELECT k + 1, list_transform(range(1, {d + 1}), lambda i: "
+            f"list_transform(range(1, {d + 2}), lambda j: {step})) FROM ols_gj WHERE k < {d}",
+        ),
+        (
+            "lin",
+            f"SELECT t.row_id, o.my + list_sum(list_transform(range(1, {d + 1}), lambda i: g.m[i][{d + 1}] * (t.x[i] - o.mu[i]))) AS linear "
+            f"FROM (SELECT r.row_id, {design} AS x FROM (SELECT r.*, {coded} FROM {test} r {joins}) r CROSS JOIN ols_fill f) t "
+            f"CROSS JOIN ols_m o CROSS JOIN (SELECT m FROM ols_gj WHERE k = {d}) g",
+        ),
+    ]
+
+
+_T1_OLS = _ols_sql(
+    "t1_feat", f"({catalog_ops._T1_SCORE_SQL})", "processing_time_minutes", ["task_id", "section_id", "task_name", "section_name"],
+    ["appt_hour", "appt_weekday", "appt_month", "appt_day", "appt_year", "booking_advance_hours", "queue_number", "document_uploaded", "satisfaction_rating"],
+    ["r.task_id_code", "r.section_id_code", "r.task_name_code", "r.section_name_code - r.section_id_code", _BINNED_SQL.format(c="r.appt_time_of_day")],
+)
+_T2_TEST = (
+    f"SELECT row_id, section_id, {date_block_sql('d')}, CAST(NULL AS DOUBLE) AS total_task_time_minutes, false AS has_task_time, "
+    "'medium' AS task_time_category FROM (SELECT *, try_strptime(date, '%Y-%m-%d')::DATE AS d FROM task2_test_v) i"
+)
+_T2_OLS = _ols_sql(
+    "t2_feat", f"({_T2_TEST})", "staffing_target", ["section_id"], ["weekday", "month", "day", "year", "quarter", "total_task_time_minutes"],
+    ["r.section_id_code", _BINNED_SQL.format(c="r.task_time_category"), *(f"CAST(r.{c} AS INTEGER)" for c in ("is_weekend", "is_month_end", "is_month_start", "has_task_time"))],
+)
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register(
+    "ensemble_blend_all_features",
+    _recursive(
+        with_views(
+            ["t1_train", "t1_test", "t1_feat", "task1_test_v", "tasks_one"],
+            _blend_sql(_t1_body, 0.0, 480.0, 30, "true_processing_time_minutes"), _t1_ctes + _T1_OLS,
+        )
+    ),
+)
 def ensemble_blend_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task 1 ensemble: 0.7 x hierarchical median + 0.3 x OLS on all numeric and coded features, task attributes too."""
     model = fullrun.train_task1_model("ensemble", fx.bookings_v(spark, sf_dir), fx.tasks_v(spark, sf_dir))
     return model.score(fx.task1_test_v(spark, sf_dir))
 
 
-@register("ensemble_blend_task2_all_features")
+@register(
+    "ensemble_blend_task2_all_features",
+    _recursive(
+        with_views(
+            ["t2_train", "t2_test", "t2_feat", "task2_test_v"], _blend_sql(_t2_body, 1.0, 50.0, 3, "true_required_employees"), _t2_ctes + _T2_OLS
+        )
+    ),
+)
 def ensemble_blend_task2_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task 2 ensemble: 0.7 x hierarchical median + 0.3 x OLS on all numeric, boolean and coded features."""
     model = fullrun.train_task2_model("ensemble", fx.staffing_v(spark, sf_dir))
     return model.score(fx.task2_test_v(spark, sf_dir))
 
 
-@register("linear_model_all_features")
+@register(
+    "linear_model_all_features",
+    _recursive(
+        with_views(["t2_feat", "task2_test_v"], f"SELECT row_id, {_clamped_sql('linear', 1.0, 50.0, 3)} AS true_required_employees FROM lin", _T2_OLS)
+    ),
+)
 def linear_model_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear-only Task 2 model on all numeric, boolean and coded features, clamped to [1, 50] and rounded."""
     model = fullrun.train_task2_model("linear", fx.staffing_v(spark, sf_dir))

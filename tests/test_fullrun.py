@@ -131,8 +131,8 @@ def test_registered_models_fit_all_features(spark, monkeypatch, name, some):
     y, design = design[:, -1], design[:, :-1]
     centred = design - design.mean(0)
     scaled = np.c_[np.ones(len(y)), centred / np.where(centred.std(0) > 0, centred.std(0), 1)]
-    # normal equations have the square of the design's condition: directions under 1e-7 count as collinear
-    want = scaled @ np.linalg.lstsq(scaled, y, rcond=1e-6)[0]
+    # equal columns are collinear (about 1e-16); the codes of section and its name differ by about 1e-7 and are not
+    want = scaled @ np.linalg.lstsq(scaled, y, rcond=1e-9)[0]
     assert np.abs(x["got"] - want).max() < 1e-3 * y.std()
 
 
@@ -161,3 +161,47 @@ def test_queries_leave_models_and_results_only(spark):
         new = set(os.listdir(folder)) - before
         assert all(x.startswith(kept) for x in new), (name, new)
     assert catalog.QUERIES
+
+
+def test_least_squares_of_least_norm_with_collinear_and_constant_columns(spark):
+    """Equal and constant columns, and codes that differ by less than 1e-5 of their spread: the solution of least norm on
+    standardised features, small directions kept."""
+    import numpy as np
+
+    from tallyline.operators import linear
+
+    rng = np.random.default_rng(4)
+    n = 500
+    a, b = rng.integers(0, 24, n), rng.normal(size=n)
+    wide = np.where(rng.random(n) < 0.2, 999_999, rng.integers(0, 3, n))
+    near = np.where(wide == 999_999, wide, rng.integers(0, 4, n))
+    y = 3.0 * a - 2.0 * b + 5.0 * (near - wide) + rng.normal(size=n) * 0.1
+    columns = {"a": a, "again": a, "b": b, "one": np.full(n, 7), "wide": wide, "near": near, "sum": 2 * a - 3 * b}
+    rows = [tuple(float(v[i]) for v in columns.values()) + (float(y[i]),) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns) + ", t double")
+    model = linear.fit_linear(df, "t", list(columns), coded=["wide", "near"])
+    x = np.stack([v.astype(float) for v in columns.values()], axis=1)
+    spread = x.std(0)
+    z = (x - x.mean(0)) / np.where(spread > 0, spread, 1)
+    basis = np.stack([a, b, wide / 1e6, near - wide, np.ones(n)], axis=1).astype(float)  # the same space
+    want = basis @ np.linalg.lstsq(basis, y, rcond=None)[0]
+    got = np.array([r["p"] for r in df.select(model.expression().alias("p")).collect()])
+    assert np.abs(got - want).max() < 1e-6
+    w = np.array(model.coefficients)
+    assert w[3] == 0 and abs(w[0] - w[1]) < 1e-6
+    least = np.linalg.lstsq(z, y - y.mean(), rcond=1e-9)[0]
+    assert np.abs(w - least)[[0, 1, 2, 6]].max() < 1e-4
+    assert linear.fit_linear(df.select("one", "t"), "t", ["one"]).coefficients == [0.0]
+
+
+def test_gram_needs_one_aggregate_and_no_copy(spark):
+    from tallyline.operators import linear
+
+    df = spark.range(1000).selectExpr("cast(id % 7 as double) as a", "cast(id % 5 as double) as b", "cast(id as double) as t")
+    n, mean, covariance, with_t, t = linear.gram(df.selectExpr("array(a, b) as v", "t as y"), 2)
+    want = df.toPandas()
+    assert n == 1000 and abs(t - want.t.mean()) < 1e-9
+    assert abs(mean - want[["a", "b"]].mean().to_numpy()).max() < 1e-9
+    assert abs(covariance - want[["a", "b"]].cov(ddof=0).to_numpy()).max() < 1e-9
+    assert abs(with_t - want.cov(ddof=0).loc[["a", "b"], "t"].to_numpy()).max() < 1e-9
+    assert linear.gram(df.limit(0).selectExpr("array(a, b) as v", "t as y"), 2)[0] == 0
