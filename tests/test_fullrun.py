@@ -188,9 +188,10 @@ def test_least_squares_of_least_norm_with_collinear_and_constant_columns(spark):
     got = np.array([r["p"] for r in df.select(model.expression().alias("p")).collect()])
     assert np.abs(got - want).max() < 1e-6
     w = np.array(model.coefficients)
-    assert w[3] == 0 and abs(w[0] - w[1]) < 1e-6
+    digits = 1e-9 * np.abs(w).max()  # the codes' weights are about a million
+    assert w[3] == 0 and abs(w[0] - w[1]) < digits
     least = np.linalg.lstsq(z, y - y.mean(), rcond=1e-9)[0]
-    assert np.abs(w - least)[[0, 1, 2, 6]].max() < 1e-4
+    assert np.abs(w - least)[[0, 1, 2, 6]].max() < digits
     assert linear.fit_linear(df.select("one", "t"), "t", ["one"]).coefficients == [0.0]
 
 
