@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.session import materialize
 
 
+def _marks() -> list[Column]:
+    """What tells two sets of edges apart: their number and two independent hashes, 96 bits."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.hash("a", "b").cast("long")), F.lit(0)).alias("sum"),
+        F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("xor"),
+    ]
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(id, component)`` for every id of ``edges(a, b)``; the component is its smallest id.
 
@@ -19,7 +28,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     now, seen = materialize(
         edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         name,
-        observe=[F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.hash("a", "b").cast("long")), F.lit(0)).alias("sum")],
+        observe=_marks(),
     )
     while seen["n"]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -37,9 +46,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
             .distinct()
         )
         before = seen
-        now, seen = materialize(
-            small, name, observe=[F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.hash("a", "b").cast("long")), F.lit(0)).alias("sum")]
-        )
+        now, seen = materialize(small, name, observe=_marks())
         if seen == before:
             break
     roots = now.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct()

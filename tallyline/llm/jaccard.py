@@ -1,6 +1,6 @@
 """Exact n-gram Jaccard join with a count-vector R-tree.
 
-1. Documents with equal shingle sets form one class, whose smallest ``doc_id`` stands for it.
+1. Texts with equal shingle sets form one class, read from the smallest ``doc_id`` that has it.
 2. A class is posted under its first shingles in one fixed order; how many is set by the
    threshold, so that linked classes share one of them. Shingles that are frequent in some task
    come last in the order (any order is exact; this one keeps frequent passages out).
@@ -14,8 +14,8 @@
    components of the verified links are the result.
 
 Defined cases: null or empty texts have no shingles and link with nothing; texts of fewer words than
-a shingle are one shingle; rows of one ``doc_id`` are one vertex of the graph, and its count is that of its
-largest set; rows with a null ``doc_id`` are left out; an empty table gives no rows.
+a shingle are one shingle; rows of one ``doc_id`` are one vertex of the graph, with the links of all its
+texts, and its count is that of its largest set; rows with a null ``doc_id`` are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.session import materialize, scratch_scope
@@ -294,7 +294,9 @@ def _pairs_table(pairs: list[tuple[int, int]]) -> pa.Table:
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     """A spanning forest of each posting's pairs that pass the bound."""
     postings = classes.select("id", "n", F.explode("posted").alias("h"))
-    shared = postings.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("total > 1")
+    # counted before the shuffle, so a frequent shingle is no single task's; AQE splits its part of the join
+    met = postings.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1")
+    shared = postings.join(met, "h").select("id", "n", "h", "total")
     shared, seen = materialize(shared, "jaccard-postings", observe=[F.count(F.lit(1)).alias("n")])
     met = _met(shared.withColumn("one", F.lit(1)), "h", "one", BLOCK_CLASSES, percent)
     with_vector = met.select("id", "n", "h", "lo", "hi", "side").join(classes.select("id", "vector"), "id")
@@ -352,13 +354,13 @@ def _verified(docs: DataFrame, families: DataFrame, classes: DataFrame, size: in
 
         return step
 
-    members = families.select("id", F.col("component").alias("family")).join(classes.select("id", "n", "signature"), "id")
+    members = families.select("id", F.col("component").alias("family")).join(classes.select("id", "holder", "n", "signature"), "id")
     totals = members.groupBy("family").agg(F.sum("n").alias("total"))
     members, seen = materialize(members.join(totals, "family"), "jaccard-families", observe=[F.coalesce(F.sum("n"), F.lit(0)).alias("n")])
     # members grow with the corpus: one plan at all sizes, texts are dealt out by id
-    wanted = members.select(F.col("id").alias("doc_id"), "family", "n", "signature", "total").hint("shuffle_merge")
+    wanted = members.select(F.col("holder").alias("doc_id"), "id", "family", "n", "signature", "total").hint("shuffle_merge")
     texts = docs.join(wanted, "doc_id")
-    sets = common.map_batches(texts.select("doc_id", "text", "family", "n", "signature", "total"), task, "id long, family long, n long, total long, shingles binary")
+    sets = common.map_batches(texts.select("id", "text", "family", "n", "signature", "total"), task, "id long, family long, n long, total long, shingles binary")
     sets = materialize(sets, "jaccard-sets")
     met = _met(sets, "family", "n", BLOCK_SHINGLES, percent)
 
@@ -391,14 +393,21 @@ def join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     docs = docs.where("doc_id is not null").select("doc_id", "text")
     with scratch_scope(spark):
         rows = materialize(_sets(docs, size, percent, frequent(docs, size)), "jaccard-rows")
-        own = rows.groupBy("doc_id").agg(F.max(F.struct("n", "signature")).alias("s")).select("doc_id", "s.n", "s.signature")
-        own = materialize(own, "jaccard-documents")
-        ids = own.where("n > 0").groupBy("n", "signature").agg(F.min("doc_id").alias("id"))
-        kinds = rows.where("n > 0").groupBy("n", "signature").agg(F.first("vector").alias("vector"), F.first("posted").alias("posted"))
-        classes = materialize(kinds.join(ids, ["n", "signature"]), "jaccard-classes")
+        # a class is numbered; its texts are read from the smallest id that has it
+        kinds = rows.where("n > 0").groupBy("n", "signature")
+        kinds = kinds.agg(F.first("vector").alias("vector"), F.first("posted").alias("posted"), F.min("doc_id").alias("holder"))
+        classes = materialize(kinds.withColumn("id", F.monotonically_increasing_id()), "jaccard-classes")
+        member = rows.select("doc_id", "n", "signature").distinct().join(classes.select("n", "signature", "id"), ["n", "signature"], "left")
+        member = materialize(member.select("doc_id", "n", "signature", "id"), "jaccard-members")
         families = connected_components(_candidates(classes, percent), "jaccard-candidates")
         links = _verified(docs, families, classes, size, percent)
-        components = connected_components(links, "jaccard-links")
-        member = own.join(classes.select("n", "signature", "id"), ["n", "signature"], "left").select("doc_id", "n", F.coalesce("id", "doc_id").alias("id"))
-        out = member.join(components, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+        # rows of one id are one vertex: their classes are linked
+        several = member.where("id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
+        same = member.join(several, "doc_id").where("id > a").select("a", F.col("id").alias("b"))
+        components = connected_components(links.unionByName(same), "jaccard-links")
+        found = member.join(components, "id", "left").withColumn("key", F.coalesce("component", "id"))
+        least = found.where("component is not null or id is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
+        out = found.join(least, "key", "left").groupBy("doc_id").agg(
+            F.max("n").alias("n_shingles"), F.coalesce(F.min("least"), F.col("doc_id")).alias("component_id")
+        )
         return materialize(out, "jaccard-result", keep=True)

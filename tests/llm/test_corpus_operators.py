@@ -145,12 +145,12 @@ def test_lm_odd_rows(spark, make_docs, odd_texts):
 
 
 def brute_classes(rows, size, percent):
-    sets = {}
+    """Rows of one id are one vertex, with the links of all its texts."""
+    sets = []
     for k, t in rows:
         w = words(t)
-        s = frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])
-        sets[k] = max(sets.get(k, frozenset()), s, key=len)
-    parent = {k: k for k in sets}
+        sets.append((k, frozenset(tuple(w[i : i + size]) for i in range(len(w) - size + 1)) if len(w) >= size else frozenset([tuple(w)] if w else [])))
+    parent = {k: k for k, _ in sets}
 
     def root(x):
         while parent[x] != x:
@@ -158,15 +158,15 @@ def brute_classes(rows, size, percent):
         return x
 
     at = {}
-    for k, s in sets.items():
+    for i, (_, s) in enumerate(sets):
         for g in s:
-            at.setdefault(g, []).append(k)
+            at.setdefault(g, []).append(i)
     both = Counter((a, b) for own in at.values() for i, a in enumerate(own) for b in own[i + 1 :])
     for (a, b), n in both.items():
-        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
-            x, y = root(a), root(b)
+        if 100 * n >= percent * (len(sets[a][1]) + len(sets[b][1]) - n):
+            x, y = root(sets[a][0]), root(sets[b][0])
             parent[max(x, y)] = min(x, y)
-    return {k: (len(s), root(k)) for k, s in sets.items()}
+    return {k: (max(len(s) for i, s in sets if i == k), root(k)) for k in parent} if len(sets) < 500 else {k: (len(s), root(k)) for k, s in sets}
 
 
 def found_classes(df):
@@ -226,6 +226,18 @@ def test_jaccard_odd_rows(spark, make_docs, odd_texts):
     assert jaccard.join(make_docs([])).count() == 0
 
 
+def test_jaccard_links_all_texts_of_an_id(spark, make_docs):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(1, a), (1, b), (2, b), (3, a), (9, "alone and apart from them all"), (1, ""), (2, None)]
+    assert found_classes(jaccard.join(make_docs(rows))) == {1: (3, 1), 2: (2, 1), 3: (3, 1), 9: (2, 9)}
+    rng = np.random.default_rng(7)
+    vocab = [f"v{i}" for i in range(40)]
+    bases = [list(rng.choice(vocab, 30)) for _ in range(25)]
+    texts = [t for base in bases for t in edited(rng, base, 4, vocab)]
+    rows = [(int(rng.integers(0, 70)), t) for t in texts for _ in range(int(rng.integers(1, 3)))]
+    assert found_classes(jaccard.join(make_docs(rows))) == brute_classes(rows, 5, 80)
+
+
 # repeated passages ------------------------------------------------------------------------------
 
 
