@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,3 +100,40 @@ def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], dict
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def gather(table: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries ``code`` of a table of consecutive runs of ``size``, one after another, and their ends."""
+    length = size[code]
+    end = np.cumsum(length)
+    shift = (np.cumsum(size) - size)[code] - (end - length)
+    return table[np.repeat(shift, length) + np.arange(int(end[-1]) if len(end) else 0)], end
+
+
+class Learned:
+    """Distinct words a worker has met, their ids in a row, and how many each has; all is forgotten when
+    there are more than ``room``."""
+
+    def __init__(self, room: int) -> None:
+        self.room = room
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+
+    def places(self, distinct: pa.Array, encoders: list[tuple[np.ndarray, Callable]]) -> np.ndarray:
+        """Where distinct words stand, after the new ones were learned. Each encoder has a mask of its words, takes
+        a list of them and yields arrays of ids and of numbers of ids."""
+        if len(self.words) > self.room:
+            self.forget()
+        place = pc.fill_null(pc.index_in(distinct, value_set=self.words), -1).to_numpy().astype(np.int64)
+        for those, encode in encoders:
+            at = np.flatnonzero(those & (place < 0))
+            some = distinct.take(pa.array(at))
+            place[at] = len(self.words) + np.arange(len(at))
+            got = list(encode(some.to_pylist()))
+            self.words = pa.concat_arrays([self.words, some])
+            self.ids = np.concatenate([self.ids, *(g[0] for g in got)])
+            self.size = np.concatenate([self.size, *(g[1] for g in got)])
+        return place

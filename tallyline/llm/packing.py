@@ -39,14 +39,6 @@ MARKS = ".,;:!?%*$&#"
 PLAIN = "^[a-z\u00df-\u00f6\u00f8-\u012f]+$"
 
 
-def _gather(table: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Entries ``code`` of a table of consecutive runs of ``size``, one after another, and their ends."""
-    length = size[code]
-    end = np.cumsum(length)
-    shift = (np.cumsum(size) - size)[code] - (end - length)
-    return table[np.repeat(shift, length) + np.arange(int(end[-1]) if len(end) else 0)], end
-
-
 class Tokens:
     """Ids of whole texts by a tokenizer whose pre-tokenizer never crosses ASCII white space.
 
@@ -67,12 +59,7 @@ class Tokens:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values(), default=0) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        #: Distinct words seen, their ids in a row, and how many each has.
-        self.known = pa.array([], pa.large_string())
-        self.ids, self.size = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.learned = common.Learned(CACHED_CHUNKS)
 
     def _one(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of any chunks, and how many each has."""
@@ -89,21 +76,6 @@ class Tokens:
             assert len(ends) == len(part) and (not len(ends) or ends[-1] == len(ids))
             yield ids, np.diff(ends, prepend=0)
 
-    def _numbers(self, distinct: pa.Array, plain: np.ndarray) -> np.ndarray:
-        """Places of distinct words in what is known, after learning those that are new."""
-        if len(self.known) > CACHED_CHUNKS:
-            self._forget()
-        place = pc.fill_null(pc.index_in(distinct, value_set=self.known), -1).to_numpy().astype(np.int64)
-        for those, encode in ((plain, self._plain), (~plain, self._one)):
-            at = np.flatnonzero(those & (place < 0))
-            some = distinct.take(pa.array(at))
-            place[at] = len(self.known) + np.arange(len(at))
-            got = list(encode(some.to_pylist()))
-            self.known = pa.concat_arrays([self.known, some])
-            self.ids = np.concatenate([self.ids, *(g[0] for g in got)])
-            self.size = np.concatenate([self.size, *(g[1] for g in got)])
-        return place
-
     def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct chunks in a row, and how many each has."""
         trimmed = pc.utf8_rtrim(chunks, MARKS)
@@ -114,8 +86,8 @@ class Tokens:
         code = coded.indices.to_numpy()
         is_plain = np.zeros(len(coded.dictionary), bool)
         is_plain[code[: len(chunks)][plain.to_numpy(zero_copy_only=False)]] = True
-        place = self._numbers(coded.dictionary, is_plain)[code].reshape(2, -1)
-        ids, end = _gather(self.ids, self.size, place.T.ravel())
+        place = self.learned.places(coded.dictionary, [(is_plain, self._plain), (~is_plain, self._one)])[code].reshape(2, -1)
+        ids, end = common.gather(self.learned.ids, self.learned.size, place.T.ravel())
         return ids, np.diff(end[1::2], prepend=0)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
@@ -125,7 +97,7 @@ class Tokens:
         for lo, hi in pairwise([*slices.tolist(), len(lowered)]):
             words = pc.ascii_split_whitespace(pa.array(lowered[lo:hi], pa.large_binary()).view(pa.large_string()))
             coded = words.flatten().dictionary_encode()
-            ids, end = _gather(*self._chunks(coded.dictionary), coded.indices.to_numpy())
+            ids, end = common.gather(*self._chunks(coded.dictionary), coded.indices.to_numpy())
             borders = np.append(0, end)[words.offsets.to_numpy()]
             yield from (ids[i:j] for i, j in pairwise(borders.tolist()))
 

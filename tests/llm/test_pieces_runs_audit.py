@@ -28,30 +28,54 @@ def encoder():
     return sentencepieces.Encoder(PIECES)
 
 
+def ids_of(encoder, text):
+    return [i for ids, _ in encoder.encode([text]) for i in ids.tolist()]
+
+
 def test_pieces_equal_the_librarys_on_random_texts(encoder):
     rng = random.Random(5)
     pieces = [p.replace("▁", " ") for p in encoder.pieces]
+    texts = []
     for _ in range(3000):
         chars = "".join(rng.choice("ab e▁ \n\tthinéç漢🙂<>0x_\x00") for _ in range(rng.randrange(40)))
         mixed = "".join(rng.choice(pieces) for _ in range(rng.randrange(10)))
-        for text in (chars, mixed):
-            assert encoder.encode(text) == encoder.library.encode(text), text
+        texts += [chars, mixed]
+    got = [np.split(ids, np.cumsum(size)[:-1]) for ids, size in encoder.encode(texts)]
+    assert [x.tolist() for part in got for x in part] == [encoder.library.encode(t) for t in texts]
 
 
 @pytest.mark.parametrize("text", ["a" * 5000, " " * 3000, "ab" * 3000, "=-" * 2000 + "=" * 77, "<s></s><0x0A>", "é​﻿�"])
 def test_pieces_of_long_runs_and_marks(encoder, text):
-    assert encoder.encode(text) == encoder.library.encode(text)
+    assert ids_of(encoder, text) == encoder.library.encode(text)
+
+
+def test_neighbours_are_told_as_by_plain_merging(encoder):
+    rng = random.Random(9)
+    pieces = sorted(encoder.first)
+    for left, right in [(rng.choice(pieces), rng.choice(pieces)) for _ in range(20000)] + [("aa", "a"), ("a", "aa"), ("▁▁", "▁")]:
+        if left in encoder.first and right in encoder.first:
+            assert encoder.together(left, right) == (encoder.merged(left + right)[0] == [left, right])
+
+
+def test_memories_are_emptied_without_a_difference(monkeypatch):
+    monkeypatch.setattr(sentencepieces, "CACHED_WORDS", 5)
+    monkeypatch.setattr(sentencepieces, "CACHED_PAIRS", 5)
+    monkeypatch.setattr(sentencepieces, "SLICE_BYTES", 64)
+    model = sentencepieces.Encoder(PIECES)
+    texts = [f"Some words, {i} of them: quite different ones {i * i}.\nAnd a line" for i in range(60)]
+    got = [x for ids, size in model.encode(texts) for x in np.split(ids, np.cumsum(size)[:-1])]
+    assert [x.tolist() for x in got] == [model.library.encode(t) for t in texts]
 
 
 def test_dead_ends_are_left_again(encoder):
     """Longest matches alone would differ: some text needs a shorter piece."""
-    text = next(p + q for p in sorted(encoder.shorter) for q in "abcdefgh" if len(p) > 3 and encoder.merged(p + q)[0] not in (p, p + q))
-    assert encoder.split(text) == encoder.merged(text)
+    text = next(p + q for p in sorted(encoder.shorter) for q in "abcdefgh" if len(p) > 3 and encoder.merged(p + q)[0][0] not in (p, p + q))
+    assert encoder.split(text) == encoder.merged(text)[0]
 
 
 def test_piece_query(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
-    library = sentencepieces.encoder(PIECES).library
+    library = sentencepieces.library(PIECES)
     got = {r["doc_id"]: r for r in queries.QUERIES["op11_sentencepiece_backtracking"](spark, SF_SMALL).collect()}
     assert len(got) == len(docs)
     for doc_id, text in docs:
