@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Words a worker keeps hashed; the cache is emptied when it is full.
 CACHED_WORDS = 1 << 18
+#: Rows passed to Python at a time, at most.
+BATCH_ROWS = 4000
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _S29, _S32, _S31 = np.uint64(29), np.uint64(32), np.uint64(31)
@@ -85,6 +87,14 @@ def binary_list(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.string()).cast(pa.binary()).to_pylist()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session pass rows to Python ``BATCH_ROWS`` at a time, if it passes more: texts are long, and a
+    worker holds several copies of a batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str) -> DataFrame:
     """``mapInArrow`` with a per-task function: ``fn()`` builds it once per task, each
     batch gives a dict of columns in the order of ``schema``."""
@@ -98,7 +108,11 @@ def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], dict
         for batch in batches:
             if batch.num_rows and (out := step(batch)) is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                del out
+        del step
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -102,17 +102,6 @@ class Tokens:
             yield from (ids[i:j] for i, j in pairwise(borders.tolist()))
 
 
-_TOKENS: dict[str, Tokens] = {}
-
-
-def tokens_of(path: str) -> Tokens:
-    """A worker's tokenizer, kept with what it remembers between its tasks."""
-    if path not in _TOKENS:
-        _TOKENS.clear()
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
-
-
 def assign(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int]]:
     """Pieces ``(document, start, length, sequence)`` in the order in which they lie in their
     sequences; ``lengths`` counts every document's tokens."""
@@ -162,7 +151,7 @@ def pack(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens = tokens_of(tokenizer_path)
+        tokens = Tokens(tokenizer_path)
         first = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 36
         keys: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -199,5 +188,8 @@ def pack(
                     yield flush()
         if keys:
             yield flush()
+        del tokens
+        pa.default_memory_pool().release_unused()
 
+    common.small_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
