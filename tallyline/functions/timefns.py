@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyline import schemas as S
+from tallyline.functions.datetext import parse_free_timestamp
 
 
 def _blank_to_null(c: Column) -> Column:
@@ -22,8 +23,8 @@ def _blank_to_null(c: Column) -> Column:
 def parse_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
     """Timestamp from text or a typed value; NULL on failure or blank.
 
-    Tries the ISO cast (with optional ``T``, fraction and zone) and then the
-    fixed format list in order. A bare time of day is never accepted, so the
+    Tries the ISO cast (with optional ``T``, fraction and zone), then the
+    fixed format list in order, then the free-format grammar of ``datetext``. A bare time of day is never accepted, so the
     run date cannot leak into calendar features. Typed timestamps (``NTZ`` or
     not) and dates are cast directly.
     """
@@ -33,7 +34,7 @@ def parse_timestamp(c: Column, dtype: T.DataType | None = None) -> Column:
     has_date = text.rlike(r"\d{1,4}[-/]\d{1,2}[-/]\d{1,4}")
     options = [F.when(has_date, F.try_to_timestamp(text))]
     options += [F.try_to_timestamp(text, F.lit(f)) for f in S.TIMESTAMP_FORMATS + S.DATE_FORMATS]
-    return F.coalesce(*options)
+    return F.coalesce(*options, parse_free_timestamp(text))
 
 
 def parse_date(c: Column, dtype: T.DataType | None = None) -> Column:

@@ -114,6 +114,49 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("event_id", "text", F.unix_micros(timefns.parse_timestamp(F.col("text"))).alias("parsed_us"))
 
 
+# (Spark pattern, DuckDB pattern to write and read) of ten further styles; event_id % 12 picks one, the rest is no date
+_FREE_STYLES = [
+    ("d MMM yyyy h:mm a", "%-d %b %Y %-I:%M %p"),
+    ("MMMM d, yyyy 'at' HH:mm:ss", "%B %-d, %Y at %H:%M:%S"),
+    ("EEE, dd MMM yyyy HH:mm:ss '+0230'", "%a, %d %b %Y %H:%M:%S +0230"),
+    ("dd-MMM-yy HH:mm", "%d-%b-%y %H:%M"),
+    ("M.d.yyyy H:mm", "%-m.%-d.%Y %-H:%M"),
+    ("d'th of' MMMM yyyy", "%-dth of %B %Y"),
+    ("yyyyMMdd'T'HHmmss", "%Y%m%dT%H%M%S"),
+    ("h:mm:ss a 'UTC' M/d/yy", "%-I:%M:%S %p UTC %-m/%-d/%y"),
+    ("yyyy MMM d HH:mm:ss.SSSSSS", "%Y %b %-d %H:%M:%S.%f"),
+    ("EEEE d MMMM yyyy HH:mm 'gmt-2'", "%A %-d %B %Y %H:%M gmt-2"),
+]
+_FREE_SHIFT = {2: -150, 9: -120}  # minutes from the written clock to UTC
+_FREE_SQL = "\n".join(f"WHEN {i} THEN strftime(ts, '{f}')" for i, (_, f) in enumerate(_FREE_STYLES))
+_FREE_READ_SQL = "\n".join(
+    f"WHEN {i} THEN epoch_us(try_strptime(text, '{f}')) + {_FREE_SHIFT.get(i, 0) * 60_000_000}" for i, (_, f) in enumerate(_FREE_STYLES)
+)
+
+
+def free_text_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = fx.table(spark, sf_dir, "events")
+    k, ts = F.col("event_id") % (len(_FREE_STYLES) + 2), F.col("ts").cast("timestamp")
+    text = F.when(k == len(_FREE_STYLES), F.date_format(ts, "MMM yyyy HH:mm"))
+    for i, (pattern, _) in enumerate(_FREE_STYLES):
+        text = text.when(k == i, F.date_format(ts, pattern))
+    return e.select("event_id", text.alias("text"))
+
+
+@register(
+    "parse_timestamps_free",
+    with_views(
+        [],
+        f"SELECT event_id, text, CASE event_id % {len(_FREE_STYLES) + 2} {_FREE_READ_SQL} END AS parsed_us FROM free_text",
+        [("free_text", f"SELECT event_id, CASE event_id % {len(_FREE_STYLES) + 2} {_FREE_SQL} WHEN {len(_FREE_STYLES)} THEN strftime(ts, '%b %Y %H:%M') END AS text FROM events")],
+    ),
+)
+def parse_timestamps_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-format timestamps: month names, AM/PM, dots, two-digit years, offsets; NULL where the date is not whole."""
+    t = free_text_v(spark, sf_dir)
+    return t.select("event_id", "text", F.unix_micros(timefns.parse_timestamp(F.col("text"))).alias("parsed_us"))
+
+
 @register(
     "parse_dates_multi",
     with_views(

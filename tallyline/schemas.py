@@ -123,6 +123,13 @@ TIMESTAMP_FORMATS = [
     "yyyy/M/d H:m",
     "yyyy/M/d H:m:s",
 ]
+# Names of free-format timestamps (English), also by their first three letters.
+MONTH_NAMES = [
+    "january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december",
+]
+WEEKDAY_NAMES = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+# Years of two digits are the hundred years from here on, whatever the day of the run.
+TWO_DIGIT_YEARS_FROM = 1976
 
 # time_of_day bins, right-closed with 0 included: upper bound -> label.
 TIME_OF_DAY_BINS = [(6, "night"), (12, "morning"), (18, "afternoon"), (24, "evening")]
