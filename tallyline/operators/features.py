@@ -50,6 +50,8 @@ def task1_features(bookings: DataFrame, tasks: DataFrame | None = None, keep: tu
         out += [F.col("satisfaction_rating"), F.col("satisfaction_rating").isNotNull().alias("has_satisfaction_rating")]
     if "num_documents" in cols:
         out.append(F.col("num_documents"))
+    if "task_complexity" in cols:
+        out.append(F.col("task_complexity"))
     out += [F.col(c) for c in keep if c in cols]
     return base.select(*out)
 

@@ -149,8 +149,3 @@ def truncate_predictions(predictions: DataFrame, value_col: str) -> DataFrame:
 def task_complexity(rows: DataFrame, target: str, key: str = "task_id") -> DataFrame:
     """Median past processing time per task: ``(task_id, complexity, n)``."""
     return grouped_median(rows.where(F.col(target).isNotNull()), [key], target, median_col="complexity")
-
-
-def with_task_complexity(rows: DataFrame, complexity: DataFrame, key: str = "task_id") -> DataFrame:
-    """``rows`` with their task's complexity."""
-    return rows.join(joins.sized(complexity.select(key, "complexity"), "task-complexity"), key, "left")

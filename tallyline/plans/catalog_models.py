@@ -501,6 +501,24 @@ def task_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("task_id", r6(F.col("complexity")).alias("complexity"), "n")
 
 
+_PAST = "median(y) OVER (PARTITION BY task_id ORDER BY day RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING)"
+
+
+@register(
+    "task_complexity_past",
+    with_views(
+        ["t1_rows"],
+        f"SELECT row_id AS booking_id, task_id, strftime(day, '%Y-%m-%d') AS day, round(CASE WHEN task_id IS NOT NULL THEN {_PAST} END, 6) AS task_complexity "
+        "FROM (SELECT *, make_timestamp(us)::DATE AS day FROM t1_rows) r",
+    ),
+)
+def task_complexity_past(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task complexity as a training feature: each booking's median over its task's bookings of earlier days."""
+    rows = jobs.with_task_complexity(cleaning.clean_bookings(fx.bookings_v(spark, sf_dir)).where(F.col(cleaning.TASK1_TARGET).isNotNull()))
+    day = F.date_format("appointment_time", "yyyy-MM-dd")
+    return rows.select("booking_id", "task_id", day.alias("day"), r6(F.col("task_complexity")).alias("task_complexity"))
+
+
 # ---------------------------------------------------------------------------
 # Linear models and the ensemble
 # ---------------------------------------------------------------------------

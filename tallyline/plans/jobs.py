@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyline import schemas as S
 from tallyline.functions import scalar
-from tallyline.operators import cleaning, features, linear
+from tallyline.operators import cleaning, features, linear, running
 from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel, constant_model
 from tallyline.session import materialize
 
@@ -36,6 +36,15 @@ def task1_training_rows(bookings: DataFrame, tasks: DataFrame | None = None) ->
     return features.task1_features(cleaned, tasks)
 
 
+def with_task_complexity(bookings: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Cleaned bookings with ``task_complexity``, the median minutes of their task's bookings in ``history`` (by
+    default the bookings themselves) on earlier days; an optional numeric feature of the Task 1 rows."""
+    day = F.to_date("appointment_time").alias("_appt_day")
+    past = (bookings if history is None else history).select("task_id", day, cleaning.TASK1_TARGET)
+    rows = bookings.select("*", day)
+    return running.with_past_median(rows, past, "task_id", "_appt_day", cleaning.TASK1_TARGET, "task_complexity").drop("_appt_day")
+
+
 def fit_task1(rows: DataFrame, levels: str | list[list[str]] = "code", path: str | None = None) -> HierarchicalMedianModel:
     """Task 1 medians from feature rows; the constant model when no row has a target."""
     lv = _levels(levels, S.TASK1_LEVELS)
