@@ -147,11 +147,13 @@ class HierarchicalMedianModel:
 
 
 class HierarchicalMedian:
-    """Estimator: medians of ``target`` for each level of key columns."""
+    """Estimator: medians of ``target`` for each level of key columns; with ``weight``, a
+    column of whole numbers, a row stands for so many."""
 
-    def __init__(self, levels: list[list[str]], target: str = "target"):
+    def __init__(self, levels: list[list[str]], target: str = "target", weight: str | None = None):
         self.levels = [list(lv) for lv in levels]
         self.target = target
+        self.weight = weight
 
     def fit_table(self, df: DataFrame) -> tuple[DataFrame, list[list[str]]]:
         """Lazy model table ``(level, keys..., median, n)`` and the fitted levels."""
@@ -163,7 +165,8 @@ class HierarchicalMedian:
                 if k not in keys:
                     keys.append(k)
         t = F.col(self.target).cast("double")
-        valid = df.select(*keys, t.alias(self.target)).where(t.isNotNull() & ~F.isnan(t))
+        weight = F.lit(1) if self.weight is None else F.col(self.weight)
+        valid = df.select(*keys, t.alias(self.target), weight.cast("long").alias("_weight")).where(t.isNotNull() & ~F.isnan(t))
         types = {f.name: f.dataType for f in valid.schema.fields}
 
         # One grouping set per distinct key set; duplicate levels share rows.
@@ -182,7 +185,7 @@ class HierarchicalMedian:
 
         # Raw rows are combined once into a base histogram over all keys; the
         # per-level expansion then runs on that (much smaller) table.
-        base = valid.groupBy(*order).agg(F.count(F.lit(1)).alias("_base_cnt"))
+        base = valid.groupBy(*order).agg((F.count(F.lit(1)) if self.weight is None else F.sum("_weight")).alias("_base_cnt"))
         hist = base.groupingSets(grouping_sets, *order).agg(
             F.sum("_base_cnt").alias(COUNT), F.grouping_id().alias("_gid")
         )

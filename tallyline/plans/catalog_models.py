@@ -10,7 +10,7 @@ from tallyline.functions import scalar, timefns
 from tallyline.operators import cleaning, features, linear, reports, staffing
 from tallyline.operators.hierarchy import HierarchicalMedianModel, fit_simple_stats
 from tallyline.operators.median import grouped_median, grouped_quantiles
-from tallyline.plans import catalog_ops, fullrun, jobs
+from tallyline.plans import catalog_ops, fullrun, jobs, rolling
 from tallyline.plans.catalog import T1_LEVELS, T2_LEVELS, _t1_body, _t1_ctes, _t1_model, _t2_body, _t2_ctes, _t2_model, r6, register
 from tallyline.plans.oracle import VIEWS, _DEPS, date_block_sql, hier_lookup_sql, with_views
 from tallyline.session import materialize, temp_path
@@ -490,6 +490,49 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.lit(model.n_train).cast("long").alias("train_rows"), F.col("samples").alias("holdout_rows"), r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
 
 
+ROLLING_FOLDS, ROLLING_FIRST = 5, 0.5
+
+
+def _rolling_sql() -> str:
+    """Each origin's model by its own query: SQL of five separate fits."""
+    parts = []
+    for i in range(ROLLING_FOLDS):
+        ctes, body = hier_lookup_sql("ro_train", "ro_test", T1_LEVELS, "p", 0.0, 480.0, 30)
+        own = [("ro_train", f"SELECT t1_rows.* FROM t1_rows, cuts WHERE us <= c{i}")]
+        upper = f" AND us <= c{i + 1}" if i + 1 < ROLLING_FOLDS else ""
+        own.append(("ro_test", f"SELECT t1_rows.* FROM t1_rows, cuts WHERE us > c{i}{upper}"))
+        with_sql = ", ".join(f"{n} AS ({sql})" for n, sql in own + ctes)
+        parts.append(
+            f"SELECT * FROM (WITH {with_sql} SELECT {i} AS origin, (SELECT count(*) FROM ro_train) AS train_rows, count(*) AS test_rows, "
+            f"round(avg(abs(p - y)), 6) AS mae, round(sqrt(avg((p - y) * (p - y))), 6) AS rmse FROM ({body}) q JOIN ro_test r ON q.row_id = r.row_id) f{i}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+_CUTS_SQL = ", ".join(
+    f"max(CASE WHEN r = floor({ROLLING_FIRST + i * (1 - ROLLING_FIRST) / ROLLING_FOLDS} * (n - 1)) THEN us END) AS c{i}" for i in range(ROLLING_FOLDS)
+)
+
+
+@register(
+    "rolling_origin_metrics",
+    with_views(
+        ["t1_rows"],
+        _rolling_sql(),
+        [("cuts", f"SELECT {_CUTS_SQL} FROM (SELECT us, row_number() OVER (ORDER BY us) - 1 AS r, count(*) OVER () AS n FROM t1_rows WHERE us IS NOT NULL) z")],
+    ),
+)
+def rolling_origin_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling-origin validation of Task 1: five models, each fitted up to its origin and tested up to the next, from one fit."""
+    cleaned = cleaning.clean_bookings(fx.bookings_v(spark, sf_dir)).withColumn("appt_us", F.unix_micros("appointment_time"))
+    rows = features.task1_features(cleaned, keep=(cleaning.TASK1_TARGET, "appt_us")).where(F.col(cleaning.TASK1_TARGET).isNotNull())
+    rows = materialize(rows.select(*jobs.TASK1_KEYS, cleaning.TASK1_TARGET, "appt_us"), "rolling-rows")
+    m = rolling.rolling_metrics(
+        rows, T1_LEVELS, cleaning.TASK1_TARGET, "appt_us", jobs.predict_task1_rows, "true_processing_time_minutes", ROLLING_FOLDS, ROLLING_FIRST
+    )
+    return m.select("origin", "train_rows", "test_rows", r6(F.col("mae")).alias("mae"), r6(F.col("rmse")).alias("rmse"))
+
+
 @register(
     "task_complexity",
     with_views(["t1_train"], "SELECT task_id, round(median(y), 6) AS complexity, count(*) AS n FROM t1_train WHERE task_id IS NOT NULL GROUP BY task_id"),
