@@ -11,9 +11,10 @@ Fit
 Predict
     One left join on the first level's first key (the anchor): the medians of all
     levels that hold it are one row per anchor value, a map per level from
-    the level's other keys. Those keys are calendar values, so a row holds a
-    few hundred medians at most. Levels without the anchor depend on such keys
-    alone; their medians are literal maps. A NULL key never matches, so a row
+    the level's other keys. A map holds ``PAGE_ENTRIES`` medians at most: the calendar keys of the presets cannot make
+    more, and a level that does (by the ranges of its keys, else counted) is cut into pages by a hash of its
+    other keys and joined on anchor and page, which also spreads a hot anchor's rows. Levels without the anchor
+    depend on the other keys alone; few medians are literal maps. A NULL key never matches, so a row
     skips every level it lacks a key for. The prediction is the first level that
     matched, else the global median, else 0.
 """
@@ -34,14 +35,22 @@ GLOBAL_LEVEL = -1
 #: Levels without the anchor are literal up to so many medians together (all hours
 #: and weekdays make 199); with more they are joined on an anchor of their own.
 MAX_LITERAL_ROWS = 2_000
+#: Medians of one level and anchor value in one row; a map is searched one by one. Pages hold half as many on average.
+PAGE_ENTRIES = 512
 
 
-def _level_info(n_levels: int) -> list[Column]:
-    """One-row summary of a model table: rows per level, global median and count."""
+def _level_info(n_levels: int, types: dict[str, T.DataType]) -> list[Column]:
+    """One-row summary of a model table: rows per level, global median and count, ranges of whole-number keys."""
     lvl = F.col("level")
+    spans = [(F.max(k).cast("decimal(20,0)") - F.min(k).cast("decimal(20,0)")).alias(f"span_{k}") for k, dt in types.items() if isinstance(dt, T.IntegralType)]
     out = [F.count_if(lvl == i).alias(f"rows_{i}") for i in [GLOBAL_LEVEL, *range(n_levels)]]
     out += [F.max(F.when(lvl == GLOBAL_LEVEL, F.col("median"))).alias("global_median"), F.max(F.when(lvl == GLOBAL_LEVEL, F.col("n"))).alias("global_n")]
-    return out
+    return out + spans
+
+
+def _key_types(schema: T.StructType) -> dict[str, T.DataType]:
+    """The key columns of a model table."""
+    return {f.name: f.dataType for f in schema.fields if f.name not in ("level", "median", "n")}
 
 
 def _filler(dt: T.DataType) -> Column:
@@ -64,12 +73,51 @@ class HierarchicalMedianModel:
     target: str
     path: str | None = None
     extra: dict = field(default_factory=dict)
+    key_values: dict[str, int] = field(default_factory=dict)  # upper bounds of a key's distinct values, where known
 
     # -- scoring -----------------------------------------------------------
     def _key(self, keys: list[str]) -> Column:
         """The keys' values as one text; NULL if one is."""
-        parts = [F.col(k).cast(self.key_types[k]).cast("string") for k in keys]
-        return F.concat(F.lit(""), *[p for c in parts for p in (c, F.lit("\x1f"))])
+        parts = []
+        for k in keys:
+            text = F.col(k).cast(self.key_types[k]).cast("string")
+            if isinstance(self.key_types[k], T.StringType):  # a text may hold any character, so its length goes first
+                parts += [F.length(text).cast("string"), F.lit(":")]
+            parts += [text, F.lit("\x1f")]
+        return F.concat(F.lit(""), *parts)
+
+    def _other(self, anchor: str, level: int) -> list[str]:
+        return [k for k in self.levels[level] if k != anchor]
+
+    def _pages(self, anchor: str, levels: list[int]) -> dict[int, int]:
+        """Pages of each level that has more than ``PAGE_ENTRIES`` medians under some anchor value."""
+        unknown = []
+        for i in levels:
+            bound = 1
+            for k in self._other(anchor, i):
+                bound = min(self.level_rows[i], bound * self.key_values.get(k, self.level_rows[i]))
+            if bound > PAGE_ENTRIES:
+                unknown.append(i)
+        name = ("pages", anchor, tuple(unknown))
+        if unknown and name not in self.extra:
+            per_anchor = self.table.where(F.col("level").isin(unknown)).groupBy("level", anchor).count()
+            largest = {r["level"]: r["most"] for r in per_anchor.groupBy("level").agg(F.max("count").alias("most")).collect()}
+            self.extra[name] = {i: -(-2 * most // PAGE_ENTRIES) for i, most in largest.items() if most > PAGE_ENTRIES}
+        return self.extra.get(name, {})
+
+    def _page(self, anchor: str, level: int, pages: int) -> Column:
+        return F.pmod(F.xxhash64(self._key(self._other(anchor, level))), F.lit(pages))
+
+    def _paged(self, anchor: str, level: int, pages: int) -> DataFrame:
+        """One row per anchor value and page with the level's map of the page: other keys -> median (written once)."""
+        name = ("paged", anchor, level)
+        if name not in self.extra:
+            rows = self.table.where(F.col("level") == level)
+            entry = F.struct(self._key(self._other(anchor, level)).alias("k"), F.col("median").alias("m"))
+            page = self._page(anchor, level, pages).alias("_page")
+            maps = rows.groupBy(F.col(anchor).alias("_anchor"), page).agg(F.map_from_entries(F.collect_list(entry)).alias(f"_m{level}"))
+            self.extra[name] = joins.sized(maps, "median-pages")
+        return self.extra[name]
 
     def _wide(self, anchor: str, levels: list[int]) -> DataFrame:
         """One row per anchor value with a map per level: other keys -> median (written once)."""
@@ -77,7 +125,7 @@ class HierarchicalMedianModel:
         if name not in self.extra:
             maps = []
             for i in levels:
-                entry = F.struct(self._key([k for k in self.levels[i] if k != anchor]).alias("k"), F.col("median").alias("m"))
+                entry = F.struct(self._key(self._other(anchor, i)).alias("k"), F.col("median").alias("m"))
                 maps.append(F.map_from_entries(F.collect_list(F.when(F.col("level") == i, entry))).alias(f"_m{i}"))
             rows = self.table.where(F.col("level").isin(levels))
             self.extra[name] = joins.sized(rows.groupBy(F.col(anchor).alias("_anchor")).agg(*maps), "median-lookup")
@@ -109,11 +157,18 @@ class HierarchicalMedianModel:
                 break
             anchor = self.levels[todo[0]][0]
             with_anchor = [i for i in todo if anchor in self.levels[i]]
-            right = self._wide(anchor, with_anchor)
-            out = out.join(right, on=out[anchor].cast(self.key_types[anchor]) == right["_anchor"], how="left").drop("_anchor")
+            pages = self._pages(anchor, with_anchor)
+            one_row = [i for i in with_anchor if i not in pages]
+            if one_row:
+                right = self._wide(anchor, one_row)
+                out = out.join(right, on=out[anchor].cast(self.key_types[anchor]) == right["_anchor"], how="left").drop("_anchor")
             for i in with_anchor:
-                key = self._key([k for k in self.levels[i] if k != anchor])
-                out = out.withColumn(f"_m{i}", F.try_element_at(F.col(f"_m{i}"), key))
+                if i in pages:
+                    right = self._paged(anchor, i, pages[i]).withColumnRenamed("_page", "_right_page")
+                    out = out.withColumn("_page", self._page(anchor, i, pages[i]))
+                    same = (out[anchor].cast(self.key_types[anchor]) == right["_anchor"]) & (out["_page"] == right["_right_page"])
+                    out = out.join(right, on=same, how="left").drop("_anchor", "_page", "_right_page")
+                out = out.withColumn(f"_m{i}", F.try_element_at(F.col(f"_m{i}"), self._key(self._other(anchor, i))))
                 found[i] = F.col(f"_m{i}")
             todo = [i for i in todo if i not in with_anchor]
         out = out.withColumns({f"_v{i}": found[i] for i in used}) if used else out
@@ -136,14 +191,16 @@ class HierarchicalMedianModel:
 
     @classmethod
     def _from_table(cls, table: DataFrame, levels: list[list[str]], target: str, path: str | None, info: dict | None = None):
-        key_types = {f.name: f.dataType for f in table.schema.fields if f.name not in ("level", "median", "n")}
+        key_types = _key_types(table.schema)
         fitted = [[k for k in lv if k in key_types] for lv in levels]
         if info is None:
-            info = table.agg(*_level_info(len(levels))).collect()[0].asDict()
+            info = table.agg(*_level_info(len(levels), key_types)).collect()[0].asDict()
         counts = {i: int(info[f"rows_{i}"] or 0) for i in [GLOBAL_LEVEL, *range(len(levels))]}
         global_median = float(info["global_median"]) if info["global_median"] is not None else 0.0
         n_train = int(info["global_n"] or 0)
-        return cls(fitted, key_types, table, counts, global_median, n_train, target, path)
+        key_values = {k: int(info[f"span_{k}"] or 0) + 1 for k in key_types if f"span_{k}" in info}
+        key_values |= {k: 2 for k, dt in key_types.items() if isinstance(dt, T.BooleanType)}
+        return cls(fitted, key_types, table, counts, global_median, n_train, target, path, key_values=key_values)
 
 
 class HierarchicalMedian:
@@ -229,7 +286,7 @@ class HierarchicalMedian:
         with scratch_scope(spark):  # the rank histogram is removed once the model is written
             table, _ = self.fit_table(df)
             obs = Observation(f"median-model-{path[-8:]}")  # per-level sizes, computed during the write
-            table.observe(obs, *_level_info(len(self.levels))).write.mode("overwrite").parquet(path)
+            table.observe(obs, *_level_info(len(self.levels), _key_types(table.schema))).write.mode("overwrite").parquet(path)
             info = obs.get
         return HierarchicalMedianModel._from_table(spark.read.parquet(path), self.levels, self.target, path, info)
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_MID
 from tallyline import schemas as S
+from tallyline.operators import hierarchy
 from tallyline.operators.hierarchy import HierarchicalMedian, HierarchicalMedianModel, fit_simple_stats, level_usage
 from tallyline.plans import jobs
 from tallyline.sources import fixtures as fx
@@ -93,3 +94,28 @@ def test_sparse_training_uses_every_level(spark):
                 break
         assert got[row["row_id"]][1] == want[1]
         assert got[row["row_id"]][0] == int(round(round(min(max(want[0], 0), 480), 6)))
+
+
+def test_many_keys_under_one_anchor_are_paged(spark):
+    """30,000 medians under one of a few anchors: bounded map rows, joined on anchor and page, same answers."""
+    ids = 30_000
+    rows = spark.range(ids + 300).select(
+        F.when(F.col("id") < ids, "hot").otherwise("cold").alias("k"), F.col("id").cast("string").alias("who"),
+        (F.col("id") % 5).cast("int").alias("h"), (F.col("id") % 97).cast("double").alias("t"),
+    )
+    model = HierarchicalMedian([["k", "who", "h"], ["k", "h"], ["k"]], "t").fit(rows)
+    pred = model.predict(rows.unionByName(spark.createDataFrame([("hot", "nobody", 1, 0.0), (None, "1", 1, 0.0), ("hot", None, 9, 0.0)], "k string, who string, h int, t double")))
+    got = pred.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("t")).alias("wrong")).collect()
+    levels = {r["level"]: (r["n"], r["wrong"]) for r in got}
+    assert levels[0] == (ids + 300, 0) and levels[1][0] == 1 and levels[2][0] == 1 and levels[-1][0] == 1
+    paged = model.extra[("paged", "k", 0)]
+    sizes = paged.agg(F.max(F.size("_m0")).alias("most"), F.sum(F.size("_m0")).alias("all"), F.count(F.lit(1)).alias("pages")).first()
+    assert sizes["most"] <= hierarchy.PAGE_ENTRIES and sizes["all"] == ids + 300 and sizes["pages"] > 100
+    assert ("k", (1, 2)) in model.extra  # the small levels stay one row per anchor
+
+
+def test_whole_number_keys_need_no_count_and_texts_may_hold_the_separator(spark):
+    rows = spark.createDataFrame([("a", "x\x1fy", "z", 3, 1.0), ("a", "x", "y\x1fz", 3, 2.0), ("a", "x", "z", 4, 5.0)], "k string, p string, q string, h int, t double")
+    model = HierarchicalMedian([["k", "p", "q"], ["k", "h"]], "t").fit(rows)
+    assert {(r["p"], r["prediction"]) for r in model.predict(rows).collect()} == {("x\x1fy", 1.0), ("x", 2.0), ("x", 5.0)}
+    assert model.key_values == {"h": 2}
