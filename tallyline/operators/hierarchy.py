@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from tallyline.operators import joins
 from tallyline.operators.median import COUNT, median_from_histogram
 from tallyline.session import materialize, scratch_path, scratch_scope
+from tallyline.sources import modelstore
 
 GLOBAL_LEVEL = -1
 #: Levels without the anchor are literal up to so many medians together (all hours
@@ -181,12 +182,20 @@ class HierarchicalMedianModel:
         return out.drop(*[f"{x}{i}" for i in used for x in ("_m", "_v")])
 
     # -- persistence -------------------------------------------------------
+    def parts(self) -> tuple[dict[str, DataFrame], dict]:
+        """Tables and settings to commit (``modelstore.save``), alone or with those of other models."""
+        return {"median": self.table}, {}
+
     def save(self, path: str) -> None:
-        self.table.write.mode("overwrite").parquet(path)
+        modelstore.save(self.table.sparkSession, path, *self.parts())
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, levels: list[list[str]], target: str) -> "HierarchicalMedianModel":
-        table = spark.read.parquet(path)
+    def load(cls, spark: SparkSession, path: str, levels: list[list[str]], target: str, verify: bool = False) -> "HierarchicalMedianModel":
+        """The model committed at ``path``, or the plain table that a fit wrote there."""
+        if modelstore.is_store(spark, path):
+            table = modelstore.load(spark, path, verify)[0]["median"]
+        else:
+            table = spark.read.parquet(path)
         return cls._from_table(table, levels, target, path)
 
     @classmethod

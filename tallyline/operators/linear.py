@@ -18,7 +18,6 @@ plain linear model fits any non-empty set.
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -37,6 +36,7 @@ from tallyline.operators.features import (
     fit_category_codes,
     fit_impute_medians,
 )
+from tallyline.sources import modelstore
 
 #: Shares of the largest singular value of the features, and of the largest eigenvalue of the parted columns, under
 #: which a direction is collinear.
@@ -77,28 +77,34 @@ class LinearModel:
     def fitted(self) -> bool:
         return self.coefficients is not None
 
-    def save(self, path: str) -> None:
-        """Terms, codes and settings as Parquet tables under ``path``."""
+    def parts(self) -> tuple[dict[str, DataFrame], dict]:
+        """Tables and settings to commit (``modelstore.save``), alone or with those of other models."""
         spark = self.fills.sparkSession
         n = len(self.feature_cols)
         terms = zip(range(n), self.feature_cols, self.coefficients or [None] * n, self.means or [None] * n, self.stds or [None] * n, strict=True)
-        spark.createDataFrame(list(terms), "i int, feature string, coefficient double, mean double, std double").write.mode("overwrite").parquet(f"{path}/terms")
-        self.fills.write.mode("overwrite").parquet(f"{path}/fills")
         none = spark.createDataFrame([], "column string, value string, code int")
-        (self.codes if self.codes is not None else none).write.mode("overwrite").parquet(f"{path}/codes")
-        other = [(self.prediction_col, self.intercept, self.categories, self.booleans, json.dumps(self.defaults), self.fitted)]
-        schema = "prediction_col string, intercept double, categories array<string>, booleans boolean, defaults string, fitted boolean"
-        spark.createDataFrame(other, schema).write.mode("overwrite").parquet(f"{path}/settings")
+        tables = {
+            "terms": spark.createDataFrame(list(terms), "i int, feature string, coefficient double, mean double, std double"),
+            "fills": self.fills,
+            "codes": self.codes if self.codes is not None else none,
+        }
+        settings = {
+            "prediction_col": self.prediction_col, "intercept": self.intercept, "categories": self.categories,
+            "booleans": self.booleans, "defaults": self.defaults, "fitted": self.fitted,
+        }
+        return tables, settings
+
+    def save(self, path: str) -> None:
+        modelstore.save(self.fills.sparkSession, path, *self.parts())
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> LinearModel:
-        terms = sorted(spark.read.parquet(f"{path}/terms").collect())  # one row per feature
-        s = spark.read.parquet(f"{path}/settings").first()
+    def load(cls, spark: SparkSession, path: str, verify: bool = False) -> LinearModel:
+        tables, s = modelstore.load(spark, path, verify)
+        terms = sorted(tables["terms"].collect())  # one row per feature
         column = lambda name: [t[name] for t in terms] if s["fitted"] else None
         return cls(
-            [t["feature"] for t in terms], spark.read.parquet(f"{path}/fills"), s["prediction_col"],
-            column("coefficient"), column("mean"), column("std"), s["intercept"],
-            spark.read.parquet(f"{path}/codes"), list(s["categories"]), s["booleans"], json.loads(s["defaults"]),
+            [t["feature"] for t in terms], tables["fills"], s["prediction_col"], column("coefficient"), column("mean"), column("std"),
+            float(s["intercept"]), tables["codes"], list(s["categories"]), s["booleans"], s["defaults"],
         )
 
     def expression(self) -> F.Column:

@@ -22,6 +22,7 @@ from tallyline.operators.hierarchy import GLOBAL_LEVEL, HierarchicalMedianModel
 from tallyline.plans import jobs
 from tallyline.session import materialize, scratch_scope
 from tallyline.sources import csv as csvio
+from tallyline.sources import modelstore
 
 log = logging.getLogger(__name__)
 
@@ -63,6 +64,16 @@ def linear_task1(ols: linear.LinearModel, inputs: DataFrame, tasks: DataFrame |
     return _task1_value(ols.predict(features.task1_score_features(inputs, tasks)), F.col("linear_prediction"))
 
 
+def _save_both(model: HierarchicalMedianModel, ols: linear.LinearModel) -> Callable[[str], None]:
+    """An ensemble's two models as one commit."""
+
+    def save(path: str) -> None:
+        (medians, _), (terms, settings) = model.parts(), ols.parts()
+        modelstore.save(model.table.sparkSession, path, medians | terms, settings)
+
+    return save
+
+
 def _task1_trained(name: str, rows: DataFrame, score: Scorer, value, save) -> Trained:
     return Trained(name, rows, cleaning.TASK1_TARGET, score, lambda r: value(r).select(cleaning.TASK1_TARGET, "value"), save)
 
@@ -86,11 +97,7 @@ def _task1_ensemble(bookings: DataFrame, tasks: DataFrame | None) -> Trained:
         blended = linear.blend(F.col("prediction"), F.col("linear_prediction"))
         return ols.predict(model.predict(r, level_col=None)).withColumn("value", scalar.clamp_round(blended, *S.TASK1_BOUNDS))
 
-    def save(path: str) -> None:
-        model.save(path)
-        ols.save(f"{path}-linear")
-
-    return _task1_trained("ensemble", rows, lambda inputs: blend_task1(model, ols, inputs, tasks), value, save)
+    return _task1_trained("ensemble", rows, lambda inputs: blend_task1(model, ols, inputs, tasks), value, _save_both(model, ols))
 
 
 def _task1_linear(bookings: DataFrame, tasks: DataFrame | None) -> Trained:
@@ -150,11 +157,7 @@ def _task2_ensemble(staffing_raw: DataFrame) -> Trained:
         blended = linear.blend(F.col("prediction"), F.col("linear_prediction"))
         return ols.predict(model.predict(r, level_col=None)).withColumn("value", scalar.clamp_round(blended, *S.TASK2_BOUNDS))
 
-    def save(path: str) -> None:
-        model.save(path)
-        ols.save(f"{path}-linear")
-
-    return _task2_trained("ensemble", rows, lambda inputs: blend_task2(model, ols, inputs), value, save)
+    return _task2_trained("ensemble", rows, lambda inputs: blend_task2(model, ols, inputs), value, _save_both(model, ols))
 
 
 def _task2_linear(staffing_raw: DataFrame) -> Trained:
@@ -181,7 +184,7 @@ def _task2_patterns(staffing_raw: DataFrame) -> Trained:
     def value(r: DataFrame) -> DataFrame:
         return model.predict(r).withColumn("value", scalar.sanitize(F.col("pattern_prediction"), *bounds))
 
-    return _task2_trained("patterns", rows, score, value, lambda path: model.table().write.mode("overwrite").parquet(path))
+    return _task2_trained("patterns", rows, score, value, lambda path: modelstore.save(staffing_raw.sparkSession, path, {"patterns": model.table()}))
 
 
 TASK2_MODELS = {"baseline": _task2_baseline, "ensemble": _task2_ensemble, "linear": _task2_linear, "patterns": _task2_patterns}
@@ -212,8 +215,8 @@ def train_task2_model(name: str, staffing_raw: DataFrame) -> Trained:
 
 
 def validate_model_table(spark: SparkSession, path: str, levels: list[list[str]], target: str) -> bool:
-    """A saved model table has the required columns and a global row, and scores a row."""
-    model = HierarchicalMedianModel.load(spark, path, levels, target)
+    """A saved model table is as it was saved, has the required columns and a global row, and scores a row."""
+    model = HierarchicalMedianModel.load(spark, path, levels, target, verify=True)
     needed = {"level", "median", "n"}
     if not needed.issubset(set(model.table.columns)):
         return False
@@ -228,9 +231,9 @@ def validate_saved_model(spark: SparkSession, path: str, model: Trained, levels:
     if model.name in ("baseline_median", "ensemble") and not validate_model_table(spark, path, levels, model.target):
         return False
     if model.name == "patterns":
-        return spark.read.parquet(path).where("kind = 'global'").count() == 1
-    linear_path = {"linear": path, "ensemble": f"{path}-linear"}.get(model.name)
-    return linear_path is None or linear.LinearModel.load(spark, linear_path).feature_cols is not None
+        tables, _ = modelstore.load(spark, path, verify=True)
+        return tables["patterns"].where("kind = 'global'").count() == 1
+    return model.name not in ("linear", "ensemble") or linear.LinearModel.load(spark, path, verify=True).feature_cols is not None
 
 
 @dataclass

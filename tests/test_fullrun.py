@@ -154,7 +154,7 @@ def test_queries_leave_models_and_results_only(spark):
     from tallyline.session import checkpoint_dir
 
     folder = checkpoint_dir(spark).removeprefix("file:")
-    kept = ("median-model", "median-lookup", "dimension", "pattern-", "category-codes", "simple-stats", "task-complexity", "impute-fills", "result-")
+    kept = ("median-model", "median-lookup", "median-pages", "past-medians", "dimension", "pattern-", "category-codes", "simple-stats", "task-complexity", "impute-fills", "result-")
     for name in ("describe_target", "train_metrics_task2", "section_aggregates", "simple_stats_mean", "duration_quality", "full_run", "clean_staffing"):
         before = set(os.listdir(folder))
         ent.queries()[name](spark, SF_SMALL).collect()
