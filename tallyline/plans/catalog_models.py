@@ -772,6 +772,39 @@ def linear_model_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score(fx.task2_test_v(spark, sf_dir))
 
 
+_CHOICES = ("linear", "no such model", "linear, nothing to fit")
+
+
+@register(
+    "model_choice_task2",
+    _recursive(
+        with_views(
+            ["t2_train", "t2_test", "t2_feat", "task2_test_v"],
+            f"SELECT '{_CHOICES[0]}' AS choice, 'linear' AS fitted, row_id, {_clamped_sql('linear', 1.0, 50.0, 3)} AS true_required_employees FROM lin "
+            f"UNION ALL SELECT '{_CHOICES[1]}', 'baseline_median', row_id, true_required_employees FROM ({_t2_body}) p "
+            f"UNION ALL SELECT '{_CHOICES[2]}', 'baseline_median', row_id, {int(S.TASK2_FALLBACK_MEDIAN)} FROM task2_test_v",
+            _t2_ctes + _T2_OLS,
+        )
+    ),
+)
+def model_choice_task2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model choice and its fallbacks: a named model, an unknown name (baseline medians), and a model that finds no
+    row to fit (baseline, which is then the constant); each model is saved, checked and scores all inputs."""
+    raw = fx.staffing_v(spark, sf_dir)
+    no_target = raw.withColumn("employees_on_duty", F.lit(None).cast("bigint")).withColumn("total_task_time_minutes", F.lit(None).cast("double"))
+    inputs = fx.task2_test_v(spark, sf_dir)
+    out = None
+    for choice in _CHOICES:
+        model = fullrun.train_task2_model(choice.split(",")[0], raw if "," not in choice else no_target)
+        path = temp_path(spark, "chosen-model")
+        model.save(path)
+        if not fullrun.validate_saved_model(spark, path, model, T2_LEVELS):
+            raise ValueError(f"the saved model {model.name} is not valid")
+        scored = model.score(inputs).select(F.lit(choice).alias("choice"), F.lit(model.name).alias("fitted"), "row_id", "true_required_employees")
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # CSV sources and sinks
 # ---------------------------------------------------------------------------
